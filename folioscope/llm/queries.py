@@ -5,10 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, chunking, leakage
+from folioscope.llm import bpe, canonical, chunking, leakage, pairs, truncation
 from folioscope.sources.tables import table
 
 
+def p1_found(spark: SparkSession, directory: str) -> DataFrame:
+    return canonical.same_look(table(spark, directory, "report"), "result_id", "prediction", "ground_truth")
+
+
+def p1_normalised(spark: SparkSession, directory: str) -> DataFrame:
+    return canonical.canonical(table(spark, directory, "report"), "result_id", ["prediction", "ground_truth"])
+
+
+def p6_found(spark: SparkSession, directory: str) -> DataFrame:
+    return pairs.defects(table(spark, directory, "report")).where("defect is not null").select("result_id", "defect")
+
+
+def p6_by_model(spark: SparkSession, directory: str) -> DataFrame:
+    """Defective rows of each model by defect."""
+    return pairs.defects(table(spark, directory, "report")).where("defect is not null").groupBy("model_id", "defect").agg(F.count("*").alias("rows"))
+
+
+def p7_found(spark: SparkSession, directory: str) -> DataFrame:
+    return truncation.truncation(table(spark, directory, "report")).where("cut").select("result_id")
+
+
+def p7_share(spark: SparkSession, directory: str) -> DataFrame:
+    return truncation.truncated_share(table(spark, directory, "report"))
+
+
+def p7_limits(spark: SparkSession, directory: str) -> DataFrame:
+    """Candidate length limits of each model with their censoring posterior."""
+    found = truncation.limits(table(spark, directory, "report"), "model_id", "prediction")
+    return found.select(F.col("source").alias("model_id"), "unit", "length", "rows", F.round("posterior", 6).alias("posterior"))
+
+
 def p8_ids(spark: SparkSession, directory: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, directory, "documents"))
 
@@ -37,7 +68,7 @@ def p10_pieces(spark: SparkSession, directory: str) -> DataFrame:
     return chunking.chunk_corpus(table(spark, directory, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_round_trip, p9_found, p9_items, p10_found, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_normalised, p6_found, p6_by_model, p7_found, p7_share, p7_limits, p8_ids, p8_round_trip, p9_found, p9_items, p10_found, p10_pieces)}
 
 SQL = {
     "p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
