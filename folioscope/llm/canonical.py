@@ -167,14 +167,15 @@ def vocabulary(df: DataFrame, text: str, size: int = VOCABULARY) -> list[str]:
     return [r.token for r in counts.where("n > 1").orderBy(F.desc("n"), "token").limit(size).collect()]
 
 
-_NORMALISERS: dict[int, Normaliser] = {}
+_NORMALISERS: dict[tuple[int, int], Normaliser] = {}
 
 
-def _normaliser(shared, budget: int) -> Normaliser:
-    key = (shared.id, budget)
+def _normaliser(words: list[str], budget: int) -> Normaliser:
+    """The normaliser of this Python worker for these words, built once."""
+    key = (hash(tuple(words)), budget)
     if key not in _NORMALISERS:
         _NORMALISERS.clear()
-        _NORMALISERS[key] = Normaliser(shared.value, budget)
+        _NORMALISERS[key] = Normaliser(words, budget)
     return _NORMALISERS[key]
 
 
@@ -184,7 +185,7 @@ def canonical(df: DataFrame, key: str, texts: list[str], trusted: str | None = N
     names = [f"t{i}" for i in range(len(texts))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form = _normaliser(shared, budget).text
+        form = _normaliser(shared.value, budget).text
         for batch in batches:
             out = [pa.array([form(x) for x in batch.column(i + 1).to_pylist()], pa.string()) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *out], ["key", *names])
@@ -201,7 +202,7 @@ def same_look(df: DataFrame, key: str, left: str, right: str, size: int = VOCABU
     shared = df.sparkSession.sparkContext.broadcast(vocabulary(df, right, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form = _normaliser(shared, 0).text
+        form = _normaliser(shared.value, 0).text
         for batch in batches:
             same = [form(a) == form(b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["key"]).filter(pa.array(same, pa.bool_()))

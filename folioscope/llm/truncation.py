@@ -147,6 +147,7 @@ def _tail_mean(z: np.ndarray) -> np.ndarray:
 
 def censoring(lengths: np.ndarray, counts: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray]:
     """Candidate limits among the lengths and the censoring posterior at each, by expectation maximisation."""
+    lengths, counts = lengths[lengths > 0], counts[lengths > 0]
     order = np.argsort(lengths)
     lengths, counts = lengths[order].astype(float), counts[order].astype(float)
     total = np.concatenate([[0], np.cumsum(counts)])
