@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, canonical, chunking, leakage, pairs, repetition, truncation
+from folioscope.llm import bpe, canonical, chunking, leakage, markup, pairs, repetition, truncation
 from folioscope.sources.tables import table
 
 
@@ -17,6 +17,15 @@ def p1_normalised(spark: SparkSession, directory: str) -> DataFrame:
     return canonical.canonical(table(spark, directory, "report"), "result_id", ["prediction", "ground_truth"])
 
 
+def p2_found(spark: SparkSession, directory: str) -> DataFrame:
+    return markup.found_kinds(table(spark, directory, "report"), "result_id", ["prediction", "ground_truth"])
+
+
+def p2_clean(spark: SparkSession, directory: str) -> DataFrame:
+    out = markup.markup(table(spark, directory, "report"), "result_id", ["prediction", "ground_truth"])
+    return out.withColumn("kinds", F.array_join("kinds", "|"))
+
+
 def p3_found(spark: SparkSession, directory: str) -> DataFrame:
     return repetition.repetitive(table(spark, directory, "report"))
 
@@ -78,7 +87,7 @@ def p10_pieces(spark: SparkSession, directory: str) -> DataFrame:
     return chunking.chunk_corpus(table(spark, directory, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_normalised, p3_found, p3_shares, p6_found, p6_by_model, p7_found, p7_share, p7_limits, p8_ids, p8_round_trip, p9_found, p9_items, p10_found, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_normalised, p2_found, p2_clean, p3_found, p3_shares, p6_found, p6_by_model, p7_found, p7_share, p7_limits, p8_ids, p8_round_trip, p9_found, p9_items, p10_found, p10_pieces)}
 
 SQL = {
     "p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
