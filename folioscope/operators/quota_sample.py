@@ -1,0 +1,199 @@
+"""Samples that match target shares of categories (problem 5).
+
+Rows are counted by cell, the cross-classification of the category columns.  For each
+request a min-cost flow runs from the sample through its targets and their cells to the
+rows: arcs carry the share (margin) and the least rows (floor) of a target and the
+availability of a cell, and a slack arc beside each target takes what can't be met, at a
+price, so the flow shows the shortfalls.  The integer quotas of the cells are then drawn
+at random, by a seeded hash.
+
+Labels are equal if they differ in case, outer blanks, or ``_``, ``-`` and blanks between
+words alone.  Defined results: a null label belongs only to targets that ask for any
+value; an empty label is a label; a null id counts for nothing; repeated rows count once;
+a request for a batch without rows has availability 0; targets with nothing to draw get
+quota 0; tables may be empty.
+"""
+
+from __future__ import annotations
+
+import heapq
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+LABELS = ("capture_channel", "capture_scenario", "visual_difficulty")
+#: Prices of a row short of a floor and of a row short of a share.
+FLOOR_PRICE, SHARE_PRICE = 1000, 10
+#: Parts a cell is split into before its rows are ranked, against cells that hold most rows.
+SPLIT = 16
+
+
+def label(column: Column | str) -> Column:
+    """The form in which labels are compared."""
+    return F.regexp_replace(F.lower(F.regexp_replace(F.col(column) if isinstance(column, str) else column, r"^\s+|\s+$", "")), r"[_\-\s]+", "_")
+
+
+def cells(rows: DataFrame, batch: str = "batch_id", row_id: str = "plan_id", labels: tuple[str, ...] = LABELS) -> DataFrame:
+    """(batch, l0, l1, ..., available): distinct row ids of each cell."""
+    own = rows.where(rows[row_id].isNotNull()).select(rows[batch].alias("batch"), rows[row_id].alias("id"), *(label(rows[c]).alias(f"l{i}") for i, c in enumerate(labels)))
+    keys = ["batch", *(f"l{i}" for i in range(len(labels)))]
+    # Repeated rows collapse before the shuffle; a row counts once in each cell.
+    return own.distinct().groupBy(*keys).agg(F.count("*").alias("available"))
+
+
+def min_cost_flow(n: int, arcs: list[tuple[int, int, int, int]], source: int, sink: int) -> list[int]:
+    """Flow on each arc (from, to, capacity, cost) of a maximum flow of least cost; costs aren't negative."""
+    head: list[list[int]] = [[] for _ in range(n)]
+    to, room, price = [], [], []
+    for a, b, capacity, cost in arcs:
+        for x, y, c, p in ((a, b, capacity, cost), (b, a, 0, -cost)):
+            head[x].append(len(to))
+            to.append(y)
+            room.append(c)
+            price.append(p)
+    potential = [0] * n
+    while True:
+        # Shortest path under reduced prices; the potentials keep them from being negative.
+        far: list[float] = [float("inf")] * n
+        far[source], via, queue = 0, [-1] * n, [(0, source)]
+        while queue:
+            d, x = heapq.heappop(queue)
+            if d > far[x]:
+                continue
+            for e in head[x]:
+                if room[e] > 0 and (new := d + price[e] + potential[x] - potential[to[e]]) < far[to[e]]:
+                    far[to[e]], via[to[e]] = new, e
+                    heapq.heappush(queue, (new, to[e]))
+        if via[sink] < 0:
+            return [room[2 * i + 1] for i in range(len(arcs))]
+        for x in range(n):
+            if far[x] < float("inf"):
+                potential[x] += int(far[x])
+        push, x = None, sink
+        while x != source:
+            push = room[via[x]] if push is None else min(push, room[via[x]])
+            x = to[via[x] ^ 1]
+        x = sink
+        while x != source:
+            room[via[x]] -= push
+            room[via[x] ^ 1] += push
+            x = to[via[x] ^ 1]
+
+
+def _shares(size: int, percents: list[int]) -> list[int]:
+    """Integer parts of size by largest remainder; ties go to the earlier target."""
+    exact = [size * p for p in percents]
+    parts = [x // 100 for x in exact]
+    want = round(sum(exact) / 100)
+    for i in sorted(range(len(parts)), key=lambda i: (-(exact[i] % 100), i))[: max(want - sum(parts), 0)]:
+        parts[i] += 1
+    return parts
+
+
+def _solve(pdf: pd.DataFrame, width: int) -> pd.DataFrame:
+    """Quota, slack and availability of the targets of one request, with the quota of each of their cells."""
+    names = [f"l{i}" for i in range(width)]
+    targets = pdf.drop_duplicates("target").sort_values("target")
+    size = int(targets["size"].fillna(0).max())
+    percents = [int(x) for x in targets["percent"].fillna(0)]
+    floors = [int(x) for x in targets["floor"].fillna(0)]
+    shares = _shares(size, percents)
+    numbers = list(targets["target"])
+    has = pdf[pdf["available"].notna()]
+    cell_keys = has[names].apply(tuple, axis=1) if len(has) else pd.Series([], dtype=object)
+    cell_at = {k: i for i, k in enumerate(dict.fromkeys(cell_keys))}
+    left = dict(zip(cell_keys, has["available"].astype(int), strict=True))
+    first, second = 2, 2 + len(numbers)  # nodes: source, sink, targets, cells
+    arcs = []
+    floor_total = sum(floors)
+    extra = max(size, floor_total) - floor_total  # rows left once the floors are met
+    pool = second + len(cell_at)
+    arcs.append((0, pool, extra, 0))
+    for i, (share, floor) in enumerate(zip(shares, floors, strict=True)):
+        arcs.append((0, first + i, floor, 0))
+        arcs.append((pool, first + i, max(share - floor, 0), 0))
+        arcs.append((first + i, 1, floor, FLOOR_PRICE))  # slack of the floor
+        arcs.append((first + i, 1, max(share - floor, 0), SHARE_PRICE))  # slack of the share
+    links = []
+    for number, key in zip(has["target"], cell_keys, strict=True):
+        links.append((numbers.index(number), key))
+        arcs.append((first + links[-1][0], second + cell_at[key], left[key], 0))
+    for key, i in cell_at.items():
+        arcs.append((second + i, 1, left[key], 0))
+    flow = min_cost_flow(pool + 1, arcs, 0, 1)
+    base = 1 + 4 * len(numbers)
+    out = []
+    for i, number in enumerate(numbers):
+        mine = [(key, f) for (t, key), f in zip(links, flow[base : base + len(links)], strict=True) if t == i]
+        row = {
+            "target": number, "needed": max(size * percents[i] / 100, floors[i]), "available": sum(left[k] for k, _ in mine),
+            "quota": sum(f for _, f in mine), "slack": flow[1 + 4 * i + 2] + flow[1 + 4 * i + 3],
+        }
+        out += [row | dict(zip(names, key, strict=True)) | {"cell_quota": f} for key, f in mine if f] or [row | dict.fromkeys(names) | {"cell_quota": 0}]
+    return pd.DataFrame(out)
+
+
+def plan_quotas(
+    rows: DataFrame, targets: DataFrame, request: str = "request_id", target: str = "target_no", batch: str = "batch_id", row_id: str = "plan_id", labels: tuple[str, ...] = LABELS,
+    percent: str = "target_percent", size: str = "sample_size", floor: str = "min_rows",
+) -> DataFrame:
+    """(request, target, batch, needed, available, quota, slack, l0, l1, ..., cell_quota), a row per target and cell drawn from."""
+    width = len(labels)
+    names = [f"l{i}" for i in range(width)]
+    asked = targets.select(
+        targets[request].alias("request"), targets[target].alias("target"), targets[batch].alias("batch"), targets[percent].alias("percent"),
+        targets[size].alias("size"), targets[floor].alias("floor"), *(label(targets[c]).alias(f"t{i}") for i, c in enumerate(labels)),
+    )
+    supply = cells(rows, batch, row_id, labels).withColumnRenamed("batch", "b")
+    match = F.col("batch") == F.col("b")
+    for i in range(width):
+        match &= F.col(f"t{i}").isNull() | (F.col(f"t{i}") == F.col(f"l{i}"))
+    joined = asked.join(supply, match, "left").select("request", "target", "batch", "percent", "size", "floor", *names, "available")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf[names] = pdf[names].astype(object).where(pdf[names].notna(), None)
+        out = _solve(pdf, width)
+        out.insert(0, "request", pdf["request"].iloc[0])
+        out.insert(2, "batch", out["target"].map(dict(zip(pdf["target"], pdf["batch"], strict=True))))
+        return out[columns]
+
+    columns = ["request", "target", "batch", "needed", "available", "quota", "slack", *names, "cell_quota"]
+    kinds = {c: asked.schema[c].dataType.simpleString() for c in ("request", "target", "batch")}
+    schema = ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", needed double, available long, quota long, slack long, " + ", ".join(f"{c} string" for c in names) + ", cell_quota long"
+    return joined.groupBy("request").applyInPandas(run, schema)
+
+
+def quota_report(rows: DataFrame, targets: DataFrame, request: str = "request_id", target: str = "target_no", **kw) -> DataFrame:
+    """(request, target, needed, available, quota, slack, met): one row per target; met if the batch holds the needed rows."""
+    plan = plan_quotas(rows, targets, request, target, **kw)
+    out = plan.groupBy(F.col("request").alias(request), F.col("target").alias(target)).agg(*(F.first(c).alias(c) for c in ("needed", "available", "quota", "slack")))
+    return out.withColumn("met", F.col("available") >= F.col("needed"))
+
+
+def draw(
+    rows: DataFrame, targets: DataFrame, request: str = "request_id", target: str = "target_no", batch: str = "batch_id", row_id: str = "plan_id", labels: tuple[str, ...] = LABELS, seed: int = 42, **kw
+) -> DataFrame:
+    """(request, target, row_id): the sample of each request; a row is drawn at most once for a request."""
+    names = [f"l{i}" for i in range(len(labels))]
+    plan = plan_quotas(rows, targets, request, target, batch, row_id, labels, **kw).where("cell_quota > 0")
+    key = F.struct("request", "batch", *names)
+    running = Window.partitionBy("request", "batch", *names).orderBy("target")
+    quota = plan.select("request", "batch", *names, "target", F.sum("cell_quota").over(running).alias("upto"), F.sum("cell_quota").over(Window.partitionBy("request", "batch", *names)).alias("whole"))
+    pool = rows.where(rows[row_id].isNotNull()).select(rows[batch].alias("b"), rows[row_id].alias("id"), *(label(rows[c]).alias(f"m{i}") for i, c in enumerate(labels)))
+    # A row delivered with several labels counts in its first cell alone.
+    pool = pool.groupBy("b", "id").agg(F.min(F.struct(*(f"m{i}" for i in range(len(labels))))).alias("m")).select("b", "id", "m.*")
+    whole = quota.select("request", "batch", *names, "whole").distinct()
+    same = F.col("batch") == F.col("b")
+    for i in range(len(labels)):
+        same &= F.col(f"l{i}").eqNullSafe(F.col(f"m{i}"))
+    chance = F.xxhash64(F.lit(seed), "request", "id")
+    drawn = whole.join(pool, same).select("request", "batch", *names, "whole", "id", chance.alias("chance"))
+    part = Window.partitionBy("request", "batch", *names, F.pmod("chance", F.lit(SPLIT))).orderBy("chance", "id")
+    drawn = drawn.withColumn("r", F.row_number().over(part)).where("r <= whole")
+    drawn = drawn.withColumn("r", F.row_number().over(Window.partitionBy("request", "batch", *names).orderBy("chance", "id"))).where("r <= whole")
+    drawn = drawn.withColumn("cell", key).select("cell", "id", "r")
+    least = quota.withColumn("cell", key).select("cell", "target", "upto")
+    hit = drawn.join(least, (drawn["cell"] == least["cell"]) & (F.col("r") <= F.col("upto")))
+    out = hit.groupBy(drawn["cell"]["request"].alias(request), F.col("id").alias(row_id)).agg(F.min("target").alias(target))
+    return out.select(request, target, row_id)
