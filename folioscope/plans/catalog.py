@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.operators import quota_sample, schema_drift
+from folioscope.plans import reference
 from folioscope.sources.tables import table
 
 
@@ -43,11 +44,11 @@ def p5_sample(spark: SparkSession, directory: str) -> DataFrame:
     return quota_sample.draw(table(spark, directory, "render_plan"), table(spark, directory, "sample_target"))
 
 
-QUERIES: dict = {f.__name__: f for f in (p4_found, p4_changes, p4_entries, p4_types, p5_found, p5_report, p5_sample)}
+QUERIES: dict = reference.QUERIES | {f.__name__: f for f in (p4_found, p4_changes, p4_entries, p4_types, p5_found, p5_report, p5_sample)}
 
 _LABEL = r"regexp_replace(lower(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '[_\-\s]+', '_', 'g')"
 _CELLS = "SELECT DISTINCT batch_id, plan_id, " + ", ".join(f"{_LABEL.format(c)} AS {c}" for c in quota_sample.LABELS) + " FROM render_plan WHERE plan_id IS NOT NULL"
-SQL: dict = {
+SQL: dict = reference.SQL | {
     "p5_found": f"""WITH p AS ({_CELLS}), t AS (SELECT request_id, target_no, batch_id, greatest(sample_size * target_percent / 100.0, min_rows) AS needed,
         {", ".join(f"{_LABEL.format(c)} AS {c}" for c in quota_sample.LABELS)} FROM sample_target)
         SELECT t.request_id, t.target_no FROM t LEFT JOIN p ON p.batch_id = t.batch_id AND
