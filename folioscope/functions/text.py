@@ -137,7 +137,7 @@ def neutral(text: Column) -> Column:
 def structure_signature(text: Column) -> Column:
     """One token per line by what opens it, joined by '|'."""
     def token(line: Column) -> Column:
-        t = F.trim(line)
+        t = strip(line)
         out = F.when(t == "", "_")
         for kind, pattern in (("h", "^#{1,6} "), ("c", "^(```|~~~)"), ("t", r"^\|"), ("q", "^>"), ("b", r"^[-*+] "), ("n", r"^\d+[.)] "), ("m", r"^(\$\$|\\\[)"), ("i", r"^!\["), ("r", "^(-{3,}|={3,})$"), ("x", "^<")):
             out = out.when(t.rlike(pattern), kind)

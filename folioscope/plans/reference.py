@@ -134,10 +134,10 @@ def part_slugs(spark: SparkSession, directory: str) -> DataFrame:
     return table(spark, directory, "part").select("p_partkey", text.slug(F.col("p_name")).alias("slug"))
 
 
-@query(r"""SELECT doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x: CASE WHEN trim(x) = '' THEN '_' WHEN regexp_matches(trim(x), '^#{1,6} ') THEN 'h'
-    WHEN regexp_matches(trim(x), '^(```|~~~)') THEN 'c' WHEN regexp_matches(trim(x), '^[|]') THEN 't' WHEN regexp_matches(trim(x), '^>') THEN 'q' WHEN regexp_matches(trim(x), '^[-*+] ') THEN 'b'
-    WHEN regexp_matches(trim(x), '^[0-9]+[.)] ') THEN 'n' WHEN regexp_matches(trim(x), '^([$][$]|\\\[)') THEN 'm' WHEN regexp_matches(trim(x), '^!\[') THEN 'i'
-    WHEN regexp_matches(trim(x), '^(-{3,}|={3,})$') THEN 'r' WHEN regexp_matches(trim(x), '^<') THEN 'x' ELSE 'p' END), '|') AS signature FROM documents WHERE text IS NOT NULL""")
+@query((r"""SELECT doc_id, array_to_string(list_transform(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^[~]+|[~]+$', '', 'g')), lambda x: CASE WHEN x = '' THEN '_' WHEN regexp_matches(x, '^#{1,6} ') THEN 'h'
+    WHEN regexp_matches(x, '^(```|~~~)') THEN 'c' WHEN regexp_matches(x, '^[|]') THEN 't' WHEN regexp_matches(x, '^>') THEN 'q' WHEN regexp_matches(x, '^[-*+] ') THEN 'b'
+    WHEN regexp_matches(x, '^[0-9]+[.)] ') THEN 'n' WHEN regexp_matches(x, '^([$][$]|\\\[)') THEN 'm' WHEN regexp_matches(x, '^!\[') THEN 'i'
+    WHEN regexp_matches(x, '^(-{3,}|={3,})$') THEN 'r' WHEN regexp_matches(x, '^<') THEN 'x' ELSE 'p' END), '|') AS signature FROM documents WHERE text IS NOT NULL""").replace("[~]", f"[{_S}]"))
 def structure_signatures(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").where("text is not null")
     return docs.select("doc_id", text.structure_signature(F.col("text")).alias("signature"))
@@ -215,11 +215,11 @@ def _once(spark: SparkSession, directory: str) -> DataFrame:
     return evaluation.first_delivery(table(spark, directory, "report"), ["run_id", "sample_index"], [F.col("received_at"), F.col("result_id")])
 
 
-@query(f"""SELECT run_id, count(*) AS total_samples, count(*) FILTER ({_OK}) AS successful, count(*) FILTER (NOT {_OK}) AS failed, round(avg(latency_ms), 6) AS avg_latency_ms,
+@query(f"""SELECT run_id, count(*) AS total_samples, count(*) FILTER ({_OK}) AS successful, count(*) FILTER (NOT {_OK}) AS failed, round(avg(latency_ms), 9) AS avg_latency_ms,
     count(*) FILTER ({_BLANK}) AS empty_count, round(count(*) FILTER ({_BLANK}) / count(*)::DOUBLE, 6) AS empty_rate FROM ({_ONCE}) GROUP BY run_id""")
 def run_summaries(spark: SparkSession, directory: str) -> DataFrame:
     out = evaluation.run_summary(_once(spark, directory), ["run_id"])
-    return out.withColumns({c: _r(F.col(c)) for c in ("avg_latency_ms", "empty_rate")})
+    return out.withColumns({"avg_latency_ms": _r(F.col("avg_latency_ms"), 9), "empty_rate": _r(F.col("empty_rate"))})
 
 
 @query(f"SELECT result_id FROM report WHERE {_OK} AND NOT {_BLANK}")
