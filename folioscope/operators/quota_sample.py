@@ -161,7 +161,9 @@ def plan_quotas(
     columns = ["request", "target", "batch", "needed", "available", "quota", "slack", *names, "cell_quota"]
     kinds = {c: asked.schema[c].dataType.simpleString() for c in ("request", "target", "batch")}
     schema = ", ".join(f"{c} {k}" for c, k in kinds.items()) + ", needed double, available long, quota long, slack long, " + ", ".join(f"{c} string" for c in names) + ", cell_quota long"
-    return joined.groupBy("request").applyInPandas(run, schema)
+    # The rows are few and the flows are work: a stated number of partitions keeps them from being merged into one task.
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+    return joined.repartition(parts, "request").groupBy("request").applyInPandas(run, schema)
 
 
 def quota_report(rows: DataFrame, targets: DataFrame, request: str = "request_id", target: str = "target_no", **kw) -> DataFrame:
