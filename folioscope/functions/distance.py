@@ -26,8 +26,8 @@ def words(text: Column) -> Column:
 
 
 def _as_letters(own: Column, vocabulary: Column) -> Column:
-    """Each word as one character of the private planes, by its place in the vocabulary."""
-    letter = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocabulary, w) + 0xF0000), 8, "0")), "UTF-32BE")
+    """Each word as one character beyond the basic plane, by its place in the vocabulary (up to a million different words)."""
+    letter = lambda w: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocabulary, w) + 0x10000), 8, "0")), "UTF-32")
     return F.array_join(F.transform(own, letter), "")
 
 

@@ -53,13 +53,13 @@ def class_counts(text: Column) -> dict[str, Column]:
 
 
 def text_stats(text: Column) -> list[Column]:
-    """The STATS of one page, as doubles; shares are of all characters, 0 for empty text."""
+    """The STATS of one page, as doubles; shares are of all characters, 0 for empty text, null for null."""
     size = F.char_length(text)
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(f"[^{SPACE}]"))
     total = F.aggregate(lines, F.lit(0), lambda a, x: a + F.char_length(x))
     counts = class_counts(text)
     out = [size.cast("double").alias(STATS[0]), F.size(lines).cast("double").alias(STATS[1])]
-    out.append(F.when(F.size(lines) > 0, total / F.size(lines)).otherwise(0.0).alias(STATS[2]))
+    out.append(F.when(F.size(lines) > 0, total / F.size(lines)).when(text.isNotNull(), 0.0).alias(STATS[2]))
     return out + [(counts[name.removesuffix("_share")] / F.greatest(size, F.lit(1))).alias(name) for name in STATS[3:]]
 
 

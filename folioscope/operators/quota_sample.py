@@ -10,7 +10,8 @@ at random, by a seeded hash.
 Labels are equal if they differ in case, outer blanks, or ``_``, ``-`` and blanks between
 words alone.  Defined results: a null label belongs only to targets that ask for any
 value; an empty label is a label; a null id counts for nothing; repeated rows count once;
-a request for a batch without rows has availability 0; targets with nothing to draw get
+a request for a batch without rows has availability 0; targets
+without a request or a number are left out; targets with nothing to draw get
 quota 0; tables may be empty.
 """
 
@@ -141,7 +142,7 @@ def plan_quotas(
     """(request, target, batch, needed, available, quota, slack, l0, l1, ..., cell_quota), a row per target and cell drawn from."""
     width = len(labels)
     names = [f"l{i}" for i in range(width)]
-    asked = targets.select(
+    asked = targets.where(targets[request].isNotNull() & targets[target].isNotNull()).select(
         targets[request].alias("request"), targets[target].alias("target"), targets[batch].alias("batch"), targets[percent].alias("percent"),
         targets[size].alias("size"), targets[floor].alias("floor"), *(label(targets[c]).alias(f"t{i}") for i, c in enumerate(labels)),
     )

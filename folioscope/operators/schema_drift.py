@@ -12,7 +12,7 @@ the two keys, over the whole table, have the same distribution of shapes.
 Defined results: files delivered again under another id count once (the least id);
 payloads that are no JSON, null or empty have no fields and are listed as broken;
 a file without a predecessor has no changes; null values have no type, so a field
-of nulls alone is never retyped.
+of nulls alone is never retyped; rows without a stream or a number have no changes.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ def json_type(value: Column) -> Column:
 def _files(df: DataFrame, stream: str, number: str, payload: str, file_id: str) -> DataFrame:
     """One row per (stream, number): the payload of the least id, as an array of entries."""
     rows = df.select(df[stream].alias("stream"), df[number].cast("int").alias("no"), df[file_id].alias("id"), df[payload].alias("payload"))
-    rows = rows.groupBy("stream", "no").agg(F.min_by("payload", "id").alias("payload"))
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "payload"))
+    rows = rows.groupBy("stream", "no").agg(first.alias("f")).select("stream", "no", "f.payload")
     body = F.trim(F.regexp_replace("payload", r"^[\s﻿]+", ""))
     return rows.select("stream", "no", F.try_parse_json(F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)).alias("v"))
 
@@ -118,14 +119,14 @@ def _shares(leaves: DataFrame, *keys: str) -> DataFrame:
     return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*keys))).drop("n")
 
 
-def _overlap(pairs: DataFrame, shares: DataFrame, keys: list[str], before: int, name: str) -> DataFrame:
-    """pairs' keys with the common share of the values of ``gone`` and ``new``; before: how many files earlier ``gone`` is read."""
+def _overlap(pairs: DataFrame, shares: DataFrame, keys: list[str], before: int, name: str, common: Column) -> DataFrame:
+    """pairs' keys with what ``gone`` (shares a) and ``new`` (shares b) have in common; before: how many files earlier ``gone`` is read."""
     old = shares.withColumnsRenamed({"field": "gone", "share": "a"})
     if "no" in keys:
         old = old.withColumn("no", F.col("no") + before)
     both = pairs.select(*keys, "gone", "new").distinct()
     alike = both.join(old, [*keys, "gone"]).join(shares.withColumnsRenamed({"field": "new", "share": "b"}), [*keys, "new", "shape"])
-    return alike.groupBy(*keys, "gone", "new").agg(F.sum(F.least("a", "b")).alias(name))
+    return alike.groupBy(*keys, "gone", "new").agg(common.alias(name))
 
 
 def schema_changes(
@@ -155,10 +156,10 @@ def _changes(df: DataFrame, fields: DataFrame, stream: str, number: str) -> Data
 
     pairs = removed.join(added, ["stream", "no"])
     leaves = _leaves(fields)
-    wide = _overlap(pairs, _shares(leaves, "field"), [], 0, "over_all")
-    # Words that stand in both files themselves speak for a pair too; numbers and masks agree too easily there.
+    wide = _overlap(pairs, _shares(leaves, "field"), [], 0, "over_all", F.sum(F.least("a", "b")))
+    # One key's words that stand under the other in the two files themselves speak for a pair too; numbers and masks agree too easily there.
     words = leaves.where(F.col("text").try_cast("double").isNull() & (_shape(F.col("text")) == F.col("text")))
-    near = _overlap(pairs, _shares(words, "stream", "no", "field"), ["stream", "no"], 1, "in_files")
+    near = _overlap(pairs, _shares(words, "stream", "no", "field"), ["stream", "no"], 1, "in_files", F.greatest(F.sum("a"), F.sum("b")))
     one, two = _words(F.col("gone")), _words(F.col("new"))
     plain = [F.lower(F.regexp_replace(F.col(c), r"[^\p{L}\d]+", "")) for c in ("gone", "new")]
     same = F.when(plain[0] == plain[1], 1.0).otherwise(F.size(F.array_intersect(one, two)) / F.size(F.array_union(one, two)))

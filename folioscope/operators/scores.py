@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,8 +89,6 @@ def item_scores(df: DataFrame, key: str, prediction: str, truth: str) -> DataFra
 
 def without_furniture(df: DataFrame, text: str, furniture: str) -> DataFrame:
     """df with the column text freed of the lines of the struct furniture (header, footer, page_number)."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def clean(page: pd.Series, parts: pd.DataFrame) -> pd.Series:
         rows = parts.to_dict("records")
