@@ -104,7 +104,7 @@ class Normaliser:
     def match(self, token: str) -> str | None:
         """The word the automaton reaches at the least cost within the budget; ties go to the smaller word."""
         # Nodes of the trie with the least cost at which the input so far leads there.
-        states: dict[int, tuple[int, dict]] = {id(self.trie): (0, self.trie)}
+        states: dict[int, tuple[int, dict]] = {}
 
         def put(into: dict, cost: int, node: dict) -> None:
             if cost <= self.budget and (id(node) not in into or into[id(node)][0] > cost):
@@ -113,6 +113,7 @@ class Normaliser:
                     if ch and cost < self.budget:
                         put(into, cost + 1, child)
 
+        put(states, 0, self.trie)
         for ch in unicodedata.normalize("NFD", token):
             same = unicodedata.normalize("NFD", self.table.get(ord(ch), ch))
             ahead: dict[int, tuple[int, dict]] = {}

@@ -33,7 +33,7 @@ PILE = 6.0
 EVIDENCE = {"inside": 5.0, "natural": -12.0, "complete": -12.0, "unaligned": -1.5, "none": -12.0}
 
 _MARK = re.compile(r"(?:\s|\.\.\.|…|�|\[(?:…|\.\.\.|cut|truncated)\]|[-–—~|\\&<{(\[])+$")
-_CLOSERS = re.compile(r"(?:</[A-Za-z][A-Za-z0-9]*>|<br ?/?>|\*{1,3}|_{1,2}|`+|~~|\}+|\]\]|'{2,3}|[\"”’」』)\]]|\||\\\\)*[ \t]*(?=\n|$)")
+_CLOSERS = re.compile(r"(?:[ \t]|</[A-Za-z][A-Za-z0-9]*>|<br ?/?>|\*{1,3}|_{1,2}|`+|~~|\}+|\]\]|'{2,3}|[\"”’」』)\]]|\||\\\\)*[ \t]*(?=\n|$)")
 _STOP = re.compile(r"[.!?…。！？][\"'”’」』)\]*_]*$")
 _TAILS = (14, 8, 5)
 _SPACE = re.compile(r"\s+")
@@ -110,12 +110,12 @@ def ending(text: str | None, page: str | None, fold=lambda s: s) -> str:
     if text[-12:] == page[-12:]:
         return "complete"
     bare = _MARK.sub("", text)
-    options = [text] if bare == text else [bare, text]
+    options = [text] if bare == text else [text, bare]
     for option in options:
         if len(option) < 5:
             continue
         at = _place(option, page)
-        if at is None and len(option) > TAIL and quoted(option[-240:], page) >= ALIKE:
+        if at is None and option is options[-1] and len(option) > TAIL and quoted(option[-240:], page) >= ALIKE:
             at = _near_place(option, page)
         if at is None:
             continue
