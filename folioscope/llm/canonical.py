@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.sources.shared import stored
+
 #: Bounds of the vocabulary that is broadcast: most frequent tokens, and the longest one kept.
 VOCABULARY = 20_000
 TOKEN_CHARS = 40
@@ -162,10 +164,20 @@ class Normaliser:
 
 
 def vocabulary(df: DataFrame, text: str, size: int = VOCABULARY) -> list[str]:
-    """The ``size`` most frequent tokens of all texts: at most size * TOKEN_CHARS characters reach the driver."""
-    token = F.explode(F.split(df[text], "[ \n\t 　]+")).alias("token")
+    """The most frequent tokens of all texts, at most ``size``: those above the least count that admits no more.
+
+    The counts stay in the cluster; how many tokens have each count gives the least count, so no more than ``size``
+    tokens of TOKEN_CHARS characters reach the driver, whatever the corpus.
+    """
+    token = F.explode(F.split(df[text], "[ \n\t\u00a0\u3000]+")).alias("token")
     counts = df.select(token).where((F.length("token") > 0) & (F.length("token") <= TOKEN_CHARS)).groupBy("token").agg(F.count("*").alias("n"))
-    return [r.token for r in counts.where("n > 1").orderBy(F.desc("n"), "token").limit(size).collect()]
+    counts = stored(counts.where("n > 1"), "tokens")
+    kept, least = 0, None
+    for r in counts.groupBy("n").agg(F.count("*").alias("m")).orderBy(F.desc("n")).limit(size + 1).collect():
+        if kept + r.m > size:
+            break
+        kept, least = kept + r.m, r.n
+    return sorted(r.token for r in counts.where(F.col("n") >= least).select("token").collect()) if least else []
 
 
 _NORMALISERS: dict[tuple[int, int], Normaliser] = {}
