@@ -38,6 +38,8 @@ PRIOR_WEIGHT = 0.05
 #: Periods, in letters, up to which a phrase that follows itself is a loop, and the run of letters compared.
 PERIOD = 80
 LOOP_GRAM = 6
+#: Least letters of a statement that can be said again inside a longer unit, in alphabets and in syllable or word signs.
+SENTENCE, DENSE_SENTENCE = 20, 12
 
 _NOISE = re.compile(r"[\W\d_]+")
 _TAG = re.compile(r"<!--.*?-->|</?[A-Za-z][^<>]*>|&\#?\w{1,8};|\\(?:begin|end|cite|ref|label)\{[^{}\n]*\}|\\[A-Za-z]+\*?|\{\{\w+\||\]\([^()\s]*\)", re.S)
@@ -73,26 +75,28 @@ def _in_loop(s: str) -> int:
 
 
 def repeated_share(text: str | None) -> float:
-    """Share of the characters of text, markup, blanks and signs aside, that repeat what stood earlier in it."""
+    """Share of the characters of text, markup and blanks aside, that repeat what stood earlier in it."""
     if not text:
         return 0.0
     plain = _TAG.sub(" ", text)
     seen: set[str] = set()
     said: set[str] = set()
+    told = ""
     again = total = 0
     for unit in _UNIT.split(plain):
         if not unit:
             continue
         full = _GAPS.sub("", unit).lower()
-        size = len(full)
+        size = len("".join(unit.split()))
         s = _NOISE.sub("", full) or full  # numbers don't matter but where there is nothing else
         if not s:
             continue
         total += size
-        if s in seen:
+        # Said before as a unit, or inside a longer one, as after a label; a few words alone are no statement.
+        if s in seen or len(s) >= (SENTENCE if s.isascii() else DENSE_SENTENCE) and s in told:
             again += size
             continue
-        loop = max(_in_loop(full), _in_loop(s) * size // len(s))
+        loop = size * max(_in_loop(full) / len(full), _in_loop(s) / len(s))
         again += loop
         grams = {s[i : i + 5] for i in range(len(s) - 4)}
         # A copy with a misread letter: nearly all its runs stand in earlier units.
@@ -100,6 +104,7 @@ def repeated_share(text: str | None) -> float:
             again += size - loop
         seen.add(s)
         said |= grams
+        told += "\n" + s
     return again / total if total else 0.0
 
 

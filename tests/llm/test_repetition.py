@@ -24,6 +24,7 @@ def test_shares():
     assert share("新しい様式" * 40) > 0.9 and share("신청 " * 50) > 0.9
     assert share(f"<p>{a}</p>\n<p><b>{b}</b></p>\n<p>{c}</p>") < 0.05
     assert share(f"{a} {b} {c} {a}") == pytest.approx(len(a) / len(a + a + b + c), abs=0.05)
+    assert share(f"**label**: {a}\n{a}\n{a}") == pytest.approx(2 * len(a) / (3 * len(a) + 5), abs=0.05)
     stock = [f"The {x} was copied at the {y} by hand." for x, y in zip(VOCABULARY[:20], VOCABULARY[20:40])]
     assert share(" ".join(stock)) < 0.5
 
