@@ -115,7 +115,7 @@ def _leaves(fields: DataFrame) -> DataFrame:
 
 
 def _shares(leaves: DataFrame, *keys: str) -> DataFrame:
-    counts = leaves.groupBy(*keys, _shape(F.col("text")).alias("shape")).agg(F.count("*").alias("n"))
+    counts = leaves.groupBy(*keys, "shape").agg(F.count("*").alias("n"))
     return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*keys))).drop("n")
 
 
@@ -155,10 +155,10 @@ def _changes(df: DataFrame, fields: DataFrame, stream: str, number: str) -> Data
     retyped = seen.where(here & (F.size("old") > 0) & (F.size("types") > 0) & (F.col("old") != F.col("types")))
 
     pairs = removed.join(added, ["stream", "no"])
-    leaves = _leaves(fields)
+    leaves = _leaves(fields).withColumn("shape", _shape(F.col("text")))
     wide = _overlap(pairs, _shares(leaves, "field"), [], 0, "over_all", F.sum(F.least("a", "b")))
     # One key's words that stand under the other in the two files themselves speak for a pair too; numbers and masks agree too easily there.
-    words = leaves.where(F.col("text").try_cast("double").isNull() & (_shape(F.col("text")) == F.col("text")))
+    words = leaves.where(F.col("text").try_cast("double").isNull() & (F.col("shape") == F.col("text")))
     near = _overlap(pairs, _shares(words, "stream", "no", "field"), ["stream", "no"], 1, "in_files", F.greatest(F.sum("a"), F.sum("b")))
     one, two = _words(F.col("gone")), _words(F.col("new"))
     plain = [F.lower(F.regexp_replace(F.col(c), r"[^\p{L}\d]+", "")) for c in ("gone", "new")]
@@ -176,6 +176,7 @@ def _changes(df: DataFrame, fields: DataFrame, stream: str, number: str) -> Data
         for side in ("gone", "new"):
             rest = rest.join(take.select("stream", "no", side), ["stream", "no", side], "left_anti")
         rest = rest.select(scored.columns)
+    chosen = stored(chosen.select("stream", "no", "gone", "new", "old_types", "new_types"), "chosen")
     none = F.lit(None).cast("string")
     empty = F.array().cast("array<string>")
     out = chosen.select("stream", "no", F.col("gone").alias("field_name"), F.lit("renamed").alias("change_kind"), F.col("new").alias("new_name"), "old_types", "new_types")
