@@ -21,7 +21,9 @@ def wiki_parts(lines: DataFrame, line: str, position: str, least: int = 60, most
     t = strip(F.col(line))
     head = F.regexp_extract(t, r"^\s*=+\s*(.*?)\s*=+\s*$", 1)
     rows = lines.where(t != "").select(F.when(t.rlike(r"^\s*=+\s*.*?\s*=+\s*$"), "title").otherwise("paragraph").alias("kind"), head.alias("h"), t.alias("t"), F.col(position).alias("position"))
-    rows = rows.withColumn("item", F.when(F.col("kind") == "title", wiki_clean(F.replace("h", F.lit("="), F.lit(" ")))).otherwise(wiki_clean(F.col("t"))))
+    raw = F.when(F.col("kind") == "title", F.replace("h", F.lit("="), F.lit(" "))).otherwise(F.col("t"))
+    # The explode of one value keeps the optimiser from copying the patterns into every filter.
+    rows = rows.select("kind", "position", F.explode(F.array(wiki_clean(raw))).alias("item"))
     size = F.char_length("item")
     letters = size - F.char_length(F.regexp_replace("item", r"\p{L}", ""))
     title = (F.col("kind") == "title") & ~F.col("item").rlike(r"^[^\s:]{1,12}:") & size.between(2, 40)

@@ -87,6 +87,16 @@ def item_scores(df: DataFrame, key: str, prediction: str, truth: str) -> DataFra
     return _kernel(df, key, [prediction, truth], names, layout.item_scores)
 
 
+def error_rates(df: DataFrame, key: str, prediction: str = "prediction", truth: str = "ground_truth") -> DataFrame:
+    """(key, cer, wer, exact, char_accuracy, ned) of whole texts; bit-parallel, so long texts cost little more than short ones."""
+
+    def rates(guess: str | None, true: str | None) -> dict[str, float]:
+        rate = blocks.cer(true, guess)
+        return {"cer": rate, "wer": blocks.wer(true, guess), "exact": float((guess or "").strip() == (true or "").strip()), "char_accuracy": max(0.0, 1 - rate), "ned": layout.ned(guess or "", true or "")}
+
+    return _kernel(df, key, [prediction, truth], ["cer", "wer", "exact", "char_accuracy", "ned"], rates)
+
+
 def without_furniture(df: DataFrame, text: str, furniture: str) -> DataFrame:
     """df with the column text freed of the lines of the struct furniture (header, footer, page_number)."""
     @F.pandas_udf("string")

@@ -181,11 +181,9 @@ def ascii_cer(spark: SparkSession, directory: str) -> DataFrame:
 
 @query()
 def error_rates(spark: SparkSession, directory: str) -> DataFrame:
-    """Character and word error rates, accuracy and likeness of every result."""
-    t, p = F.col("ground_truth"), F.col("prediction")
-    return table(spark, directory, "report").select(
-        "result_id", _r(distance.cer(t, p)).alias("cer"), _r(distance.wer(t, p)).alias("wer"), distance.exact(t, p).alias("exact"), _r(distance.character_accuracy(t, p)).alias("char_accuracy"), _r(distance.ned(p, t)).alias("ned")
-    )
+    """Character and word error rates, accuracy and distance of every result."""
+    out = scores.error_rates(table(spark, directory, "report"), "result_id")
+    return out.withColumns({c: _r(F.col(c)) for c in ("cer", "wer", "char_accuracy", "ned")})
 
 
 _W = lambda c: f"list_distinct(list_filter(regexp_split_to_array(coalesce({c}, ''), '[{_S}]+'), lambda w: w <> ''))"

@@ -117,6 +117,8 @@ def test_score_operators(spark):
     assert (got.scored, got.avg_overall_score, got.std_overall_score) == (1, 1.0, 0.0)
     kinds = [(r.result_id, r.block_type) for r in scores.page_blocks(df, "result_id", "prediction").orderBy("result_id", "position").collect()]
     assert kinds == [(1, "text"), (1, "formula"), (3, "text")]
+    rates = {r.result_id: r for r in scores.error_rates(df, "result_id").collect()}
+    assert (rates[1].cer, rates[2].cer, rates[2].wer, rates[3].exact, rates[2].ned) == (0.0, 1.0, 1.0, 1.0, 1.0)
     maps = spark.createDataFrame([(1, {"a": "x", "b": "q"}, {"a": "x", "c": "z"}), (2, {}, {}), (3, None, {"a": "x"})], "k int, p map<string,string>, t map<string,string>")
     got = {r.k: (r.precision, r.recall, r.f1, r.avg_ned) for r in scores.entity_scores(maps, "k", "p", "t").collect()}
     assert got == {1: (0.5, 0.5, 0.5, 0.5), 2: (1.0, 1.0, 1.0, 0.0), 3: (0.0, 0.0, 0.0, 1.0)}
