@@ -16,13 +16,16 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.llm import truncation
-from folioscope.llm.truncation import ending, fold, quoted
+from folioscope.llm.repetition import signs
+from folioscope.llm.truncation import ALIKE, ending, fold, quoted
 
 DEFECTS = ("empty", "error_text", "refusal", "copied_prompt", "wrong_language", "truncated")
 
@@ -79,12 +82,21 @@ def copies(text: str, prompt: str | None) -> bool:
     return bool(whole) and (bare(text) == whole or bare(_LABEL.sub("", text, count=1)) == whole)
 
 
+@cache
+def _letters() -> np.ndarray:
+    """Code point -> 1 to 5 for the letters of _HANGUL, _KANA, _HAN, _LATIN and _CYRILLIC, else 0."""
+    plane, out = "".join(map(chr, range(0x10000))), np.zeros(0x10000, np.uint8)
+    for i, letters in enumerate((_HANGUL, _KANA, _HAN, _LATIN, _CYRILLIC), 1):
+        out[[ord(c) for c in letters.findall(plane)]] = i
+    return out
+
+
 def language(text: str) -> str | None:
     """ko, ja, zh, ru or en by the letters; a syllable or kanji weighs as much as 2.5 letters."""
     if text.isascii():
         return "en" if len(_LATIN.findall(text)) >= 3 else None
-    text = unicodedata.normalize("NFKC", text)
-    hangul, kana, han, latin, cyrillic = (len(x.findall(text)) for x in (_HANGUL, _KANA, _HAN, _LATIN, _CYRILLIC))
+    codes = np.frombuffer(unicodedata.normalize("NFKC", text).encode("utf-32-le", "surrogatepass"), np.uint32)
+    _, hangul, kana, han, latin, cyrillic = np.bincount(_letters()[np.minimum(codes, 0xFFFF)], minlength=6).tolist()
     east = kana + han
     weights = {"ko": 2.5 * hangul, "ja": 2.5 * east, "en": latin, "ru": cyrillic}
     best = max(weights, key=weights.get)
@@ -93,15 +105,30 @@ def language(text: str) -> str | None:
     return "zh" if best == "ja" and kana * 20 < han and han >= 8 else best
 
 
+def standing(text: str, page: str) -> float:
+    """Share of the different runs of 7 letters and digits of text that stand in page, markup aside; said again counts once."""
+    text, page = signs(fold(text)), signs(fold(page))
+    runs = {text[i : i + 7] for i in range(0, max(len(text) - 6, 1), 3)}
+    return sum(r in page for r in runs) / len(runs)
+
+
+def foreign(text: str, page: str) -> bool:
+    """Whether text is in another language than page; kana alone don't tell Japanese from a Chinese page."""
+    one, two = language(text), language(page)
+    return bool(one and two and one != two and {one, two} != {"ja", "zh"} or (one, two) == ("zh", "ja"))
+
+
 def rule(text: str | None, page: str | None, prompt: str | None, stops: str) -> str | None:
     """The first defect that the rules on one pair give, without truncation."""
     content = bool(visible(page))
     if is_empty(text):
         return "empty" if content and not is_empty(page) else None
     page = page or ""
-    if stops in ("complete", "natural", "inside"):  # it ends as the page does somewhere: it gives the page
-        if len(text) > MESSAGE_CHARS or stops == "complete":
-            return None
+    if text == page:
+        return None
+    # An end as the page has it somewhere may be mere closing markup: the text gives the page if its runs stand there too.
+    if stops == "complete" and len(text) <= MESSAGE_CHARS and standing(text, page) >= ALIKE:
+        return None
     if len(text) <= MESSAGE_CHARS:
         shown = fold(text)
         message, refusal = ERROR.search(shown), REFUSAL.search(shown)
@@ -109,10 +136,8 @@ def rule(text: str | None, page: str | None, prompt: str | None, stops: str) ->
             return "error_text" if message else "refusal"
         if copies(text, prompt) and not copies(page, prompt):
             return "copied_prompt"
-    if stops == "unaligned" and content:
-        one, two = language(text), language(page)
-        if one and two and one != two and {one, two} != {"ja", "zh"} or (one, two) == ("zh", "ja"):
-            return "wrong_language"
+    if content and foreign(text, page) and standing(text, page) < ALIKE:
+        return "wrong_language"
     return None
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -197,6 +198,7 @@ def limits(df: DataFrame, source: str, text: str) -> DataFrame:
 _FOLD: list[Normaliser] = []
 
 
+@lru_cache(8)  # the rules ask for a pair's texts again
 def fold(text: str) -> str:
     """Look-alikes in one form, with this worker's table."""
     if not _FOLD:

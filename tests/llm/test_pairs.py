@@ -59,6 +59,22 @@ def test_rules(text, page, prompt, defect):
     assert pairs.rule(text, page, prompt, ending(text, page, fold)) == defect
 
 
+KOREAN = "<h4>공식 화면 현황</h4>\n\n" + "<p>접수처의 판독본은 지사의 요청으로 반려하였다. 임시 현황판은 서식에 따라 회의실에 보관된다.</p>\n" * 3
+CLOSED = "\n<table>\n<tr><td>97.8%</td></tr>\n</TABLE>"
+
+
+def test_an_end_of_mere_markup_is_no_proof_of_the_page():
+    page = PAGE + "\n" + CLOSED
+    for text in (KOREAN + CLOSED, KOREAN * 8 + CLOSED, KOREAN + CLOSED.replace("97.8", "82.0")):
+        assert ending(text, page, fold) == "complete" and pairs.rule(text, page, "p", "complete") == "wrong_language"
+    assert pairs.rule(KOREAN, page, "p", "natural") == pairs.rule(KOREAN * 8, page, "p", "inside") == "wrong_language"
+    # The page itself, misread or with a loop in another language, is answered in its language.
+    mixed = "<p>수정 안내</p>\n\n" + PAGE + CLOSED
+    assert pairs.rule(mixed.replace("sentence", "sentencc"), mixed, "p", "complete") is None
+    for stops in ("complete", "natural", "inside", "unaligned"):
+        assert pairs.rule(mixed + "\n" + "수정 안내\n" * 400, mixed, "p", stops) is None
+
+
 def table_of(spark):
     rows = [(i, "m", *r[:3]) for i, r in enumerate(RULES)]
     rows += [(90, None, PAGE[: PAGE.index("eper of")], PAGE, "p")] * 2 + [(91, "m", PAGE[: PAGE.index(" The second")], PAGE, "p"), (92, "m", "x" * 100_000, PAGE, None)]
