@@ -4,8 +4,8 @@ A text is read once: code (fenced, inline, pre, verbatim) and formulas are taken
 content, then HTML, LaTeX, wiki and Markdown signs are recognised line by line and
 replaced by one light layout: ``# `` headings, ``- `` items, `` | `` between cells,
 fences around code, ``$`` around formulas.  The lengths of the remaining text are summed
-over a sliding window of lines; from the first surge to the last dive the lines are
-kept, so lines of mere markup before, after and between drop out.
+over a sliding window of lines.  The clean text keeps every line with a letter or digit,
+so one character is a surge: only lines of mere signs drop out.
 
 Defined results: null gives null and no kinds; empty and blank texts give an empty text
 and no kinds; an unclosed code fence runs to the end; signs that are part of the prose
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from folioscope.llm.truncation import fold
 
 KINDS = ("html", "latex", "markdown", "wiki")
-#: Lines in the sliding window, and the characters of text in it that make a surge.
+#: Lines in the sliding window, and the characters of text in it that make a surge; with more than 1, short lines that stand alone would be lost.
 WINDOW = 3
 SURGE = 1
 

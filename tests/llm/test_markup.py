@@ -37,6 +37,10 @@ def test_lines_of_mere_markup_drop_out():
     assert markup.analyse(page)[0].split() == "First words here. Second words.".split()
 
 
+def test_every_line_of_text_is_kept():
+    assert markup.analyse("***\n\n\n7\n\n\n<div>\n\n\nx\n\n\n---|---\n")[0].split() == ["7", "x"]
+
+
 def test_operator(spark):
     rows = [(1, "# a", "<p>a</p>"), (2, None, ""), (1, "# a", "<p>a</p>"), (3, "x " * 60_000 + "**b**", "plain")]
     df = spark.createDataFrame([(*r, "k", ["z"]) for r in rows], "result_id long, prediction string, ground_truth string, field_name string, kinds array<string>")
