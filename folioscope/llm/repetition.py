@@ -35,7 +35,7 @@ REPEATED = 0.5
 TRUSTED_PRIOR = (0.94, 0.04, 0.01, 0.01)
 RAW_PRIOR = (0.55, 0.15, 0.1, 0.2)
 PRIOR_WEIGHT = 0.05
-#: Periods, in letters, up to which a phrase that follows itself is a loop, and the run of letters compared.
+#: Distance, in letters, up to which LOOP_GRAM equal letters are a phrase that follows itself; farther apart it takes a statement's letters.
 PERIOD = 80
 LOOP_GRAM = 6
 #: Least letters of a statement that can be said again inside a longer unit, in alphabets and in syllable or word signs.
@@ -57,21 +57,27 @@ def signs(text: str) -> str:
 
 
 def _in_loop(s: str) -> int:
-    """Letters of s that belong to a phrase that just stood before."""
+    """Letters of s that belong to a phrase that just stood before, or to a statement that stood anywhere before."""
     m = len(s) - LOOP_GRAM + 1
     if m < 3:
         return 0
     grams = [s[i : i + LOOP_GRAM] for i in range(m)]
     if len(set(grams)) > 0.9 * m:
         return 0
+    covered = bytearray(len(s))
     last: dict[str, int] = {}
-    covered, reach = 0, 0
     for i, g in enumerate(grams):
         if i - last.get(g, -PERIOD - 1) <= PERIOD:
-            covered += i + LOOP_GRAM - max(i, reach)
-            reach = i + LOOP_GRAM
+            covered[i : i + LOOP_GRAM] = b"\1" * LOOP_GRAM
         last[g] = i
-    return covered
+    if len(s) > PERIOD:
+        size = SENTENCE if s.isascii() else DENSE_SENTENCE
+        seen: set[str] = set()
+        for i in range(len(s) - size + 1):
+            if (g := s[i : i + size]) in seen:
+                covered[i : i + size] = b"\1" * size
+            seen.add(g)
+    return sum(covered)
 
 
 def repeated_share(text: str | None) -> float:

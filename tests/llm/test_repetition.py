@@ -29,6 +29,18 @@ def test_shares():
     assert share(" ".join(stock)) < 0.5
 
 
+def test_loops_of_any_length():
+    rng = random.Random(19)
+    share = repetition.repeated_share
+    for words in (14, 25, 60, 300):
+        phrase = " ".join(rng.choices(VOCABULARY, k=words))
+        assert len(phrase.replace(" ", "")) > repetition.PERIOD and share(phrase) < 0.05
+        assert share(" ".join([phrase] * 6)) == pytest.approx(5 / 6, abs=0.03)
+        assert share(" ".join(f"{i} {phrase}" for i in range(6))) > 0.78
+    phrase = "".join(rng.choices([chr(0xAC00 + i) for i in range(3000)], k=130))
+    assert share(phrase) < 0.05 and share(phrase * 3) == pytest.approx(2 / 3, abs=0.02)
+
+
 def test_no_repetitive_document_escapes_the_threshold(spark):
     rng = random.Random(15)
     rows = []
