@@ -4,14 +4,15 @@ A document is a bag of hashed n-gram features: the hash bucket of each run of GR
 letters and digits together with how often that run stood earlier in the document.  Two
 multinomials are fitted to all texts: one to the trusted reference texts, one to the
 raw texts, each with a prior on the recurrence levels.  A document's score is its
-log-likelihood ratio (trusted against raw) per feature, and every document is held
-against one threshold: the score of a document of which RECUR of the features recur.
+log-likelihood ratio (trusted against raw) per feature, with its digits or without them,
+whichever recurs more, and every document is held against one threshold: the score of a
+document of which RECUR of the features recur.
 An exact check follows for the documents below it: the share of letters and digits in
 sentences, lines and phrases that repeat earlier ones.
 
 Case, blanks, end marks, numbers and markup don't count, and the first statement is
 not repeated content.  Defined results: null, empty and blank texts, and texts without
-letters, have the share 0; texts shorter than GRAM signs are checked exactly.
+letters, have the share 0; texts with less than GRAM letters are checked exactly.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ _UNIT = re.compile(r"[\n|]+|(?<=[.!?])[\"'”’)\]]*\s+|(?<=[。！？])")
 
 
 _GAPS = re.compile(r"[\W_]+")
+_DIGITS = re.compile(r"\d+")
 
 
 def signs(text: str) -> str:
@@ -136,7 +138,10 @@ def _near_copy(s: str, seen: set[str]) -> bool:
 
 def _runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, bucket, count) of every different run of GRAM signs of each text."""
-    plain = [signs(t) for t in texts]
+    return _plain_runs([signs(t) for t in texts])
+
+
+def _plain_runs(plain: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.array([len(p) for p in plain], np.int64)
     codes = np.frombuffer("".join(plain).encode("utf-32-le"), np.uint32).astype(np.uint64)
     n = len(codes) - GRAM + 1
@@ -147,7 +152,7 @@ def _runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h = h * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + n]
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
-    doc = np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)[:n]
+    doc = np.repeat(np.arange(len(plain), dtype=np.uint64), sizes)[:n]
     last = np.repeat(np.cumsum(sizes), sizes)[:n]
     inside = np.arange(n) + GRAM <= last  # runs that don't cross into the next text
     keys = np.sort((doc[inside] << np.uint64(40)) | (h[inside] >> np.uint64(24)))
@@ -205,16 +210,28 @@ def fit(df: DataFrame, raw: str, trusted: str) -> tuple[np.ndarray, float]:
     return w, float((1 - RECUR) * by_level[0].mean() + RECUR * by_level[1:].max())
 
 
-def scores(texts: list[str], w: np.ndarray) -> np.ndarray:
-    """Length-normalised log-likelihood ratio of each text; -inf for texts without a run of GRAM signs."""
-    doc, bucket, counts = _runs(texts)
-    total = np.bincount(doc, counts, len(texts)) if len(doc) else np.zeros(len(texts))
-    value = np.zeros(len(texts))
+def _scores(plain: list[str], w: np.ndarray) -> np.ndarray:
+    doc, bucket, counts = _plain_runs(plain)
+    total = np.bincount(doc, counts, len(plain)) if len(doc) else np.zeros(len(plain))
+    value = np.zeros(len(plain))
     for level, share in enumerate(_by_level(counts)):
-        value += np.bincount(doc, share * w[level * BUCKETS + bucket], len(texts)) if len(doc) else 0
+        value += np.bincount(doc, share * w[level * BUCKETS + bucket], len(plain)) if len(doc) else 0
     return np.where(total > 0, value / np.maximum(total, 1), -np.inf)
 
 
+def scores(texts: list[str], w: np.ndarray) -> np.ndarray:
+    """Length-normalised log-likelihood ratio of each text; -inf for texts without a run of GRAM letters.
+
+    A running number must not hide a repeated statement, and a number that follows itself is repeated too: the lower score counts.
+    """
+    plain = [signs(t) for t in texts]
+    letters = [_DIGITS.sub("", p) for p in plain]
+    score = _scores(plain, w)
+    fewer = [i for i, (p, q) in enumerate(zip(plain, letters, strict=True)) if len(p) > len(q)]
+    score[fewer] = np.minimum(score[fewer], _scores([letters[i] for i in fewer], w))
+    return score
+
+
 def repetition(df: DataFrame, key: str = "result_id", text: str = "prediction", trusted: str = "ground_truth", all_shares: bool = False) -> DataFrame:
     """(key, score, checked, share): share is exact for checked rows, for all rows with all_shares, else null."""
     w, least = fit(df, text, trusted)

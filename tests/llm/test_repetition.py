@@ -62,6 +62,17 @@ def test_no_repetitive_document_escapes_the_threshold(spark):
     assert repetition.repetitive(df.limit(0)).count() == 0
 
 
+def test_running_numbers_pass_the_threshold(spark):
+    rng = random.Random(20)
+    rows = [(i, " ".join(sentence(rng) for _ in range(6))) for i in range(40)]
+    running = ["\n".join(f"{unit} {i}" for i in range(40)) for unit in ("line", "no", "Zeile nr", "줄")] + ["Opening balance of the year\n" + "1234\n" * 60, "77 " * 40]
+    rows += [(100 + i, text) for i, text in enumerate(running)]
+    df = spark.createDataFrame([(i, t, t if i < 100 else "x") for i, t in rows], "result_id long, prediction string, ground_truth string").repartition(2)
+    assert all(repetition.repeated_share(t) >= 0.5 for t in running)
+    assert sorted(r.result_id for r in repetition.repetitive(df).collect()) == [100 + i for i in range(len(running))]
+    assert repetition.repetition(df).where("checked").count() < 20
+
+
 def test_runs_against_counting():
     from collections import Counter
 
