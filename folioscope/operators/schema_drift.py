@@ -17,6 +17,8 @@ of nulls alone is never retyped; rows without a stream or a number have no chang
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ from folioscope.sources.shared import stored
 #: Least similarity of two keys' values for a rename, and how much equal words of the names add to it.
 SAME_VALUES = 0.6
 NAME_WEIGHT = 0.5
+#: Rounds of matching renames in one plan; what they leave is stored after each further round.
+PLAIN_ROUNDS = 2
 #: Most distinct field names for which the names' links are resolved on the driver.
 MAX_FIELDS = 10_000
 
@@ -167,16 +171,22 @@ def _changes(df: DataFrame, fields: DataFrame, stream: str, number: str) -> Data
     scored = scored.withColumn("v", F.greatest(F.coalesce("over_all", F.lit(0.0)), F.coalesce("in_files", F.lit(0.0)))).withColumn("w", same)
     scored = scored.where((F.col("w") == 1) | (F.col("v") >= SAME_VALUES)).withColumn("score", F.col("v") + NAME_WEIGHT * F.col("w"))
     scored = stored(scored.select("stream", "no", "gone", "new", "old_types", "new_types", "score"), "renames")
-    # Each field takes part in one rename: pairs that are best for both sides, then the best of what they leave.
-    chosen, rest = None, scored
-    for _ in range(2):
+    # Each field takes part in one rename: pairs that are best for both sides, then the best of what they leave, until nothing is left.
+    taken, rest = [], scored
+    while True:
         best = [F.row_number().over(Window.partitionBy("stream", "no", side).orderBy(F.desc("score"), "gone", "new")) for side in ("gone", "new")]
         take = rest.select("*", best[0].alias("r1"), best[1].alias("r2")).where("r1 = 1 and r2 = 1").drop("r1", "r2")
-        chosen = take if chosen is None else chosen.union(take)
+        if len(taken) >= PLAIN_ROUNDS:  # seldom: what is left has a best pair, so a round always takes one of each file
+            take = stored(take, "taken")
+        taken.append(take)
         for side in ("gone", "new"):
             rest = rest.join(take.select("stream", "no", side), ["stream", "no", side], "left_anti")
         rest = rest.select(scored.columns)
-    chosen = stored(chosen.select("stream", "no", "gone", "new", "old_types", "new_types"), "chosen")
+        if len(taken) >= PLAIN_ROUNDS:
+            rest = stored(rest, "rest")
+            if rest.isEmpty():
+                break
+    chosen = stored(reduce(DataFrame.union, taken).select("stream", "no", "gone", "new", "old_types", "new_types"), "chosen")
     none = F.lit(None).cast("string")
     empty = F.array().cast("array<string>")
     out = chosen.select("stream", "no", F.col("gone").alias("field_name"), F.lit("renamed").alias("change_kind"), F.col("new").alias("new_name"), "old_types", "new_types")
@@ -217,8 +227,6 @@ def consistent_entries(
     df: DataFrame, stream: str = "stream_name", number: str = "file_no", payload: str = "payload", file_id: str = "file_id", columns: dict[str, str] = ENTRY_COLUMNS
 ) -> DataFrame:
     """One row per entry: stream, number, entry_no, the typed columns, extra and failed_casts (columns whose value has no such type)."""
-    from functools import reduce
-
     fields = _stored_fields(df, stream, number, payload, file_id)
     name = _names(_changes(df, fields, stream, number), columns)
     # A wrapped value stands for what it holds: the only or first member of an array, the code or key of an object.

@@ -34,6 +34,14 @@ def test_changes(files):
     }
 
 
+def test_competing_renames_are_matched_to_the_last(spark):
+    # All pairs are equally good, so each round takes one.
+    names = {"alpha": "kilo", "bravo": "lima", "carol": "mike", "delta": "nova"}
+    files = [(n, "s", n, json.dumps([{x: "words to compare" for x in fields}]), "", "") for n, fields in ((1, names), (2, names.values()))]
+    got = {(r.field_name, r.change_kind, r.new_name) for r in schema_drift.schema_changes(spark.createDataFrame(files, SCHEMA)).collect()}
+    assert got == {(a, "renamed", b) for a, b in names.items()}
+
+
 def test_entries_and_broken_files(files):
     columns = {"language": "string", "score": "double", "n": "bigint", "when": "timestamp"}
     rows = {(r.stream_name, r.file_no, r.entry_no): r for r in schema_drift.consistent_entries(files, columns=columns).collect()}
