@@ -555,11 +555,17 @@ def capture_plans(spark: SparkSession, directory: str) -> DataFrame:
     return plans(rows, CHANNELS).withColumn("degradation_params", F.to_json("degradation_params"))
 
 
+#: Most distinct part names that are broadcast as the words of the generated pages; more raise an error.
+MAX_NAMES = 1_000_000
+
+
 @query()
 def generated_pages(spark: SparkSession, directory: str) -> DataFrame:
     """A synthetic page for every supplier, its words from the part names."""
     from folioscope.operators.generation import generate_pages
 
-    words = [r.p_name for r in table(spark, directory, "part").select("p_name").distinct().orderBy("p_name").limit(2000).collect()]
+    words = [r.p_name for r in table(spark, directory, "part").select("p_name").distinct().orderBy("p_name").limit(MAX_NAMES + 1).collect()]
+    if len(words) > MAX_NAMES:
+        raise ValueError(f"more than {MAX_NAMES} distinct part names")
     pages = generate_pages(spark, table(spark, directory, "supplier").count(), words, shard_size=32)
     return pages.select("shard", "sample_index", F.array_join("block_types", "|").alias("block_types"), F.length("GT_markdown").alias("chars"), "selection_attempt")

@@ -47,6 +47,21 @@ def test_pages_do_not_depend_on_partitions(spark):
                 assert int(cells[1]) * int(cells[2]) == int(cells[3])
 
 
+def test_pages_draw_from_all_names(spark, tmp_path, monkeypatch):
+    from folioscope.plans import reference
+
+    names = [f"name {i:05d}" for i in range(2600)]
+    spark.createDataFrame([(n,) for n in names + names[:3]], "p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(3).write.parquet(str(tmp_path / "supplier.parquet"))
+    given = []
+    make = generation.generate_pages
+    monkeypatch.setattr(generation, "generate_pages", lambda spark, total, words, **kw: given.extend(words) or make(spark, total, words, **kw))
+    assert reference.generated_pages(spark, str(tmp_path)).count() == 3 and given == names
+    monkeypatch.setattr(reference, "MAX_NAMES", 2599)
+    with pytest.raises(ValueError):
+        reference.generated_pages(spark, str(tmp_path))
+
+
 def test_capture_plans(spark):
     from folioscope.plans.reference import CHANNELS
 
