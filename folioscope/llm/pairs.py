@@ -29,7 +29,7 @@ from folioscope.llm.truncation import ALIKE, ending, fold, quoted
 
 DEFECTS = ("empty", "error_text", "refusal", "copied_prompt", "wrong_language", "truncated")
 
-#: A message or refusal is at most this long; a longer text is a page that quotes one.
+#: A longer text is a message or refusal only if it neither gives the page nor may be a page in another language, or says so in its first line.
 MESSAGE_CHARS = 600
 #: Share of a message's runs of characters that may also stand in the page.
 QUOTED = 0.34
@@ -50,6 +50,7 @@ REFUSAL = re.compile(
     re.I,
 )
 _LABEL = re.compile(r"^[^\w\s]{0,3}\s*(?:[^\W\d_]{1,12}\s?){1,2}\s*[:：]\s*")
+_OUTER = re.compile(r"^\W+|(?<!\W)\W+$")
 _SPACE = re.compile(r"\s+")
 _INVISIBLE = re.compile("[\\s­͏ᅟᅠ​-‏ -‮⁠-⁤ㅤ︀-️﻿ﾠ]+")
 _HANGUL, _KANA, _HAN, _LATIN = (re.compile(f"[{x}]") for x in ("가-힣ᄀ-ᇿㄱ-ㆎ", "ぁ-ゖァ-ヺｦ-ﾝ", "一-鿿", "A-Za-zÀ-ɏ"))
@@ -71,12 +72,14 @@ def is_empty(text: str | None) -> bool:
 def bare(text: str) -> str:
     """text without case, blanks and outer signs."""
     text = _SPACE.sub("", unicodedata.normalize("NFKC", fold(text)).casefold())
-    return re.sub(r"^\W+|\W+$", "", text)
+    return _OUTER.sub("", text)
 
 
 def copies(text: str, prompt: str | None) -> bool:
     """Nothing but the prompt, apart from case, outer signs, a leading label and line breaks."""
-    if not prompt or len(text) > len(prompt) + 60:
+    if not prompt:
+        return False
+    if len(text) > len(prompt) + 60 and len(_OUTER.sub("", "".join(text.split()))) > 3 * len(prompt) + 60:  # composed letters are up to 3 code points
         return False
     whole = bare(prompt)
     return bool(whole) and (bare(text) == whole or bare(_LABEL.sub("", text, count=1)) == whole)
@@ -134,13 +137,31 @@ def rule(text: str | None, page: str | None, prompt: str | None, stops: str) ->
         message, refusal = ERROR.search(shown), REFUSAL.search(shown)
         if (message or refusal) and quoted(shown, fold(page)) <= QUOTED:
             return "error_text" if message else "refusal"
-        if copies(text, prompt) and not copies(page, prompt):
-            return "copied_prompt"
+    elif defect := _long_message(text, page):
+        return defect
+    if copies(text, prompt) and not copies(page, prompt):
+        return "copied_prompt"
     if content and foreign(text, page) and standing(text, page) < ALIKE:
         return "wrong_language"
     return None
 
 
+def _long_message(text: str, page: str) -> str | None:
+    """error_text or refusal for a text that doesn't fit MESSAGE_CHARS and of which little stands in page, said once or again."""
+    shown, whole = fold(text), fold(page)
+    step = len(shown) // 5
+    if sum(shown[i : i + 16] in whole for i in range(0, step * 5, step)) > 2:  # most of it stands in the page
+        return None
+    # A page in another language may hold such words too, below its head.
+    said = shown.lstrip().split("\n", 1)[0] if foreign(text, page) else shown
+    message = ERROR.search(said)
+    if not message and not REFUSAL.search(said):
+        return None
+    if standing(text, page) > QUOTED or quoted(shown, whole) > QUOTED:
+        return None
+    return "error_text" if message else "refusal"
+
+
 def shortened(df: DataFrame, text: str, page: str) -> DataFrame:
     """(page_key, text_key, more): responses that are a prefix of another response to the page, or of the page; more is what follows there.
 

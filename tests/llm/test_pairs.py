@@ -75,6 +75,22 @@ def test_an_end_of_mere_markup_is_no_proof_of_the_page():
         assert pairs.rule(mixed + "\n" + "수정 안내\n" * 400, mixed, "p", stops) is None
 
 
+def test_long_messages_and_prompts():
+    trace = "Traceback (most recent call last):\n" + "".join(f'  File "/srv/ocr/step_{i}.py", line {i}, in call\n' for i in range(30)) + "RuntimeError: no worker"
+    sorry = "I'm sorry, but I can't transcribe this image. " + " ".join(f"Reason {i}: the rules of this service forbid it." for i in range(20))
+    prompt = " ".join(f"Read block {i} line by line." for i in range(40))
+    spaced = "".join(c + "\n" for c in prompt[:300])
+    assert min(map(len, (trace, sorry, prompt, spaced))) > 300 and len(trace) > 600 < len(sorry)
+    for page in (PAGE, KOREAN):
+        for text, want in ((trace, "error_text"), (sorry, "refusal"), (prompt, "copied_prompt")):
+            assert pairs.rule(text, page, prompt, ending(text, page, fold)) == want
+    assert pairs.rule(spaced, PAGE, prompt[:300], "unaligned") == "copied_prompt"
+    # Pages that hold such words: in another language, and with a loop.
+    other = "Legible voucher\n\n" + "The keeper reads the ledger. We are sorry, we cannot accept unsigned forms.\n" * 12
+    assert pairs.rule(other, KOREAN, "p", "unaligned") == "wrong_language"
+    assert pairs.rule(other + "sorry, cannot accept\n" * 90, other, "p", "unaligned") is None
+
+
 def table_of(spark):
     rows = [(i, "m", *r[:3]) for i, r in enumerate(RULES)]
     rows += [(90, None, PAGE[: PAGE.index("eper of")], PAGE, "p")] * 2 + [(91, "m", PAGE[: PAGE.index(" The second")], PAGE, "p"), (92, "m", "x" * 100_000, PAGE, None)]
