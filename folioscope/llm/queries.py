@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, canonical, chunking, leakage, markup, pairs, repetition, truncation
+from folioscope.llm import bpe, canonical, chunking, leakage, markup, pairs, quota_sample, repetition, truncation
 from folioscope.sources.tables import table
 
 
@@ -36,6 +36,19 @@ def p3_shares(spark: SparkSession, directory: str) -> DataFrame:
     return out.withColumn("share", F.round("share", 6))
 
 
+def p5_found(spark: SparkSession, directory: str) -> DataFrame:
+    report = quota_sample.quota_report(table(spark, directory, "render_plan"), table(spark, directory, "sample_target"))
+    return report.where("not met").select("request_id", "target_no")
+
+
+def p5_report(spark: SparkSession, directory: str) -> DataFrame:
+    return quota_sample.quota_report(table(spark, directory, "render_plan"), table(spark, directory, "sample_target"))
+
+
+def p5_sample(spark: SparkSession, directory: str) -> DataFrame:
+    return quota_sample.draw(table(spark, directory, "render_plan"), table(spark, directory, "sample_target"))
+
+
 def p6_found(spark: SparkSession, directory: str) -> DataFrame:
     return pairs.defects(table(spark, directory, "report")).where("defect is not null").select("result_id", "defect")
 
@@ -87,8 +100,22 @@ def p10_pieces(spark: SparkSession, directory: str) -> DataFrame:
     return chunking.chunk_corpus(table(spark, directory, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_normalised, p2_found, p2_clean, p3_found, p3_shares, p6_found, p6_by_model, p7_found, p7_share, p7_limits, p8_ids, p8_round_trip, p9_found, p9_items, p10_found, p10_pieces)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        p1_found, p1_normalised, p2_found, p2_clean, p3_found, p3_shares, p5_found, p5_report, p5_sample, p6_found, p6_by_model, p7_found, p7_share, p7_limits,
+        p8_ids, p8_round_trip, p9_found, p9_items, p10_found, p10_pieces,
+    )
+}
 
+_LABEL = r"regexp_replace(lower(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '[_\-\s]+', '_', 'g')"
+_NAMES = ("capture_channel", "capture_scenario", "visual_difficulty")
+_CELLS = "SELECT DISTINCT batch_id, plan_id, " + ", ".join(f"{_LABEL.format(c)} AS {c}" for c in _NAMES) + " FROM render_plan WHERE plan_id IS NOT NULL"
 SQL = {
+    "p5_found": f"""WITH p AS ({_CELLS}), t AS (SELECT request_id, target_no, batch_id, greatest(sample_size * target_percent / 100.0, min_rows) AS needed,
+        {", ".join(f"{_LABEL.format(c)} AS {c}" for c in _NAMES)} FROM sample_target)
+        SELECT t.request_id, t.target_no FROM t LEFT JOIN p ON p.batch_id = t.batch_id AND
+        {" AND ".join(f"(t.{c} IS NULL OR t.{c} = p.{c})" for c in _NAMES)}
+        GROUP BY t.request_id, t.target_no, t.needed HAVING count(DISTINCT p.plan_id) < t.needed""",
     "p8_round_trip": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
 }
