@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.operators import quota_sample, schema_drift
+from folioscope.operators import schema_drift
 from folioscope.plans import reference
 from folioscope.sources.tables import table
 
@@ -31,27 +31,6 @@ def p4_types(spark: SparkSession, directory: str) -> DataFrame:
     return stats.groupBy("stream", "path", "kind").agg(F.sum("entries").alias("entries"), F.min("no").alias("first_file"), F.max("no").alias("last_file"))
 
 
-def p5_found(spark: SparkSession, directory: str) -> DataFrame:
-    report = quota_sample.quota_report(table(spark, directory, "render_plan"), table(spark, directory, "sample_target"))
-    return report.where("not met").select("request_id", "target_no")
+QUERIES: dict = reference.QUERIES | {f.__name__: f for f in (p4_found, p4_changes, p4_entries, p4_types)}
 
-
-def p5_report(spark: SparkSession, directory: str) -> DataFrame:
-    return quota_sample.quota_report(table(spark, directory, "render_plan"), table(spark, directory, "sample_target"))
-
-
-def p5_sample(spark: SparkSession, directory: str) -> DataFrame:
-    return quota_sample.draw(table(spark, directory, "render_plan"), table(spark, directory, "sample_target"))
-
-
-QUERIES: dict = reference.QUERIES | {f.__name__: f for f in (p4_found, p4_changes, p4_entries, p4_types, p5_found, p5_report, p5_sample)}
-
-_LABEL = r"regexp_replace(lower(regexp_replace({0}, '^\s+|\s+$', '', 'g')), '[_\-\s]+', '_', 'g')"
-_CELLS = "SELECT DISTINCT batch_id, plan_id, " + ", ".join(f"{_LABEL.format(c)} AS {c}" for c in quota_sample.LABELS) + " FROM render_plan WHERE plan_id IS NOT NULL"
-SQL: dict = reference.SQL | {
-    "p5_found": f"""WITH p AS ({_CELLS}), t AS (SELECT request_id, target_no, batch_id, greatest(sample_size * target_percent / 100.0, min_rows) AS needed,
-        {", ".join(f"{_LABEL.format(c)} AS {c}" for c in quota_sample.LABELS)} FROM sample_target)
-        SELECT t.request_id, t.target_no FROM t LEFT JOIN p ON p.batch_id = t.batch_id AND
-        {" AND ".join(f"(t.{c} IS NULL OR t.{c} = p.{c})" for c in quota_sample.LABELS)}
-        GROUP BY t.request_id, t.target_no, t.needed HAVING count(DISTINCT p.plan_id) < t.needed""",
-}
+SQL: dict = dict(reference.SQL)
