@@ -1,16 +1,18 @@
 """One consistent form for texts that look the same (problem 1).
 
-A trie holds a vocabulary of canonically spelled tokens.  A weighted edit automaton
+A trie holds a vocabulary of trusted tokens under what a reader sees of them, each with
+the spelling in which the trusted texts have it most often.  A weighted edit automaton
 walks it: look-alike characters (width, script of a letter, composition, kind of
 blank) and ignorable ones cost nothing, every visible edit costs 1.  A token that
-reaches a word within the budget takes that word's spelling; any other token is
-normalised character by character with the table of look-alikes.  With the budget
-0, the default, visible differences stay: case, number of blanks and lines, markup,
-raised and encircled digits.
+reaches a word within the budget takes that word's spelling, so a word written in
+Cyrillic or in full-width letters stays so and all its look-alikes become it; any other
+token is normalised character by character with the table of look-alikes.  With the
+budget 0, the default, visible differences stay: case, number of blanks and lines,
+markup, raised and encircled digits.
 
 Defined results: null stays null; empty and blank texts keep their blanks; repeated
-rows give repeated results.  With budget 0 the vocabulary only saves work: the form
-of a text doesn't depend on it.
+rows give repeated results.  A spelling of the trie shows the same as what it is reached
+by, so with budget 0 two texts have equal forms if and only if they look the same.
 """
 
 from __future__ import annotations
@@ -88,15 +90,21 @@ class Normaliser:
         self.budget = budget
         self.memo: dict[str, str] = {}
         self.trie: dict = {}
+        self.respelt = False
         for word in vocabulary:
-            if self.by_table(word) == word:
-                self._add(word)
+            self._add(word)
 
     def _add(self, word: str) -> None:
+        """Enter word under what is seen of it; of words that look the same the first one gives the spelling."""
+        seen = self.by_table(word)
+        spelling = unicodedata.normalize("NFC", "".join(ch for ch in word if self.table.get(ord(ch), ch)))
+        if not seen or self._parts(seen)[1:] or self.by_table(spelling) != seen:
+            return
         node = self.trie
-        for ch in unicodedata.normalize("NFD", word):
+        for ch in unicodedata.normalize("NFD", seen):
             node = node.setdefault(ch, {})
-        node[""] = word
+        node.setdefault("", spelling)
+        self.respelt |= spelling != seen and seen.isascii()
 
     def by_table(self, text: str) -> str:
         if self.special(text):
@@ -155,7 +163,7 @@ class Normaliser:
             return text
         if "\r" in text:
             text = text.replace("\r\n", "\n")
-        if text.isascii() and not self.budget:
+        if text.isascii() and not self.budget and not self.respelt:
             return text.replace("\t", " ")
         get, slow = self.memo.get, self.token
         form = "".join([get(p) or slow(p) for p in self._parts(text) if p])
@@ -164,7 +172,7 @@ class Normaliser:
 
 
 def vocabulary(df: DataFrame, text: str, size: int = VOCABULARY) -> list[str]:
-    """The most frequent tokens of all texts, at most ``size``: those above the least count that admits no more.
+    """The most frequent tokens of all texts, at most ``size``, the most frequent first: those above the least count that admits no more.
 
     The counts stay in the cluster; how many tokens have each count gives the least count, so no more than ``size``
     tokens of TOKEN_CHARS characters reach the driver, whatever the corpus.
@@ -177,7 +185,7 @@ def vocabulary(df: DataFrame, text: str, size: int = VOCABULARY) -> list[str]:
         if kept + r.m > size:
             break
         kept, least = kept + r.m, r.n
-    return sorted(r.token for r in counts.where(F.col("n") >= least).select("token").collect()) if least else []
+    return [t for _, t in sorted((-r.n, r.token) for r in counts.where(F.col("n") >= least).collect())] if least else []
 
 
 _NORMALISERS: dict[tuple[int, int], Normaliser] = {}
@@ -210,14 +218,22 @@ def canonical(df: DataFrame, key: str, texts: list[str], trusted: str | None = N
 
 
 def same_look(df: DataFrame, key: str, left: str, right: str, size: int = VOCABULARY) -> DataFrame:
-    """Keys of the rows whose two texts differ as stored and are equal in canonical form; a null text equals none."""
-    differ = df.where(df[left].isNotNull() & df[right].isNotNull() & (df[left] != df[right]))
+    """Keys of the rows whose two texts differ as stored and are equal in canonical form.
+
+    A text of which nothing is seen (null, empty, blanks or ignorable characters alone) shows the same as any other such text.
+    """
+    differ = df.where(~df[left].eqNullSafe(df[right]))
     shared = df.sparkSession.sparkContext.broadcast(vocabulary(df, right, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         form = _normaliser(shared.value, 0).text
+
+        def shown(text: str | None) -> str:
+            text = form(text) if text else ""
+            return text if text and not text.isspace() else ""
+
         for batch in batches:
-            same = [form(a) == form(b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            same = [shown(a) == shown(b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["key"]).filter(pa.array(same, pa.bool_()))
 
     kind = df.schema[key].dataType.simpleString()

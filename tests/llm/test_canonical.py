@@ -16,7 +16,7 @@ def test_same_look():
     assert NORMAL.text(None) is None and NORMAL.text("") == ""
 
 
-def test_form_does_not_depend_on_the_vocabulary():
+def test_words_spelt_as_they_are_seen_dont_change_the_form():
     rng = random.Random(11)
     bare = canonical.Normaliser()
     pool = list("abcо еаﬁｆ１é\u0301\u200b\u00a0가ﾊﾞ-‐\n②")
@@ -26,6 +26,21 @@ def test_form_does_not_depend_on_the_vocabulary():
         assert NORMAL.text(text) == form and bare.text(form) == form
 
 
+def test_the_trie_decides_the_spelling():
+    """Without the vocabulary a Cyrillic or full-width word would be torn into the letters of the table."""
+    words = ["Москва", "оса", "ＡＢＣ", "oca"]
+    normal, bare = canonical.Normaliser(words), canonical.Normaliser()
+    for word, others in (("Москва", ["Mосква", "Mocква", "М\u200bосква"]), ("оса", ["oca", "oса"]), ("ＡＢＣ", ["ABC", "АВС", "AB\u00adC"])):
+        assert {normal.text(x) for x in [word, *others]} == {word}
+        assert bare.text(word) != word
+    assert normal.text("oca ABC Mосква xyz") == "оса ＡＢＣ Москва xyz"
+    rng = random.Random(13)
+    pool = ["Москва", "Mocква", "оса", "oca", "oco", "ABC", "ＡＢＤ", "x\u200b", "x", "\u200b"]
+    for _ in range(300):  # equal forms if and only if the texts look the same
+        a, b = (" ".join(rng.choices(pool, k=3)) for _ in range(2))
+        assert (normal.text(a) == normal.text(b)) == (bare.text(a) == bare.text(b))
+
+
 def weighted(a, b):
     """Least cost between a token and a word: look-alikes and ignorables cost nothing."""
     a = [c for c in unicodedata.normalize("NFD", NORMAL.by_table(a))]
@@ -52,10 +67,12 @@ def test_automaton_against_brute_force():
 
 
 def test_operators(spark):
-    rows = [(1, "mіnutеs", "minutes"), (2, "same", "same"), (3, None, "x"), (4, "x", None), (5, "", ""), (6, "②", "2"), (1, "mіnutеs", "minutes"), (7, "ａ" * 50_000, "a" * 50_000), (None, "ｂ", "b")]
+    rows = [(1, "mіnutеs", "minutes"), (2, "same", "same"), (3, None, "x"), (4, "x", None), (5, "", ""), (6, "②", "2"), (1, "mіnutеs", "minutes"), (7, "ａ" * 50_000, "a" * 50_000), (None, "ｂ", "b"), (8, None, ""), (9, " \u200b", ""), (10, None, None), (11, "  ", "x")]
     df = spark.createDataFrame([(*r, "k") for r in rows], "result_id long, prediction string, ground_truth string, key string").repartition(3)
     found = canonical.same_look(df, "result_id", "prediction", "ground_truth")
-    assert sorted(r.result_id or 0 for r in found.collect()) == [0, 1, 1, 7]
+    assert sorted(r.result_id or 0 for r in found.collect()) == [0, 1, 1, 7, 8, 9]
     out = canonical.canonical(df, "result_id", ["prediction", "ground_truth"])
     assert {r.prediction for r in out.where("result_id = 1").collect()} == {"minutes"} and out.count() == len(rows)
+    spelt = spark.createDataFrame([(i, "oca", "оса") for i in range(3)], "result_id long, prediction string, ground_truth string")
+    assert {(r.prediction, r.ground_truth) for r in canonical.canonical(spelt, "result_id", ["prediction", "ground_truth"]).collect()} == {("оса", "оса")}
     assert canonical.same_look(df.limit(0), "result_id", "prediction", "ground_truth").count() == 0
