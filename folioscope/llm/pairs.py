@@ -3,8 +3,9 @@
 The different responses to one page, and the page itself, are sorted by text; a
 response that is a prefix of its successor is a shortened version of it.  Length
 limits come from the piles in each source's lengths (see truncation).  Rules for
-empty answers, service messages, refusals, copied prompts and languages follow, and
-the first defect that fits is given.
+empty answers, service messages, refusals, copied prompts and languages are applied, and
+the first defect that fits is given.  The sorted neighbours are needed, and read, only for pages
+with a response of which neither a rule nor the page itself tells where it stops.
 
 Defined results: rows without reference content have no defect but a service
 message or refusal; null, blank and invisible answers are empty; a null prompt is
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from folioscope.llm import truncation
 from folioscope.llm.repetition import signs
 from folioscope.llm.truncation import ALIKE, ending, fold, quoted
+from folioscope.sources.shared import stored
 
 DEFECTS = ("empty", "error_text", "refusal", "copied_prompt", "wrong_language", "truncated")
 
@@ -34,6 +36,13 @@ MESSAGE_CHARS = 600
 #: Share of a message's runs of characters that may also stand in the page.
 QUOTED = 0.34
 
+#: Characters of a response by which a page's responses are split before they are sorted.
+HEAD = 16
+#: Log odds that a longer neighbour adds to a cut.
+NEIGHBOUR = 2.0
+#: Most pages with undecided responses that are broadcast (16 bytes each); more are joined by a shuffle.
+BROADCAST_PAGES = 4_000_000
+
 #: Words that stand for nothing.
 PLACEHOLDERS = set("null none nil nan na n/a empty blank undefined void nothing missing 없음 무 빈칸 なし 無し 空 空白 該当なし 해당없음 notext nocontent notavailable noresponse nooutput noanswer".split())
 
@@ -162,19 +171,26 @@ def _long_message(text: str, page: str) -> str | None:
     return "error_text" if message else "refusal"
 
 
-def shortened(df: DataFrame, text: str, page: str) -> DataFrame:
+def shortened(df: DataFrame, text: str, page: str, pages: DataFrame | None = None) -> DataFrame:
     """(page_key, text_key, more): responses that are a prefix of another response to the page, or of the page; more is what follows there.
 
-    Copies of a response collapse before the shuffle, so a response given a million times is one row.
+    pages (page_key) narrows the pages.  Copies of a response collapse before they are sorted, and the responses to a page
+    are sorted apart by their first HEAD characters; shorter ones are sorted among the heads, whose ``more`` ends with the head.
     """
-    rows = df.where(df[text].isNotNull() & df[page].isNotNull() & (F.length(df[text]) > 0))
-    rows = rows.select(F.xxhash64(df[page]).alias("page_key"), F.rtrim(df[text]).alias("text"), df[page].alias("page"))
-    both = rows.where("text != page").select("page_key", "text").union(rows.select("page_key", F.col("page"))).distinct()
-    order = Window.partitionBy("page_key").orderBy("text")
-    after = F.lead("text").over(order)
-    out = both.select("page_key", "text", after.alias("after")).where(F.col("after").startswith(F.col("text")))
-    more = F.substring(F.col("after"), F.length("text") + 1, F.lit(2**31 - 1))
-    return out.select("page_key", F.xxhash64("text").alias("text_key"), more.alias("more"))
+    rows = df.where(df[text].isNotNull() & df[page].isNotNull() & (F.length(df[text]) > 0)).select(F.xxhash64(df[page]).alias("page_key"), df[text].alias("text"), df[page].alias("page"))
+    if pages is not None:
+        rows = rows.join(pages, "page_key", "left_semi")
+    both = rows.select("page_key", F.explode(F.array(F.rtrim("text"), "page")).alias("text")).where(F.length("text") > 0)
+    both = both.withColumn("head", F.substring("text", 1, HEAD)).repartition("page_key", "head").distinct()
+
+    def next_longer(rows: DataFrame, by: list[str]) -> DataFrame:
+        after = F.lead("text").over(Window.partitionBy(*by).orderBy("text"))
+        out = rows.select("page_key", "text", after.alias("after")).where(F.col("after").startswith(F.col("text")))
+        return out.select("page_key", F.xxhash64("text").alias("text_key"), F.substring(F.col("after"), F.length("text") + 1, F.lit(2**31 - 1)).alias("more"))
+
+    heads = both.select("page_key", F.substring("text", 1, HEAD + 2).alias("text")).distinct()
+    short = next_longer(heads, ["page_key"]).join(both.where(F.length("text") < HEAD).select("page_key", F.xxhash64("text").alias("text_key")), ["page_key", "text_key"], "left_semi")
+    return next_longer(both.where(F.length("text") >= HEAD), ["page_key", "head"]).union(short)
 
 
 def defects(
@@ -196,12 +212,15 @@ def defects(
         df[key].alias("key"), df[source].alias("source"), F.char_length(df[text]).alias("chars"), F.octet_length(df[text]).alias("bytes"),
         F.xxhash64(df[page]).alias("page_key"), F.xxhash64(F.rtrim(df[text])).alias("text_key"), df[text].alias("text"), df[page].alias("page"), df[prompt].alias("prompt"),
     )
-    judged = rows.mapInArrow(run, f"key {kind}, source string, chars int, bytes int, page_key long, text_key long, stops string, rule string")
-    short = shortened(df, text, page)
+    judged = stored(rows.mapInArrow(run, f"key {kind}, source string, chars int, bytes int, page_key long, text_key long, stops string, rule string"), "judged")
+    open_pages = judged.where("rule is null and stops = 'unaligned'").select("page_key").distinct()
+    if open_pages.count() <= BROADCAST_PAGES:
+        open_pages = F.broadcast(open_pages)
+    short = shortened(df, text, page, open_pages)
     # A shortened version stops inside a word or sentence if what follows goes on with a letter or digit, or a blank and one.
     inside = short.where(F.col("more").rlike(r"^[ ]?[\p{L}\p{N}]")).select("page_key", "text_key").distinct().withColumn("short", F.lit(True))
     judged = judged.join(inside, ["page_key", "text_key"], "left")
     scored = truncation.with_limits(judged, truncation.limits(df, source, text))
-    odds = F.col("log_odds") + F.when(F.col("short") & (F.col("stops") == "unaligned"), 2.0).otherwise(0.0)
+    odds = F.col("log_odds") + F.when(F.col("short") & (F.col("stops") == "unaligned"), NEIGHBOUR).otherwise(0.0)
     defect = F.coalesce("rule", F.when(odds > 0, "truncated"))
     return scored.select(F.col("key").alias(key), F.col("source").alias(source), defect.alias("defect"))

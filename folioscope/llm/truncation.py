@@ -1,14 +1,16 @@
 """Texts cut off by field limits or in transfer (problem 7).
 
 For each source, and for lengths in characters and in bytes, a lognormal length
-distribution is fitted by maximum likelihood to lengths that may be right-censored
-at limits where values pile up; a limit's censoring posterior is the share of the
-values of that length that the uncensored distribution doesn't explain.  It is
+distribution is fitted by maximum likelihood to the lengths of the different texts, which
+may be right-censored at limits where they pile up; a limit's censoring posterior is the
+share of the texts of that length that the uncensored distribution doesn't explain.  It is
 combined, as log odds, with the evidence of the ending: where the text's last
 characters stand in the reference text, and whether that place is inside a word or
-sentence or at its end.
+sentence or at its end.  Without a reference text (null, or no such column) the ending
+itself is the evidence: a text that ends at a stop mark or with a block isn't cut, any other
+is cut if its length is a limit.
 
-Defined results: null and blank texts, and rows without a reference text, aren't
+Defined results: null and blank texts, and rows with a blank reference text, aren't
 cut; a text that stops at the end of a sentence or block isn't cut, at whatever
 length; a null source is a source of its own; repeated rows give repeated results.
 """
@@ -30,17 +32,22 @@ from folioscope.llm.canonical import Normaliser
 #: A length is a candidate limit if it is that frequent, and that many times as frequent as the lengths around it.
 LEAST_AT_LIMIT = 5
 PILE = 6.0
-#: Log odds of being cut by the place where the text stops in its reference.
-EVIDENCE = {"inside": 5.0, "natural": -12.0, "complete": -12.0, "unaligned": -1.5, "none": -12.0}
+#: Log odds of being cut by the place where the text stops in its reference; open and closed are endings without a place.
+EVIDENCE = {"inside": 5.0, "natural": -12.0, "complete": -12.0, "unaligned": -1.5, "elsewhere": -8.0, "none": -12.0, "open": -2.0, "closed": -12.0}
 
 _MARK = re.compile(r"(?:\s|\.\.\.|…|�|\[(?:…|\.\.\.|cut|truncated)\]|[-–—~|\\&<{(\[])+$")
 _CLOSERS = re.compile(r"(?:[ \t]|</[A-Za-z][A-Za-z0-9]*>|<br ?/?>|\*{1,3}|_{1,2}|`+|~~|\}+|\]\]|'{2,3}|[\"”’」』)\]]|\||\\\\)*[ \t]*(?=\n|$)")
 _STOP = re.compile(r"[.!?…。！？][\"'”’」』)\]*_]*$")
 _TAILS = (14, 8, 5)
 _SPACE = re.compile(r"\s+")
-#: Last characters that are searched with misread ones, and the least share of a text's end that stands in its page.
+#: Last characters that are searched with misread ones, those of which a share must stand in the page, and that share.
 TAIL = 20
+END_CHARS = 240
 ALIKE = 0.4
+#: A text of whose end less than this share stands in the page is no part of it.
+STRANGE = 0.1
+#: The end of a block: a row or cell border, a fence, a closing tag or brace.
+_BLOCK_END = re.compile(r"(?:\||```|~~~|>|\}|\$\$|\\\])\s*$")
 
 
 def _place(text: str, page: str) -> int | None:
@@ -99,10 +106,22 @@ def _near_place(text: str, page: str) -> int | None:
     return best[2] if best else None
 
 
+def own_ending(text: str) -> str:
+    """open or closed: whether text stops without a stop mark or the end of a block; none if nothing stands in it."""
+    text = text.rstrip()
+    if not any(c.isalnum() for c in text):
+        return "none"
+    if _BLOCK_END.search(text):
+        return "closed"
+    return "closed" if _STOP.search(text) and _MARK.sub("", text) == text else "open"
+
+
 def ending(text: str | None, page: str | None, fold=lambda s: s) -> str:
-    """none, complete, natural, inside or unaligned: where text stops in page."""
-    if not text or not page:
+    """Where text stops in page: none, complete, natural, inside; without such a place closed, unaligned (its end is much like the page) or elsewhere; open or closed without a page."""
+    if not text or page == "":
         return "none"
+    if page is None:
+        return own_ending(fold(text))
     if text == page:
         return "complete"
     text, page = fold(text).rstrip(), fold(page).rstrip()
@@ -116,7 +135,7 @@ def ending(text: str | None, page: str | None, fold=lambda s: s) -> str:
         if len(option) < 5:
             continue
         at = _place(option, page)
-        if at is None and option is options[-1] and len(option) > TAIL and quoted(option[-240:], page) >= ALIKE:
+        if at is None and option is options[-1] and len(option) > TAIL and quoted(option[-END_CHARS:], page) >= ALIKE:
             at = _near_place(option, page)
         if at is None:
             continue
@@ -131,8 +150,10 @@ def ending(text: str | None, page: str | None, fold=lambda s: s) -> str:
             return "natural"
         if _STOP.search(before) and (before.rstrip("\"'”’」』)]*_")[-1:] in "。！？" or rest[0].isspace() or rest[0] in "<*_"):
             return "natural"
-        return "inside" if quoted(option[-240:], page) >= ALIKE else "unaligned"
-    return "unaligned"
+        return "inside" if quoted(option[-END_CHARS:], page) >= ALIKE else "unaligned"
+    if own_ending(text) == "closed":
+        return "closed"
+    return "unaligned" if quoted(bare[-END_CHARS:] or text, page) >= STRANGE else "elsewhere"
 
 
 def _tail_mean(z: np.ndarray) -> np.ndarray:
@@ -154,7 +175,7 @@ def censoring(lengths: np.ndarray, counts: np.ndarray, rounds: int = 25) -> tupl
     total = np.concatenate([[0], np.cumsum(counts)])
     low, high = np.searchsorted(lengths, lengths * 0.9), np.searchsorted(lengths, lengths * 1.1, "right")
     around = (total[high] - total[low] - counts) / np.maximum(lengths * 0.2, 1)
-    limit = (counts >= LEAST_AT_LIMIT) & (counts >= PILE * np.maximum(around, 0.25)) & (lengths > 16)
+    limit = (counts >= LEAST_AT_LIMIT) & (counts >= PILE * np.maximum(around, 0.25))
     share = np.where(limit, 1 - np.minimum(around / counts, 1), 0.0)
     if not limit.any():
         return lengths[limit], share[limit]
@@ -181,9 +202,12 @@ def censoring(lengths: np.ndarray, counts: np.ndarray, rounds: int = 25) -> tupl
 
 
 def limits(df: DataFrame, source: str, text: str) -> DataFrame:
-    """(source, unit, length, rows, posterior): candidate limits of each source; only length counts are gathered."""
-    sized = df.where(df[text].isNotNull()).select(df[source].alias("source"), F.char_length(df[text]).alias("chars"), F.octet_length(df[text]).alias("bytes"))
-    long = sized.groupBy("source", "chars", "bytes").agg(F.count("*").alias("n"))
+    """(source, unit, length, rows, posterior): candidate limits of each source; only length counts are gathered.
+
+    Copies of a text count once: a stock phrase sent a thousand times makes no limit.
+    """
+    sized = df.where(df[text].isNotNull()).select(df[source].alias("source"), F.char_length(df[text]).alias("chars"), F.octet_length(df[text]).alias("bytes"), F.xxhash64(df[text]).alias("copy"))
+    long = sized.distinct().groupBy("source", "chars", "bytes").agg(F.count("*").alias("n"))
     long = long.select("source", F.inline(F.array(*(F.struct(F.lit(u).alias("unit"), F.col(u).alias("length"), "n") for u in ("chars", "bytes")))))
     counts = long.groupBy("source", "unit", "length").agg(F.sum("n").alias("n"))
 
@@ -206,8 +230,8 @@ def fold(text: str) -> str:
     return text if text.isascii() else _FOLD[0].by_table(text)
 
 
-def endings(df: DataFrame, key: str, source: str, text: str, page: str) -> DataFrame:
-    """(key, source, chars, bytes, stops): where each text stops in its reference."""
+def endings(df: DataFrame, key: str, source: str, text: str, page: str | None) -> DataFrame:
+    """(key, source, chars, bytes, stops): where each text stops in its reference, or how it stops without one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +239,7 @@ def endings(df: DataFrame, key: str, source: str, text: str, page: str) -> DataF
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(stops, pa.string())], ["key", "source", "chars", "bytes", "stops"])
 
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(df[key].alias("key"), df[source].alias("source"), F.char_length(df[text]).alias("chars"), F.octet_length(df[text]).alias("bytes"), df[text].alias("text"), df[page].alias("page"))
+    rows = df.select(df[key].alias("key"), df[source].alias("source"), F.char_length(df[text]).alias("chars"), F.octet_length(df[text]).alias("bytes"), df[text].alias("text"), (df[page] if page else F.lit(None).cast("string")).alias("page"))
     return rows.mapInArrow(run, f"key {kind}, source string, chars int, bytes int, stops string")
 
 
@@ -228,11 +252,12 @@ def with_limits(rows: DataFrame, at: DataFrame) -> DataFrame:
         rows = rows.join(at.select("s", "l", p).where(F.col(p).isNotNull()), same, "left").drop("s", "l")
     p = F.greatest(F.coalesce("pc", F.lit(0.0)), F.coalesce("pb", F.lit(0.0)))
     odds = F.create_map(*(F.lit(x) for pair in EVIDENCE.items() for x in pair))[F.col("stops")]
-    odds = odds + F.when(p > 0, F.log(p / (1 - p))).otherwise(0.0)
+    # A length that is hardly a limit speaks no more against a cut than one that is none.
+    odds = odds + F.greatest(F.when(p > 0, F.log(p / (1 - p))).otherwise(0.0), F.lit(0.0))
     return rows.withColumn("posterior", p).withColumn("log_odds", F.round(odds, 6)).drop("pc", "pb")
 
 
-def truncation(df: DataFrame, key: str = "result_id", source: str = "model_id", text: str = "prediction", page: str = "ground_truth") -> DataFrame:
+def truncation(df: DataFrame, key: str = "result_id", source: str = "model_id", text: str = "prediction", page: str | None = "ground_truth") -> DataFrame:
     """(key, source, stops, posterior, log_odds, cut) of every row."""
     rows = with_limits(endings(df, key, source, text, page), limits(df, source, text))
     return rows.select(F.col("key").alias(key), F.col("source").alias(source), "stops", "posterior", "log_odds", (F.col("log_odds") > 0).alias("cut"))

@@ -15,8 +15,9 @@ def test_endings():
     assert ending(at("keeper"), PAGE) == ending(at("eper of"), PAGE) == ending(at("eper of") + "…", PAGE) == ending(at("eper of") + "�", PAGE) == "inside"
     assert ending(at(" The second"), PAGE) == ending(at("\n\n| a"), PAGE) == ending(at("\n\nThe last"), PAGE) == "natural"
     assert ending(at("ends").replace("names", "nanes").replace("sentence ", "sentencc ", 2), PAGE) == "inside"
-    assert ending(None, PAGE) == ending("", PAGE) == ending("x", None) == ending(" ", PAGE) == "none"
-    assert ending("Something else entirely that isn't on it", PAGE) == "unaligned"
+    assert ending(None, PAGE) == ending("", PAGE) == ending("x", "") == ending(" ", PAGE) == "none"
+    assert ending("It stops in the mid", None) == ending("It stops …", None) == "open" and ending("It stops.", None) == ending("| a | b |", None) == "closed"
+    assert ending("Something else entirely that isn't on it", PAGE) == "elsewhere" and ending("Something else, with its stop.", PAGE) == "closed"
     assert ending("古い契約より、この様式の方が順", "古い契約より、この様式の方が順序を守る。次の文。") == "inside"
     assert ending("古い契約より、この様式の方が順序を守る。", "古い契約より、この様式の方が順序を守る。次の文もここに続いている。") == "natural"
 
@@ -113,7 +114,57 @@ def test_operators(spark):
 
 def test_limits_by_source(spark):
     rng = random.Random(18)
-    rows = [("a", "x" * min(rng.randint(100, 900), 400)) for _ in range(300)] + [("b", "é" * rng.randint(20, 500)) for _ in range(200)] + [("b", None)]
+    rows = [("a", "".join(rng.choices("xyz", k=min(rng.randint(100, 900), 400)))) for _ in range(300)] + [("b", "é" * rng.randint(20, 500)) for _ in range(200)]
+    rows += [("b", None)] + [("b", "a stock phrase that is sent again and again")] * 200
     df = spark.createDataFrame([(i, s, t, None) for i, (s, t) in enumerate(rows)], "result_id long, model_id string, prediction string, ground_truth string")
     got = {(r.source, r.unit, r.length) for r in truncation.limits(df, "model_id", "prediction").where("posterior > 0.9").collect()}
     assert got == {("a", "chars", 400), ("a", "bytes", 400)}
+
+
+def test_cuts_at_piled_lengths_are_found_without_a_reference(spark):
+    """The censoring posterior alone: nine tenths of the cut texts of a source with a limit, and none of one without."""
+    rng = random.Random(19)
+    sentences = ["The keeper signed the ledger of unit {}. ", "Sheet {} was stored below the stairs. ", "Ink of type {} had faded. "]
+    rows, cut = [], set()
+    for i in range(600):
+        whole = "".join(rng.choice(sentences).format(rng.randint(10, 99999)) for _ in range(rng.randint(3, 20))).rstrip()
+        text = whole[:350].rstrip() if i % 2 else whole
+        if text != whole and text[-1] != ".":
+            cut.add(i)
+        rows.append((i, "limited" if i % 2 else "free", text, None))
+    df = spark.createDataFrame(rows, "result_id long, model_id string, prediction string, ground_truth string")
+    for page in ("ground_truth", None):
+        found = {r.result_id for r in truncation.truncation(df, page=page).where("cut").collect()}
+        assert len(found & cut) >= 0.9 * len(cut) and not found - cut
+    pairs_found = {r.result_id for r in pairs.defects(df).where("defect = 'truncated'").collect()}
+    assert len(pairs_found & cut) >= 0.9 * len(cut)
+    # Switched off, that is without a pile at the limit, nothing is found.
+    assert truncation.truncation(df.where("model_id = 'free'"), page=None).where("cut").count() == 0
+
+
+def test_a_small_posterior_is_no_evidence_against_a_cut(spark):
+    rows = spark.createDataFrame([(1, "m", 300, 300, "inside"), (2, "m", 301, 301, "inside"), (3, "m", 300, 300, "unaligned")], "key long, source string, chars int, bytes int, stops string")
+    at = spark.createDataFrame([("m", "chars", 300, 6, 0.001)], "source string, unit string, length int, rows long, posterior double")
+    assert [r.log_odds for r in truncation.with_limits(rows, at).orderBy("key").collect()] == [5.0, 5.0, -1.5]
+
+
+def test_a_shortened_answer_is_found_by_its_neighbour_alone(spark):
+    """The page tells nothing of the place where the answers stop; one of them is the beginning of the other."""
+    page = "The keeper of the ledger signed sheet 12 and the clerk stored it. All pages were stored below the stairs by the keeper of the ledger."
+    long = "The keeper of the ledger signed sheet 12 and the clerk stored the ledger keeper qqxz wwvk of Jundel quarter and more of it"
+    short = long[:93]
+    assert ending(short, page, fold) == "unaligned" and pairs.rule(short, page, "p", "unaligned") is None
+    schema = "result_id long, model_id string, prediction string, ground_truth string, prompt string"
+    alone = spark.createDataFrame([(1, "a", short, page, "p")], schema)
+    both = alone.union(spark.createDataFrame([(2, "b", long, page, "p")], schema))
+    assert alone.count() == 1 and pairs.defects(alone).where("defect is not null").count() == 0
+    assert [(r.result_id, r.defect) for r in pairs.defects(both).where("defect is not null").collect()] == [(1, "truncated")]
+
+
+def test_short_and_long_prefixes_against_brute_force(spark):
+    rng = random.Random(20)
+    texts = sorted({"".join(rng.choices("ab ", k=rng.choice([1, 3, 9, 15, 16, 17, 18, 19, 30]))).rstrip() for _ in range(60)} | {"abababababababab" + "a" * k for k in range(5)})
+    page = "abababababababababbbab"
+    df = spark.createDataFrame([(t, page) for t in texts], "prediction string, ground_truth string").repartition(4)
+    got = pairs.shortened(df, "prediction", "ground_truth").count()
+    assert got == sum(any(o != t and o.startswith(t) for o in [*texts, page]) for t in {*texts, page} - {""})
