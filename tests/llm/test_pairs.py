@@ -131,8 +131,8 @@ def test_cuts_at_piled_lengths_are_found_without_a_reference(spark):
         text = whole[:350].rstrip() if i % 2 else whole
         if text != whole and text[-1] != ".":
             cut.add(i)
-        rows.append((i, "limited" if i % 2 else "free", text, None))
-    df = spark.createDataFrame(rows, "result_id long, model_id string, prediction string, ground_truth string")
+        rows.append((i, "limited" if i % 2 else "free", text, None, "p"))
+    df = spark.createDataFrame(rows, "result_id long, model_id string, prediction string, ground_truth string, prompt string")
     for page in ("ground_truth", None):
         found = {r.result_id for r in truncation.truncation(df, page=page).where("cut").collect()}
         assert len(found & cut) >= 0.9 * len(cut) and not found - cut
