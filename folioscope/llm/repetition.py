@@ -1,18 +1,21 @@
 """Repetition inside single documents (problem 3).
 
 A document is a bag of hashed n-gram features: the hash bucket of each run of GRAM
-letters and digits together with how often that run stood earlier in the document.  Two
-multinomials are fitted to all texts: one to the trusted reference texts, one to the
-raw texts, each with a prior on the recurrence levels.  A document's score is its
-log-likelihood ratio (trusted against raw) per feature, with its digits or without them,
-whichever recurs more, and every document is held against one threshold: the score of a
-document of which RECUR of the features recur.
-An exact check follows for the documents below it: the share of letters and digits in
-sentences, lines and phrases that repeat earlier ones.
+letters and digits, with its level: said for the first time in the document, or again.
+Two multinomials over buckets and levels are fitted, one to the trusted reference texts,
+one to the raw texts, both smoothed towards the levels of their corpus.  The weight of a
+feature is the log ratio (trusted against raw) of its level given its bucket, so what a
+text is about doesn't matter, only that it is said again where trusted texts don't.  A
+document's score is the sum of its weights over its number of features, with its digits
+or without them, whichever recurs more, and every document is held against two scores:
+those of documents of which the share SURE, or RECUR, of the features is said again.
+Up to the first it is repetitive; between the two the exact share of
+repeated letters and digits decides; beyond the second it is not.
 
 Case, blanks, end marks, numbers and markup don't count, and the first statement is
 not repeated content.  Defined results: null, empty and blank texts, and texts without
-letters, have the share 0; texts with less than GRAM letters are checked exactly.
+letters, have the share 0; texts with less than GRAM letters have no feature and are
+checked exactly.
 """
 
 from __future__ import annotations
@@ -27,15 +30,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 GRAM = 8
-BUCKETS = 64
-LEVELS = 4
-#: Share of recurring features at which a document is checked exactly, and the least share of repeated characters of a found one.
-RECUR = 0.2
+BUCKETS = 1 << 16
+LEVELS = 2
+#: Shares of features said again from which a document is repetitive without, or after, the exact check, and the least exact share of a found one.
+SURE = 0.7
+RECUR = 0.3
 REPEATED = 0.5
-#: Priors of the levels (first, second, third, later occurrence) and their weight against the counts.
-TRUSTED_PRIOR = (0.94, 0.04, 0.01, 0.01)
-RAW_PRIOR = (0.55, 0.15, 0.1, 0.2)
-PRIOR_WEIGHT = 0.05
+#: Weight of the corpus's levels against the counts of a bucket, and least odds between the corpora at which the thresholds part the levels.
+PRIOR_WEIGHT = 50.0
+LEAST_RATIO = 2.0
+#: Characters of the texts whose runs are held at a time; a longer text is held alone.
+CHUNK_CHARS = 2_000_000
 #: Distance, in letters, up to which LOOP_GRAM equal letters are a phrase that follows itself; farther apart it takes a statement's letters.
 PERIOD = 80
 LOOP_GRAM = 6
@@ -82,16 +87,50 @@ def _in_loop(s: str) -> int:
     return sum(covered)
 
 
+class _Said:
+    """Statements of a document so far, indexed so that each is compared with few earlier ones."""
+
+    def __init__(self) -> None:
+        self.units: set[str] = set()
+        self.runs: dict[int, set[str]] = {SENTENCE: set(), DENSE_SENTENCE: set()}
+        self.grams: set[str] = set()
+        self.ends: dict[tuple, list[str]] = {}
+
+    @staticmethod
+    def _half(n: int) -> int:
+        """Letters at one end that a unit of n letters shares with a copy in which one run of up to 3 is misread."""
+        return 1 << (max(n - 6, 2) // 2).bit_length() - 1
+
+    def add(self, s: str, grams: set[str]) -> None:
+        self.units.add(s)
+        self.grams |= grams
+        for size, runs in self.runs.items():
+            runs.update(s[i : i + size] for i in range(len(s) - size + 1))
+        for h in {self._half(len(s) + d) for d in (-3, 0, 3)}:
+            self.ends.setdefault((s[:h], True), []).append(s)
+            self.ends.setdefault((s[-h:], False), []).append(s)
+
+    def inside(self, s: str) -> bool:
+        """Whether all runs of a statement's length of s were said before, as when it stood in a longer unit; a few words alone are no statement."""
+        size = SENTENCE if s.isascii() else DENSE_SENTENCE
+        runs = self.runs[size]
+        return len(s) >= size and all(s[i : i + size] in runs for i in range(len(s) - size + 1))
+
+    def near(self, s: str, grams: set[str]) -> bool:
+        """Whether an earlier unit equals s but for one misread run of letters."""
+        if len(s) < 20 or len(grams - self.grams) > 6:
+            return False
+        h = self._half(len(s))
+        return any(_one_run_apart(s, o) for o in {*self.ends.get((s[:h], True), ()), *self.ends.get((s[-h:], False), ())})
+
+
 def repeated_share(text: str | None) -> float:
     """Share of the characters of text, markup and blanks aside, that repeat what stood earlier in it."""
     if not text:
         return 0.0
-    plain = _TAG.sub(" ", text)
-    seen: set[str] = set()
-    said: set[str] = set()
-    told = ""
+    said = _Said()
     again = total = 0
-    for unit in _UNIT.split(plain):
+    for unit in _UNIT.split(_TAG.sub(" ", text)):
         if not unit:
             continue
         full = _GAPS.sub("", unit).lower()
@@ -100,40 +139,25 @@ def repeated_share(text: str | None) -> float:
         if not s:
             continue
         total += size
-        # Said before as a unit, or inside a longer one, as after a label; a few words alone are no statement.
-        if s in seen or len(s) >= (SENTENCE if s.isascii() else DENSE_SENTENCE) and s in told:
+        if s in said.units or said.inside(s):
             again += size
             continue
         loop = size * max(_in_loop(full) / len(full), _in_loop(s) / len(s))
         again += loop
         grams = {s[i : i + 5] for i in range(len(s) - 4)}
-        # A copy with a misread letter: nearly all its runs stand in earlier units.
-        if loop * 2 < size and len(s) >= 20 and len(grams - said) <= 6 and _near_copy(s, seen):
+        if loop * 2 < size and said.near(s, grams):
             again += size - loop
-        seen.add(s)
-        said |= grams
-        told += "\n" + s
+        said.add(s, grams)
     return again / total if total else 0.0
 
 
-def _near_copy(s: str, seen: set[str]) -> bool:
-    """Whether an earlier unit equals s but for one misread run of letters."""
-    for other in seen:
-        if abs(len(other) - len(s)) > 3:
-            continue
-        head = 0
-        for a, b in zip(s, other):
-            if a != b:
-                break
-            head += 1
-        tail = 0
-        for a, b in zip(reversed(s[head:]), reversed(other[head:])):
-            if a != b:
-                break
-            tail += 1
-        if head + tail >= len(s) - 3:
-            return True
-    return False
+def _one_run_apart(s: str, other: str) -> bool:
+    if abs(len(other) - len(s)) > 3:
+        return False
+    head = next((i for i, (a, b) in enumerate(zip(s, other)) if a != b), min(len(s), len(other)))
+    rest, ahead = s[head:][::-1], other[head:][::-1]
+    tail = next((i for i, (a, b) in enumerate(zip(rest, ahead)) if a != b), min(len(rest), len(ahead)))
+    return head + tail >= len(s) - 3
 
 
 def _runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,63 +188,89 @@ def _plain_runs(plain: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _by_level(counts: np.ndarray) -> list[np.ndarray]:
     """How often a run that occurs so often is a feature of each level."""
-    return [np.ones_like(counts), (counts > 1).astype(np.int64), (counts > 2).astype(np.int64), np.maximum(counts - 3, 0)]
+    return [np.ones_like(counts), counts - 1]
+
+
+def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """(start, end) of the texts that are held at a time."""
+    start, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > start and size + len(t) > CHUNK_CHARS:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield start, len(texts)
+
+
+def _counted(texts: Counter[str]) -> np.ndarray:
+    """Occurrences of each feature (level * BUCKETS + bucket) in texts, each taken as often as it is counted."""
+    total = np.zeros(LEVELS * BUCKETS)
+    every = list(texts)
+    for start, end in _chunks(every):
+        doc, bucket, counts = _runs(every[start:end])
+        if len(doc):
+            times = np.array([texts[t] for t in every[start:end]], np.int64)[doc]
+            for level, share in enumerate(_by_level(counts)):
+                total[level * BUCKETS : (level + 1) * BUCKETS] += np.bincount(bucket, share * times, BUCKETS)
+    return total.astype(np.int64)
 
 
-def feature_counts(df: DataFrame, text: str) -> DataFrame:
-    """(feature, n) over all texts; feature = level * BUCKETS + bucket."""
+def feature_counts(df: DataFrame, raw: str, trusted: str) -> DataFrame:
+    """(feature, raw, trusted) over all texts of both columns; feature = level * BUCKETS + bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(LEVELS * BUCKETS, np.int64)
+        totals = [np.zeros(LEVELS * BUCKETS, np.int64) for _ in range(2)]
         for batch in batches:
-            texts = Counter(t for t in batch.column(0).to_pylist() if t)
-            doc, bucket, counts = _runs(list(texts))
-            times = np.array(list(texts.values()), np.int64)[doc] if len(doc) else doc
-            for level, share in enumerate(_by_level(counts)):
-                total[level * BUCKETS : (level + 1) * BUCKETS] += np.bincount(bucket, share * times, BUCKETS).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(range(LEVELS * BUCKETS), pa.int32()), pa.array(total)], ["feature", "n"])
+            for i, total in enumerate(totals):
+                total += _counted(Counter(t for t in batch.column(i).to_pylist() if t))
+        seen = np.flatnonzero(totals[0] | totals[1])
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), *(pa.array(t[seen]) for t in totals)], ["feature", "raw", "trusted"])
 
-    return df.select(df[text].alias("text")).mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    counted = df.select(df[raw].alias("raw"), df[trusted].alias("trusted")).mapInArrow(run, "feature int, raw long, trusted long")
+    return counted.groupBy("feature").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
 
 
-def weights(trusted: np.ndarray, raw: np.ndarray) -> np.ndarray:
-    """Log ratio of the two smoothed multinomials for each feature."""
-    logs = []
-    for counts, prior in ((trusted, TRUSTED_PRIOR), (raw, RAW_PRIOR)):
-        mass = max(counts.sum(), 1.0)
-        spread = np.repeat(np.array(prior), BUCKETS) / BUCKETS
-        p = (counts + PRIOR_WEIGHT * mass * spread + 0.5) / (mass * (1 + PRIOR_WEIGHT) + 0.5 * len(counts))
-        logs.append(np.log(p))
-    return logs[0] - logs[1]
+def weights(trusted: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log ratio (trusted against raw) of the level of each feature given its bucket, and the same over all buckets."""
+    logs, whole = [], []
+    for counts in (trusted, raw):
+        by_level = counts.reshape(LEVELS, BUCKETS).astype(float)
+        prior = (by_level.sum(1) + 1) / (by_level.sum() + LEVELS)
+        whole.append(np.log(prior))
+        logs.append(np.log((by_level + PRIOR_WEIGHT * prior[:, None]) / (by_level.sum(0) + PRIOR_WEIGHT)))
+    return (logs[0] - logs[1]).ravel(), whole[0] - whole[1]
 
 
-def fit(df: DataFrame, raw: str, trusted: str) -> tuple[np.ndarray, float]:
-    """Feature weights, and the score of a document of which the share RECUR of the features recur.
+def fit(df: DataFrame, raw: str, trusted: str) -> tuple[np.ndarray, float, float]:
+    """Feature weights, and the scores of documents of which the shares SURE and RECUR of the features are said again.
 
-    LEVELS * BUCKETS counts of each corpus reach the driver, whatever its size.
+    LEVELS * BUCKETS counts of each corpus reach the driver, whatever its size.  A corpus that repeats no more than the
+    trusted one tells the levels apart by LEAST_RATIO.
     """
-    counts = []
-    for name in (trusted, raw):
-        c = np.zeros(LEVELS * BUCKETS)
-        for r in feature_counts(df, name).collect():
-            c[r.feature] = r.n
-        counts.append(c)
-    w = weights(*counts)
-    by_level = w.reshape(LEVELS, BUCKETS)
-    return w, float((1 - RECUR) * by_level[0].mean() + RECUR * by_level[1:].max())
+    counts = np.zeros((2, LEVELS * BUCKETS), np.int64)
+    for r in feature_counts(df, raw, trusted).collect():
+        counts[:, r.feature] = r.trusted, r.raw
+    w, (first, again) = weights(*counts)
+    lift = min(first - np.log(LEAST_RATIO) - again, 0.0)
+    w[BUCKETS:] += lift
+    again += lift
+    return w, float((1 - SURE) * first + SURE * again), float((1 - RECUR) * first + RECUR * again)
 
 
 def _scores(plain: list[str], w: np.ndarray) -> np.ndarray:
-    doc, bucket, counts = _plain_runs(plain)
-    total = np.bincount(doc, counts, len(plain)) if len(doc) else np.zeros(len(plain))
-    value = np.zeros(len(plain))
-    for level, share in enumerate(_by_level(counts)):
-        value += np.bincount(doc, share * w[level * BUCKETS + bucket], len(plain)) if len(doc) else 0
-    return np.where(total > 0, value / np.maximum(total, 1), -np.inf)
+    out = np.full(len(plain), np.inf)
+    for start, end in _chunks(plain):
+        doc, bucket, counts = _plain_runs(plain[start:end])
+        if len(doc):
+            total = np.bincount(doc, counts, end - start)
+            value = sum(np.bincount(doc, share * w[level * BUCKETS + bucket], end - start) for level, share in enumerate(_by_level(counts)))
+            out[start:end] = np.where(total > 0, value / np.maximum(total, 1), np.inf)
+    return out
 
 
 def scores(texts: list[str], w: np.ndarray) -> np.ndarray:
-    """Length-normalised log-likelihood ratio of each text; -inf for texts without a run of GRAM letters.
+    """Length-normalised log-likelihood ratio of each text; infinite for texts without a run of GRAM letters.
 
     A running number must not hide a repeated statement, and a number that follows itself is repeated too: the lower score counts.
     """
@@ -232,26 +282,29 @@ def scores(texts: list[str], w: np.ndarray) -> np.ndarray:
     return score
 
 
-def repetition(df: DataFrame, key: str = "result_id", text: str = "prediction", trusted: str = "ground_truth", all_shares: bool = False) -> DataFrame:
-    """(key, score, checked, share): share is exact for checked rows, for all rows with all_shares, else null."""
-    w, least = fit(df, text, trusted)
+def repetition(df: DataFrame, key: str = "result_id", text: str = "prediction", trusted: str = "ground_truth", all_shares: bool = False, least: float = REPEATED) -> DataFrame:
+    """(key, score, verdict, share, repetitive): verdict is repetitive, borderline or sound by the score; share is exact for borderline rows, for all rows with all_shares, else null."""
+    w, sure, recur = fit(df, text, trusted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             score = scores(texts, w)
-            checked = score <= least
-            share = [repeated_share(t) if c or all_shares else None for t, c in zip(texts, checked.tolist(), strict=True)]
+            border = (score > sure) & (score <= recur) | np.isinf(score)
+            share = [repeated_share(t) if b or all_shares else None for t, b in zip(texts, border.tolist(), strict=True)]
+            verdict = np.where(border, "borderline", np.where(score <= sure, "repetitive", "sound"))
+            found = [v == "repetitive" or v == "borderline" and s >= least for v, s in zip(verdict.tolist(), share, strict=True)]
             score = np.where(np.isfinite(score), np.round(score, 6), np.nan)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score, pa.float64(), from_pandas=True), pa.array(checked), pa.array(share, pa.float64())], ["key", "score", "checked", "share"]
+                [batch.column(0), pa.array(score, pa.float64(), from_pandas=True), pa.array(verdict.tolist(), pa.string()), pa.array(share, pa.float64()), pa.array(found, pa.bool_())],
+                ["key", "score", "verdict", "share", "repetitive"],
             )
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"key {kind}, score double, checked boolean, share double")
+    out = df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"key {kind}, score double, verdict string, share double, repetitive boolean")
     return out.withColumnRenamed("key", key)
 
 
 def repetitive(df: DataFrame, key: str = "result_id", text: str = "prediction", trusted: str = "ground_truth", least: float = REPEATED) -> DataFrame:
-    """Keys of the texts of which at least the share ``least`` repeats."""
-    return repetition(df, key, text, trusted).where(F.col("share") >= least).select(key)
+    """Keys of the texts that the score, or in doubt the exact share of at least ``least``, calls repetitive."""
+    return repetition(df, key, text, trusted, least=least).where("repetitive").select(key)
