@@ -4,8 +4,10 @@ A text is read once: code (fenced, inline, pre, verbatim) and formulas are taken
 content, then HTML, LaTeX, wiki and Markdown signs are recognised line by line and
 replaced by one light layout: ``# `` headings, ``- `` items, `` | `` between cells,
 fences around code, ``$`` around formulas.  The lengths of the remaining text are summed
-over a sliding window of lines.  The clean text keeps every line with a letter or digit,
-so one character is a surge: only lines of mere signs drop out.
+over a sliding window of lines: a block of text begins where the sum surges, ends where
+it dives, and what stands between is kept.  Lines of several links, menus and rights
+notices have no text of their own, so navigation and footers lie outside of the blocks, as do
+lines of mere signs; a line with words of its own is always a surge, however short.
 
 Defined results: null gives null and no kinds; empty and blank texts give an empty text
 and no kinds; an unclosed code fence runs to the end; signs that are part of the prose
@@ -25,9 +27,12 @@ from pyspark.sql import functions as F
 from folioscope.llm.truncation import fold
 
 KINDS = ("html", "latex", "markdown", "wiki")
-#: Lines in the sliding window, and the characters of text in it that make a surge; with more than 1, short lines that stand alone would be lost.
+#: Lines in the sliding window, and the characters of text in it that make a surge; with more than 1, short lines that stand alone are lost.
 WINDOW = 3
 SURGE = 1
+#: Longest entry of a menu, and least entries or links of a line without text of its own.
+ENTRY_CHARS = 24
+ENTRIES = 2
 
 #: Names of HTML elements.
 _NAMES = (
@@ -80,7 +85,11 @@ _ITEM = re.compile(r"^([ \t]*)(?:[-*+]|\d{1,3}\.)[ \t]+(?:\[[ xX]\][ \t]+)?(?=\S
 _RULE = re.compile(r"^[ \t]*(?=[^\n]*\|)\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)*\|?[ \t]*$", re.M)
 
 #: Private characters that stand for held code and formulas, heading levels, items and cell borders until the end.
-_HELD, _HEAD, _POINT, _CELL = "\ue000", "\ue001", "\ue002", "\ue003"
+_HELD, _HEAD, _POINT, _CELL, _OPEN, _CLOSE = "\ue000", "\ue001", "\ue002", "\ue003", "\ue004", "\ue005"
+_LINKED = re.compile(f"{_OPEN}[^{_OPEN}{_CLOSE}\n]*{_CLOSE}")
+_MENU = re.compile(r"[ \t]+[|·•»›/][ \t]+")
+#: Words of rights notices.
+_RIGHTS = re.compile(r"©|\(c\)[ \t]*(?:19|20)\d\d|\bcopyright\b|\ball rights reserved\b|저작권|무단[ \t]*(?:전재|복제)|無断転載|著作権", re.I)
 _LETTER = re.compile(r"[^\W_]").search
 _HOLE = re.compile(_HELD + r"(\d+)" + _HELD)
 
@@ -95,6 +104,8 @@ def _strip_html(text: str, kinds: set[str]) -> str:
             return "\n" + _POINT if m[0][1] != "/" else ""
         if name in ("td", "th"):
             return _CELL if m[0][1] == "/" else ""
+        if name == "a":
+            return _CLOSE if m[0][1] == "/" else _OPEN
         if name == "tr":
             return "\n" if m[0][1] != "/" else ""
         return "\n" if name.rstrip("/") in ("p", "br", "div", "table", "ul", "ol", "blockquote", "hr", "section") else ""
@@ -164,8 +175,8 @@ def analyse(text: str | None, clean: bool = True) -> tuple[str | None, list[str]
             kinds.add(kind)
 
     if "[" in text:
-        take(_WIKI_LINK, r"\1", "wiki")
-        take(_LINK, r"\2", "markdown")
+        take(_WIKI_LINK, _OPEN + r"\1" + _CLOSE, "wiki")
+        take(_LINK, lambda m: m[2] if m[1] else _OPEN + m[2] + _CLOSE, "markdown")
     if "{" in text:
         take(_WIKI_TEMPLATE, lambda m: m[1].rsplit("|", 1)[-1], "wiki")
         if "{|" in text and _WIKI_TABLE.search(text):
@@ -188,31 +199,56 @@ def analyse(text: str | None, clean: bool = True) -> tuple[str | None, list[str]
         take(_EMPHASIS, lambda m: m[1] or m[2], "markdown")
     if ">" in text:
         take(_QUOTE, "", "markdown")
-    take(_ITEM, r"\1" + _POINT, "markdown")
+    take(_ITEM, lambda m: m[1] + (m[0].split()[0] + " " if m[0].lstrip()[0].isdigit() else _POINT), "markdown")
     if not clean:
         return None, sorted(kinds)
     return "\n".join(_main_lines(text, held)), sorted(kinds)
 
 
+def own_size(line: str) -> int:
+    """Characters of text of a line; none if it holds no letter or digit, several links alone, a menu or a rights notice."""
+    if not _LETTER(line):
+        return 0
+    if _CELL in line or line[0] in "#" + _HEAD + _POINT + _HELD:
+        return len(line)
+    if len(line) < 200 and _RIGHTS.search(line):
+        return 0
+    if len(_LINKED.findall(line)) >= ENTRIES and not _LETTER(_LINKED.sub("", line)):
+        return 0
+    entries = _MENU.split(line.strip("|").strip())
+    if len(entries) > ENTRIES and not line.startswith("|") and all(0 < len(e) <= ENTRY_CHARS and not any(c.isdigit() for c in e) for e in entries):
+        return 0
+    return len(line)
+
+
 def _main_lines(text: str, held: list[str]) -> list[str]:
-    """Lines from surge to dive: runs of lines where the text summed over the window stays at SURGE or more."""
+    """Lines of the blocks from surge to dive: the text summed over the window stays at SURGE or more, and the outer lines have text of their own."""
     lines = [line.strip() for line in text.split("\n")]
-    sizes = [len(line) if _LETTER(line) else 0 for line in lines]  # held code and formulas count by their number
+    sizes = [own_size(line) for line in lines]  # held code and formulas count by their number
     reach = WINDOW // 2
     total = [0]
     for size in sizes:
         total.append(total[-1] + size)
+    inside = [total[min(i + reach + 1, len(lines))] - total[max(i - reach, 0)] >= SURGE for i in range(len(lines))]
+    at = 0
+    while at < len(lines):  # a block is a run of such lines, less those without text at its ends
+        end = at
+        while end < len(lines) and inside[end]:
+            end += 1
+        own = [i for i in range(at, end) if sizes[i]]
+        for i in range(at, end):
+            inside[i] = bool(own) and own[0] <= i <= own[-1]
+        at = end + 1
     out: list[str] = []
     for i, line in enumerate(lines):
-        block = total[min(i + reach + 1, len(lines))] - total[max(i - reach, 0)]
-        if block < SURGE or not line:
+        if not line or not inside[i]:
             if out and out[-1]:
                 out.append("")
         elif sizes[i] or not any(c in line for c in "|{}<>\\"):
             line = line.removesuffix(_CELL).strip("|").strip() if "|" in line or _CELL in line else line
             if (heads := len(line) - len(line.lstrip(_HEAD))) > 0:
                 line = "#" * min(heads, 6) + " " + line.lstrip(_HEAD).strip()
-            line = line.replace(_POINT, "- ").replace(_CELL, " | ").replace(_HEAD, "")
+            line = line.replace(_POINT, "- ").replace(_CELL, " | ").replace(_HEAD, "").replace(_OPEN, "").replace(_CLOSE, "")
             out.append(_HOLE.sub(lambda m: held[int(m[1])], line))
     while out and not out[-1]:
         out.pop()

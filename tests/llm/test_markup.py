@@ -48,3 +48,42 @@ def test_operator(spark):
     assert got == [(1, "ground_truth", "html")] * 2 + [(1, "prediction", "markdown")] * 2 + [(3, "prediction", "markdown")]
     assert markup.markup(df.limit(0), "result_id", ["prediction"]).count() == 0
     assert markup.markup(df, "result_id", ["prediction"]).where("result_id = 2").first().clean_text is None
+
+
+FRAME = """[Home](/) | [About](/a) | [Contact](/c)
+
+Home | About | Contact
+
+# Report
+
+The first paragraph of the report is here.
+[one](/1) [two](/2)
+It goes on below the links. © marks are named in this sentence, which is far too long for a notice of rights and has a subject of its own, and so it stays where it stands, as every other sentence of the report does.
+
+1. first
+2. second
+
+- [kept](/k)
+
+Signed: A. B.
+
+Prev » Next » Top
+© 2024 Example. All rights reserved.
+"""
+
+
+def test_navigation_and_footers_lie_outside_of_the_blocks(monkeypatch):
+    clean, kinds = markup.analyse(FRAME)
+    assert kinds == ["markdown"]
+    for part in ("# Report", "first paragraph", "one two", "goes on below", "1. first", "2. second", "- kept", "Signed: A. B."):
+        assert part in clean
+    for part in ("Home", "Contact", "Prev", "2024"):
+        assert part not in clean
+    # Without the distribution of text over the lines the frame stays.
+    monkeypatch.setattr(markup, "own_size", len)
+    assert all(part in markup.analyse(FRAME)[0] for part in ("Home", "Contact", "Prev", "2024"))
+
+
+def test_menu_like_lines_with_content_stay():
+    for line in ("a | b | c 12", "| a | b | c |", "Total · 3 · 4", "- Home | About | Contact", "# Home | About | Contact"):
+        assert markup.analyse(line)[0], line
