@@ -30,10 +30,21 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """df, written once as Parquet to the shared folder and read back: it cuts the lineage and survives lost executors."""
+def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
+    """df, written once as Parquet to the shared folder and read back: it cuts the lineage and survives lost executors.
+
+    It is removed when the session ends, or before by ``release``.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     atexit.register(_drop, spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(df: DataFrame) -> None:
+    """Remove the files of a table that ``stored`` returned; what was planned from it can't be run any more."""
+    folder = shared_folder(df.sparkSession)
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if path.startswith(folder) or path.removeprefix("file://").startswith(folder.removeprefix("file://").removeprefix("file:")):
+            _drop(df.sparkSession, path)
