@@ -1,38 +1,51 @@
 """Evaluation passages inside a training corpus (problem 9).
 
-A positional inverted index of the corpus is stored for the terms of the test
-passages: (term, document, positions).  Terms are words for passages of spaced
-languages and runs of GRAM letters and digits for ko and ja, where blanks don't
-part words.  Every window of a passage that would count as a leak is looked up by
-its rarest term in the corpus; the lists of the other terms are intersected with
-the offset-adjusted positions, and runs of consecutive matches are the phrases.
-Matches that keep the order within ``slack`` places are proximity matches.
+A positional inverted index of the whole corpus is stored once, for any test set: the
+postings (unit, term, uid, position) of its terms.  Terms are runs of SHINGLE words (unit
+w) and of GRAM letters and digits (unit c, for ko and ja, where blanks don't part words).  Of
+every window of half as many terms as the least run that counts, the term of the least hash
+is posted, so a run of the least length posts the same terms wherever it stands, two or
+more of them.
+
+Of each test passage every run of the least length is looked up by its two rarest
+posted terms: the positions of the rarest, adjusted by its offset, are places where the passage
+could begin, and those are kept where the second term stands within ``slack`` of its
+offset.  A run with a posted term that the corpus lacks is nowhere.  The documents of these
+places are read, and the passage is laid on each place: the longest run of equal
+terms is the exact phrase, and terms within ``slack`` of their offset are proximity matches.
 
 Case, blanks, line breaks, punctuation and markup don't count.  Defined results:
 null and empty texts and passages match nothing; passages shorter than the least
 run match nothing; documents with equal keys are searched each for itself and
-reported once per key and item.
+reported once per key and item; an item key that repeats is searched with each passage.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
+import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.sources.shared import stored
 
 MIN_WORDS = 12
 MIN_CHARS = 40
+SHINGLE = 3
 GRAM = 6
 UNSPACED = ("ko", "ja", "zh")
-#: Test passages are searched in blocks of about this many characters, so what a block broadcasts is bounded.
-BLOCK_CHARS = 8_000_000
+#: Characters of the texts that are indexed at a time; a longer text is indexed alone.
+CHUNK_CHARS = 2_000_000
+#: Most documents with a place whose hashes are broadcast (16 bytes each); more are joined by a shuffle.
+BROADCAST_DOCUMENTS = 2_000_000
+#: Bits of the hash that names a document in the postings; documents of one name are told apart when they are read.
+UID_BITS = 40
 
 _MARKUP = re.compile(
     r"<!--.*?-->|</?[A-Za-z][^<>]*>|&\#?\w{1,8};|\]\([^()\s]*\)|\[\[[^\[\]|\n]*\||\{\{\w+\||"
@@ -56,49 +69,147 @@ def words(text: str | None) -> list[str]:
 _INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060-\u2064\ufeff]")
 
 
-def terms_of(text: str | None, unit: str) -> list[str]:
-    """Terms of text by position."""
+def _least(own: np.ndarray, sizes: np.ndarray, window: int) -> np.ndarray:
+    """For each window inside one of the documents laid end to end, the place of its least term; the first of equals."""
+    n = len(own)
+    if n < window:
+        return np.zeros(0, np.int64)
+    low = own.astype(np.uint64) << np.uint64(32) | np.arange(n, dtype=np.uint64)
+    span = 1
+    while span * 2 <= window:
+        low = np.minimum(low[:-span], low[span:])
+        span *= 2
+    if window > span:
+        low = np.minimum(low[: n - window + 1], low[window - span : n - span + 1])
+    end = np.repeat(np.cumsum(sizes), sizes)[: n - window + 1]
+    return (low[np.arange(n - window + 1) + window <= end] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+
+
+def _runs(own: np.ndarray, sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``length`` signs that don't cross documents, and the runs of each document."""
+    n = max(len(own) - length + 1, 0)
+    h = np.zeros(n, np.uint64)
+    for k in range(length if n else 0):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + own[k : k + n].astype(np.uint64)
+        h ^= h >> np.uint64(31)
+    end = np.repeat(np.cumsum(sizes), sizes)[:n]
+    return (h[np.arange(n) + length <= end] * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(32), np.maximum(sizes - length + 1, 0)
+
+
+def _terms(parts: list[list[str]], unit: str) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of documents given by their words, laid end to end, and their number in each document."""
     if unit == "w":
-        return words(text)
-    stream = "".join(words(text))
-    return [stream[i : i + GRAM] for i in range(len(stream) - GRAM + 1)]
+        signs = [[zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in words] for words in parts]
+        return _runs(np.fromiter((h for words in signs for h in words), np.uint64), np.array([len(p) for p in parts], np.int64), SHINGLE)
+    streams = ["".join(words) for words in parts]
+    own = np.frombuffer("".join(streams).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return _runs(own, np.array([len(x) for x in streams], np.int64), GRAM)
+
+
+def _half(unit: str, least: int) -> int:
+    """Terms in half a run of ``least`` words or signs."""
+    return max((least - (SHINGLE if unit == "w" else GRAM) + 1) // 2, 1)
 
 
-def _index(docs: DataFrame, vocabulary: dict[str, dict[str, int]], min_chars: int) -> DataFrame:
-    """(uid, key, term, positions) for the terms of the vocabulary: by unit, term -> id."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    stride = max(1, (min_chars - GRAM + 1) // 2)
+def posted(parts: list[list[str]], unit: str, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, position, term) of the posted terms of documents given by their words; least counts words or signs."""
+    terms, counts = _terms(parts, unit)
+    at = np.unique(_least(terms, counts, _half(unit, least)))
+    first = np.concatenate([[0], np.cumsum(counts)])
+    doc = np.searchsorted(first, at, "right") - 1
+    return doc, at - first[doc], terms[at].astype(np.uint32).view(np.int32)
+
+
+def _uid(key, text):
+    return F.shiftrightunsigned(F.xxhash64(key, text), 64 - UID_BITS)
+
+
+def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS) -> DataFrame:
+    """(unit, term, uid, pos): the stored postings of all documents, for test runs of at least min_words words or min_chars letters and digits.
+
+    No posting is shuffled: each task writes those of its documents, sorted by term in runs.
+    """
+    if min_words < SHINGLE or min_chars < GRAM:
+        raise ValueError(f"a run holds at least {SHINGLE} words or {GRAM} letters")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_word, by_gram = shared.value.get("w", {}), shared.value.get("c", {})
         for batch in batches:
-            source, term, positions = [], [], []
-            for row, text in enumerate(batch.column(2).to_pylist()):
-                parts = words(text)
-                found: dict[int, list[int]] = defaultdict(list)
-                if by_word:
-                    for i, word in enumerate(parts):
-                        if (t := by_word.get(word)) is not None:
-                            found[t].append(i)
-                if by_gram:
-                    stream = "".join(parts)
-                    last = len(stream) - GRAM + 1
-                    # A run of min_chars holds at least one gram that starts at a multiple of the stride.
-                    if any(stream[i : i + GRAM] in by_gram for i in range(0, last, stride)):
-                        for i in range(last):
-                            if (t := by_gram.get(stream[i : i + GRAM])) is not None:
-                                found[t].append(i)
-                source += [row] * len(found)
-                term += found.keys()
-                positions += found.values()
-            at = pa.array(source, pa.int64())
+            uids = batch.column(0).to_numpy(zero_copy_only=False)
+            texts = batch.column(1).to_pylist()
+            start = 0
+            while start < len(texts):
+                end, size = start, 0
+                while end < len(texts) and (end == start or size + len(texts[end]) <= CHUNK_CHARS):
+                    size += len(texts[end])
+                    end += 1
+                parts = [words(t) for t in texts[start:end]]
+                for unit, least in (("w", min_words), ("c", min_chars)):
+                    doc, at, term = posted(parts, unit, least)
+                    order = np.argsort(term, kind="stable")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([unit] * len(order), pa.string()), pa.array(term[order]), pa.array(uids[start:end][doc[order]], pa.int64()), pa.array(at[order].astype(np.int32))],
+                        ["unit", "term", "uid", "pos"],
+                    )
+                start = end
+
+    rows = docs.where(F.length(docs[text]) > 0).select(_uid(docs[key], docs[text]).alias("uid"), docs[text].alias("text"))
+    return stored(rows.mapInArrow(run, "unit string, term int, uid long, pos int"), "postings")
+
+
+def _windows(items: DataFrame, min_words: int, min_chars: int) -> DataFrame:
+    """(item, passage, unit, window, term, offset): the terms that every different run of the least length of the passages posts wherever it stands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            source, unit_of, window, term_of, offsets = [], [], [], [], []
+            for row, (passage, code) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                parts = words(passage)
+                unit, least, length = ("c", min_chars, GRAM) if (code or "")[:2] in UNSPACED else ("w", min_words, SHINGLE)
+                whole = len("".join(parts)) if unit == "c" else len(parts)
+                terms, counts = _terms([parts], unit)
+                half = _half(unit, least)
+                low = _least(terms, counts, half)
+                seen = set()
+                for start in range(whole - least + 1):
+                    at = tuple(np.unique(low[start : start + least - length - half + 2]).tolist())
+                    if at not in seen:
+                        seen.add(at)
+                        source += [row] * len(at)
+                        unit_of += [unit] * len(at)
+                        window += [start] * len(at)
+                        term_of += terms[list(at)].astype(np.uint32).view(np.int32).tolist()
+                        offsets += at
+            at_row = pa.array(source, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), pa.array(term, pa.int32()), pa.array(positions, pa.list_(pa.int32()))],
-                ["uid", "key", "term", "positions"],
+                [batch.column(0).take(at_row), batch.column(1).take(at_row), pa.array(unit_of, pa.string()), pa.array(window, pa.int32()), pa.array(term_of, pa.int32()), pa.array(offsets, pa.int32())],
+                ["item", "passage", "unit", "window", "term", "offset"],
             )
 
-    kind = docs.schema["key"].dataType.simpleString()
-    return docs.mapInArrow(run, f"uid long, key {kind}, term int, positions array<int>")
+    kind = items.schema["item"].dataType.simpleString()
+    return items.mapInArrow(run, f"item {kind}, passage string, unit string, window int, term int, offset int")
+
+
+@lru_cache(4)
+def _parts(text: str) -> list[str]:
+    return words(text)
+
+
+def laid_on(text: str, passage: str, unit: str, starts: list[int], slack: int) -> tuple[int, int, int]:
+    """(longest run, near matches, terms of the passage), the best of the places where the passage may begin in text."""
+    doc, own = _parts(text), _parts(passage)
+    if unit == "c":
+        stream, whole = "".join(doc), "".join(own)
+        doc, own = ([x[i : i + GRAM] for i in range(len(x) - GRAM + 1)] for x in (stream, whole))
+    best = (0, 0)
+    for start in starts:
+        longest = run = near = 0
+        for offset, term in enumerate(own):
+            at = start + offset
+            run = run + 1 if 0 <= at < len(doc) and doc[at] == term else 0
+            longest = max(longest, run)
+            near += run > 0 or term in doc[max(at - slack, 0) : max(at + slack + 1, 0)]
+        best = max(best, (longest, near))
+    return (best[0] + (GRAM - 1 if unit == "c" and best[0] else 0), best[1], len(own))
 
 
 def find_leaks(
@@ -112,68 +223,50 @@ def find_leaks(
     min_words: int = MIN_WORDS,
     min_chars: int = MIN_CHARS,
     slack: int = 2,
+    index: DataFrame | None = None,
 ) -> DataFrame:
-    """(key, item_key, unit, longest_run, near_matches, passage_terms), one row per document and item that share a window's rarest term in place.
+    """(key, item_key, unit, longest_run, near_matches, passage_terms), one row per document and item that share the two rarest terms of a window in place.
 
     longest_run counts consecutive words (unit 'w') or letters and digits (unit 'c') of the passage;
     near_matches counts the passage's terms found within ``slack`` places of their offset.
+    index: postings of docs by ``build_index`` with the same key, text and least runs; built here if it isn't given.
     """
-    spark = docs.sparkSession
-    rows = items.where(items[passage].isNotNull()).select(items[item_key], items[passage], F.lower(F.trim(items[lang])))
-    corpus = docs.select(F.monotonically_increasing_id().alias("uid"), docs[key].alias("key"), docs[text].alias("text"))
-    out, block, size = [], [], 0
-
-    def search(block: list) -> DataFrame:
-        vocabulary: dict[str, dict[str, int]] = {"w": {}, "c": {}}
-        ids, listed = 0, []
-        for no, (_, body, code) in enumerate(block):
-            unit = "c" if (code or "")[:2] in UNSPACED else "w"
-            seen = vocabulary[unit]
-            for offset, term in enumerate(terms_of(body, unit)):
-                if term not in seen:
-                    seen[term], ids = ids, ids + 1
-                listed.append((no, unit, seen[term], offset))
-        item = spark.createDataFrame([(no, x[0]) for no, x in enumerate(block)], f"no int, item {items.schema[item_key].dataType.simpleString()}")
-        wanted = stored(spark.createDataFrame(pa.table(list(zip(*listed, strict=True)) or [[], [], [], []], names=["no", "unit", "term", "offset"]).cast(pa.schema([("no", pa.int32()), ("unit", pa.string()), ("term", pa.int32()), ("offset", pa.int32())]))), "terms")
-        index = stored(_index(corpus, vocabulary, min_chars), "postings")
-        spread = index.groupBy("term").agg(F.count("*").alias("df"))
-        ranked = wanted.join(spread, "term", "left").withColumn("rank", F.struct(F.coalesce("df", F.lit(0)).alias("df"), "offset", "term"))
-        anchors = None
-        for unit, length in (("w", min_words), ("c", min_chars - GRAM + 1)):
-            ahead = Window.partitionBy("no").orderBy("offset").rowsBetween(0, length - 1)
-            windows = ranked.where(F.col("unit") == unit).select("no", F.min("rank").over(ahead).alias("a"), F.count("*").over(ahead).alias("n"))
-            part = windows.where(F.col("n") == length).select("no", "a.term", "a.offset").distinct()
-            anchors = part if anchors is None else anchors.union(part)
-        # Each anchor's list, adjusted by its offset, gives the places where the passage could begin.
-        start = F.explode(F.transform("positions", lambda p: p - F.col("offset"))).alias("start")
-        places = index.join(anchors, "term").select("uid", "no", start).distinct()
-        places = stored(places, "places")
-        lists = index.join(places.select("uid").distinct(), "uid", "left_semi")
-        expected = places.join(wanted, "no")
-        hits = expected.join(lists, ["uid", "term"]).withColumn("at", F.col("start") + F.col("offset"))
-        near = F.exists("positions", lambda p: F.abs(p - F.col("at")) <= slack)
-        hits = hits.where(near).select("uid", "key", "no", "unit", "start", "offset", F.array_contains("positions", F.col("at")).alias("exact"))
-        order = Window.partitionBy("uid", "no", "start", "exact").orderBy("offset")
-        runs = hits.withColumn("island", F.col("offset") - F.row_number().over(order))
-        runs = runs.groupBy("uid", "key", "no", "unit", "start", "exact", "island").agg(F.count("*").alias("n"))
-        runs = runs.groupBy("uid", "key", "no", "unit", "start").agg(F.max(F.when(F.col("exact"), F.col("n"))).alias("run"), F.sum("n").alias("near"))
-        tail = F.when(F.col("unit") == "c", GRAM - 1).otherwise(0)
-        best = runs.groupBy("key", "no", "unit").agg((F.max("run") + F.max(tail)).cast("int").alias("longest_run"), F.max("near").cast("int").alias("near_matches"))
-        length = wanted.groupBy("no").agg(F.count("*").cast("int").alias("passage_terms"))
-        return best.join(length, "no").join(item, "no").select(F.col("key").alias(key), F.col("item").alias(item_key), "unit", "longest_run", "near_matches", "passage_terms")
-
-    for row in rows.toLocalIterator():
-        block.append(tuple(row))
-        size += len(row[1])
-        if size >= BLOCK_CHARS:
-            out.append(search(block))
-            block, size = [], 0
-    if block or not out:
-        out.append(search(block))
-    found = out[0]
-    for more in out[1:]:
-        found = found.union(more)
-    return found
+    index = build_index(docs, key, text, min_words, min_chars) if index is None else index
+    wanted = items.where(F.length(items[passage]) > 0).select(items[item_key].alias("item"), items[passage].alias("passage"), F.lower(F.trim(items[lang])).alias("code"))
+    windows = stored(_windows(wanted, min_words, min_chars), "windows")
+    terms = windows.select("unit", "term").distinct()
+    frequency = index.join(terms, ["unit", "term"], "left_semi").groupBy("unit", "term").agg(F.count("*").alias("df"))
+    # The two rarest terms of each run; a run with a term that the corpus lacks is nowhere.
+    ranked = windows.join(frequency, ["unit", "term"], "left").groupBy("item", "passage", "unit", "window")
+    ranked = ranked.agg(F.min(F.coalesce("df", F.lit(0))).alias("least"), F.slice(F.sort_array(F.collect_list(F.struct("df", "offset", "term"))), 1, 2).alias("t")).where("least > 0")
+    pairs = ranked.select("item", "passage", "unit", F.col("t")[0]["term"].alias("term"), F.col("t")[0]["offset"].alias("offset"), F.try_element_at("t", F.lit(2)).alias("second")).distinct()
+    pairs = stored(pairs, "rarest")
+    rare = pairs.select("unit", "term").union(pairs.select("unit", F.col("second.term"))).where("term is not null").distinct()
+    lists = stored(index.join(rare, ["unit", "term"], "left_semi"), "lists")
+    # Offset-adjusted positions of the rarest term, kept where the second stands in place.
+    places = lists.join(pairs, ["unit", "term"]).withColumn("start", F.col("pos") - F.col("offset")).drop("pos", "term", "offset")
+    other = lists.select("unit", F.col("term").alias("term2"), "uid", F.col("pos").alias("pos2"))
+    places = places.select("unit", "uid", "item", "passage", "start", F.col("second.term").alias("term2"), F.col("second.offset").alias("offset2"))
+    alone = places.where("term2 is null").drop("term2", "offset2")
+    both = places.join(other, ["unit", "term2", "uid"]).where(F.abs(F.col("pos2") - F.col("start") - F.col("offset2")) <= slack).select(alone.columns)
+    found = alone.union(both).groupBy("uid", "unit", "item", "passage").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    found = stored(found, "places")
+    own = docs.select(_uid(docs[key], docs[text]).alias("uid"), docs[key].alias("key"), docs[text].alias("text"))
+    names = found.select("uid").distinct()
+    if names.count() <= BROADCAST_DOCUMENTS:
+        own = own.join(F.broadcast(names), "uid", "left_semi")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [laid_on(*x, slack) for x in zip(*(batch.column(i).to_pylist() for i in (3, 4, 2, 5)), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c, pa.int32()) for c in list(zip(*rows, strict=True)) or [()] * 3)], out)
+
+    out = ["key", "item", "unit", "longest_run", "near_matches", "passage_terms"]
+    kinds = [docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()]
+    laid = own.join(found, "uid").select("key", "item", "unit", "text", "passage", "starts")
+    laid = laid.mapInArrow(run, f"key {kinds[0]}, item {kinds[1]}, unit string, longest_run int, near_matches int, passage_terms int").where("longest_run > 0")
+    best = laid.groupBy("key", "item", "unit").agg(F.max(F.struct("longest_run", "near_matches", "passage_terms")).alias("b"))
+    return best.select(F.col("key").alias(key), F.col("item").alias(item_key), "unit", "b.*")
 
 
 def leaked(docs: DataFrame, items: DataFrame, min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, **kw) -> DataFrame:

@@ -55,9 +55,36 @@ def test_report_and_empty_tables(spark):
     assert leakage.leaked(docs.limit(0), items).count() == leakage.leaked(docs, items.limit(0)).count() == 0
 
 
-def test_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(leakage, "BLOCK_CHARS", 50)
+def test_stored_postings_serve_a_second_item_set(spark):
     texts = [" ".join(f"t{k}x{i}" for i in range(15)) for k in range(3)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    items = spark.createDataFrame([(10 + k, t, "en") for k, t in enumerate(texts)], "item_id long, passage string, lang_code string")
-    assert sorted(tuple(r) for r in leakage.leaked(docs, items).collect()) == [(0, 10), (1, 11), (2, 12)]
+    index = leakage.build_index(docs)
+    for own in ([0], [1, 2], []):
+        items = spark.createDataFrame([(10 + k, texts[k], "en") for k in own], "item_id long, passage string, lang_code string")
+        assert sorted(tuple(r) for r in leakage.leaked(docs, items, index=index).collect()) == [(k, 10 + k) for k in own]
+    assert leakage.leaked(docs, items, index=index.limit(0)).count() == 0
+
+
+def test_every_run_posts_a_term_and_equal_runs_post_equal_terms():
+    rng = random.Random(23)
+    for unit, least, pool in (("w", 12, ["a", "bb", "c"]), ("c", 40, list("abcd")), ("w", 5, ["x"])):
+        own = [[rng.choice(pool) for _ in range(rng.randint(0, 120))] for _ in range(9)]
+        doc, at, term = leakage.posted(own, unit, least)
+        length = leakage.SHINGLE if unit == "w" else leakage.GRAM
+        for d, words in enumerate(own):
+            size = len(words) if unit == "w" else len("".join(words))
+            places = at[doc == d].tolist()
+            for s in range(size - least + 1):
+                assert sum(s <= p <= s + least - length for p in places) >= (2 if len(pool) > 1 else 1)
+            cut = words[3:]
+            _, at2, term2 = leakage.posted([cut], unit, least)
+            shift = 3 if unit == "w" else len("".join(words[:3]))
+            mine = dict(zip(places, term[doc == d].tolist()))
+            assert all(mine.get(p + shift) == t for p, t in zip(at2.tolist(), term2.tolist()))
+
+
+def test_a_passage_in_a_third_of_the_documents(spark):
+    passage = " ".join(f"word{i}" for i in range(40))
+    docs = spark.range(3000).selectExpr("id AS doc_id", f"CASE WHEN id % 3 = 0 THEN concat('{passage}', ' ', id) ELSE concat('other text ', id) END AS text")
+    items = spark.createDataFrame([(1, passage, "en"), (1, "x " * 20, "en")], "item_id long, passage string, lang_code string")
+    assert leakage.leaked(docs, items).count() == 1000
