@@ -71,6 +71,20 @@ def f1(precision: Column, recall: Column) -> Column:
     return F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0))
 
 
+def detected(guess: Column, truth: Column) -> dict[str, Column]:
+    """Precision, recall and F1 of counted things: as many as both sides have are right; 0 where a side has none."""
+    both = F.least(guess, truth).cast("double")
+    precision, recall = F.coalesce(F.try_divide(both, guess), F.lit(0.0)), F.coalesce(F.try_divide(both, truth), F.lit(0.0))
+    return {"precision": precision, "recall": recall, "f1": f1(precision, recall)}
+
+
+def same_direction(a: Column, b: Column) -> Column:
+    """Share of the steps of two arrays of numbers in which both rise or both fall; null for less than two places."""
+    steps = lambda x: F.zip_with(F.slice(x, 1, F.size(x) - 1), F.slice(x, 2, F.size(x) - 1), lambda p, q: q - p)
+    both = F.zip_with(steps(a), steps(b), lambda p, q: F.coalesce((p * q > 0).cast("int"), F.lit(0)))
+    return F.when(F.least(F.size(a), F.size(b)) > 1, F.aggregate(both, F.lit(0), lambda s, v: s + v) / F.size(both))
+
+
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two arrays of numbers; 0 if one has no length."""
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)

@@ -107,6 +107,11 @@ def language_of(language: Column, dataset: Column) -> Column:
     return F.coalesce(own, suffix, F.lit("unknown"))
 
 
+def language_code(name: Column) -> Column:
+    """The primary subtag of a language tag in lower case; null for null and blank."""
+    return F.nullif(F.regexp_extract(F.lower(F.trim(name)), "^[a-z]+", 0), F.lit(""))
+
+
 def is_empty(text: Column) -> Column:
     """Null or white space alone."""
     return text.isNull() | ~text.rlike(f"[^{SPACE}]")
@@ -153,10 +158,10 @@ def wiki_clean(text: Column) -> Column:
     templates were taken out of them.
     """
     marks = "#*:;"
-    words = F.split(strip(F.ltrim(text, F.lit(marks + "|>-– \t\n"))), r"\s+")
-    last = F.size(words) - 1
-    kept = F.filter(words, lambda w, i: (i == last) | (F.length(F.btrim(w, F.lit(marks))) > 0))
-    line = F.array_join(F.transform(kept, lambda w: F.when(w.rlike(rf"\.[{marks}]+$"), F.rtrim(w, F.lit(marks))).otherwise(w)), " ")
+    line = strip(F.ltrim(text, F.lit(marks + "|>-– \t\n")))
+    kept = F.filter(F.split(line, r"\s+"), lambda w: F.length(F.btrim(w, F.lit(marks))) > 0)
+    words = F.transform(kept, lambda w: F.when(w.rlike(rf"\.[{marks}]+$"), F.rtrim(w, F.lit(marks))).otherwise(w))
+    line = F.concat(F.array_join(words, " "), F.regexp_extract(line, rf"\s([{marks}]+)$", 1))  # marks at the end of a line stay
     line = F.regexp_replace(line, r"[(（][\s,;:·、]*[)）]", "")
     line = F.regexp_replace(line, r"\s*[,;]\s*(?=[)）])", "")
     # A Korean sentence that runs into the next one.

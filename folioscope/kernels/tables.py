@@ -254,6 +254,42 @@ def to_cells(table_html: str | None) -> dict:
     return {"cells": cells, "num_rows": len(reader.rows), "num_cols": max(map(len, reader.rows), default=0)}
 
 
+def _ratio(a: float, b: float) -> float:
+    return a / b if b else 0.0
+
+
+def detected(guess: int, truth: int) -> tuple[float, float, float]:
+    """Precision, recall and F1 of counted rows or columns: as many as both sides have are right."""
+    precision, recall = _ratio(min(guess, truth), guess), _ratio(min(guess, truth), truth)
+    return precision, recall, _ratio(2 * precision * recall, precision + recall)
+
+
+def cell_scores(guess: dict, truth: dict) -> dict[str, float]:
+    """Texts of the cells that stand in the same row and column of both tables; cells empty on both sides don't count."""
+    from folioscope.kernels.blocks import cer  # this module is read by blocks
+
+    sides = [{(c["row"], c["col"]): c.get("text") or "" for c in t["cells"]} for t in (guess, truth)]
+    rates = [(cer(text, sides[0][at]), len(text)) for at, text in sides[1].items() if at in sides[0] and (text or sides[0][at])]
+    right = sum(rate == 0 for rate, _ in rates)
+    return {
+        "avg_cer": _ratio(sum(rate * size for rate, size in rates), sum(size for _, size in rates)), "cell_accuracy": _ratio(right, len(rates)),
+        "perfect_cells": float(right), "total_cells": float(len(rates)),
+    }
+
+
+def table_scores(guess_html: str, truth_html: str, guess: dict | None = None, truth: dict | None = None) -> dict[str, float]:
+    """All scores of a table: structure, cells, rows and columns; the cells are read from the HTML if they aren't given."""
+    a, b = html_of(guess_html), html_of(truth_html)
+    guess, truth = guess or to_cells(a), truth or to_cells(b)
+    out = {"teds": teds(a, b) if a and b else float(not a and not b)} | cell_scores(guess, truth)
+    f1s = []
+    for name, count in (("row", "num_rows"), ("column", "num_cols")):
+        values = detected(guess[count], truth[count])
+        out |= {f"{name}_{k}": v for k, v in zip(("precision", "recall", "f1"), values, strict=True)}
+        f1s.append(values[2])
+    return out | {"structure_f1": _ratio(2 * f1s[0] * f1s[1], sum(f1s))}
+
+
 def span_grid(rows: list[list[tuple[str, int, int]]], width: int) -> list[list[int | None]]:
     """Which cell covers each slot when cells (text, colspan, rowspan) are placed as a browser does; ValueError if they don't fit."""
     grid: list[list[int | None]] = []

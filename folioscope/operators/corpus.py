@@ -51,6 +51,16 @@ def merged(old: DataFrame, new: DataFrame, item: str) -> DataFrame:
     return clean(old).union(clean(new)).distinct()
 
 
+def common(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Different keys that both sides hold; null is a key."""
+    return left.select(*keys).intersect(right.select(*keys))
+
+
+def without(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Different keys of left that right doesn't hold; null is a key."""
+    return left.select(*keys).subtract(right.select(*keys))
+
+
 def symmetric_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(key, side): keys of one side alone."""
     a = left.select(key).distinct().withColumn("_a", F.lit(True))

@@ -2,46 +2,48 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.kernels import blocks, layout, outputs
+from folioscope.kernels import blocks, layout, outputs, tables
 from folioscope.operators.evaluation import valid
+from folioscope.sources.shared import spread
 
+RATES = ("cer", "wer", "exact", "char_accuracy", "ned")
 
-def page_scores(df: DataFrame, key: str, prediction: str = "prediction", truth: str = "ground_truth") -> DataFrame:
-    """(key, text_score, table_teds, formula_score, order_score, overall_score) of every row; null texts count as empty.
+
+def page_scores(df: DataFrame, key: str, prediction: str = "prediction", truth: str = "ground_truth", keep: list[str] = ()) -> DataFrame:
+    """(key, keep, text_score, table_teds, formula_score, order_score, overall_score) of every row; null texts count as empty.
 
     Pages that repeat within a batch are scored once.
     """
-    names = ["key", *blocks.SCORES]
+    own = [f"k{i}" for i in range(len(keep) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             known: dict[tuple, tuple] = {}
             rows = []
-            for pair in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for pair in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if pair not in known:
                     known[pair] = blocks.page_scores(*pair)
                 rows.append(known[pair])
             columns = list(zip(*rows, strict=True)) or [()] * len(blocks.SCORES)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.float64()) for c in columns)], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *(pa.array(c, pa.float64()) for c in columns)], [*own, *blocks.SCORES])
 
-    kind = df.schema[key].dataType.simpleString()
-    out = df.select(df[key].alias("key"), df[prediction].alias("p"), df[truth].alias("t"))
-    return out.mapInArrow(run, f"key {kind}, " + ", ".join(f"{s} double" for s in blocks.SCORES)).withColumnRenamed("key", key)
+    kinds = [df.schema[c].dataType.simpleString() for c in (key, *keep)]
+    out = spread(df.select(df[prediction].alias("p"), df[truth].alias("t"), *(df[c].alias(n) for c, n in zip((key, *keep), own, strict=True))))
+    scored = out.mapInArrow(run, ", ".join([*(f"{n} {k}" for n, k in zip(own, kinds, strict=True)), *(f"{s} double" for s in blocks.SCORES)]))
+    return scored.toDF(key, *keep, *blocks.SCORES)
 
 
 def model_scores(df: DataFrame, keys: list[str], key: str) -> DataFrame:
     """(keys, scored, avg_* and std_* of each score) over valid rows."""
-    rows = valid(df)
-    scored = page_scores(rows, key).join(rows.select(key, *keys), key)
     stats = [f(s).alias(f"{n}_{s}") for s in blocks.SCORES for n, f in (("avg", F.avg), ("std", F.stddev_pop))]
-    return scored.groupBy(*keys).agg(F.count("*").alias("scored"), *stats)
+    return page_scores(valid(df), key, keep=keys).groupBy(*keys).agg(F.count("*").alias("scored"), *stats)
 
 
 def page_blocks(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -60,19 +62,22 @@ def page_blocks(df: DataFrame, key: str, text: str) -> DataFrame:
             )
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(df[key].alias("key"), df[text].alias("t")).mapInArrow(run, f"key {kind}, position int, block_type string, content string")
+    out = spread(df.select(df[key].alias("key"), df[text].alias("t"))).mapInArrow(run, f"key {kind}, position int, block_type string, content string")
     return out.withColumnRenamed("key", key)
 
 
-def _kernel(df: DataFrame, key: str, columns: list[str], names: list[str], score) -> DataFrame:
+def _kernel(df: DataFrame, key: str, columns: list[str | Column], names: list[str], score) -> DataFrame:
+    """(key, names): the numbers that score returns by name for the columns of each row."""
+    width = len(columns)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            args = [batch.column(i + 1).to_pylist() for i in range(len(columns))]
+            args = [batch.column(i + 1).to_pylist() for i in range(width)]
             rows = [score(*x) for x in zip(*args, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[n] for r in rows], pa.float64()) for n in names)], ["key", *names])
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(df[key].alias("key"), *(df[c].alias(f"c{i}") for i, c in enumerate(columns)))
+    out = spread(df.select(df[key].alias("key"), *((df[c] if isinstance(c, str) else c).alias(f"c{i}") for i, c in enumerate(columns))))
     return out.mapInArrow(run, f"key {kind}, " + ", ".join(f"{n} double" for n in names)).withColumnRenamed("key", key)
 
 
@@ -87,24 +92,47 @@ def item_scores(df: DataFrame, key: str, prediction: str, truth: str) -> DataFra
     return _kernel(df, key, [prediction, truth], names, layout.item_scores)
 
 
-def error_rates(df: DataFrame, key: str, prediction: str = "prediction", truth: str = "ground_truth") -> DataFrame:
-    """(key, cer, wer, exact, char_accuracy, ned) of whole texts; bit-parallel, so long texts cost little more than short ones."""
+def error_rates(
+    df: DataFrame, key: str, prediction: str = "prediction", truth: str = "ground_truth", normalise: Callable[[Column], Column] | None = None, rates: tuple[str, ...] = RATES
+) -> DataFrame:
+    """(key, rates) of whole texts, normalised first; bit-parallel, so long texts cost little more than short ones.  Null counts as ''."""
+    sides = [df[c] if normalise is None else normalise(df[c]) for c in (prediction, truth)]
+    need_cer = bool({"cer", "char_accuracy"} & set(rates))
+
+    def score(guess: str | None, true: str | None) -> dict[str, float]:
+        guess, true = guess or "", true or ""
+        rate = blocks.cer(true, guess) if need_cer else 0.0
+        made = {
+            "cer": lambda: rate, "wer": lambda: blocks.wer(true, guess), "exact": lambda: float(guess.strip() == true.strip()),
+            "char_accuracy": lambda: max(0.0, 1 - rate), "ned": lambda: layout.ned(guess, true),
+        }
+        return {r: made[r]() for r in rates}
 
-    def rates(guess: str | None, true: str | None) -> dict[str, float]:
-        rate = blocks.cer(true, guess)
-        return {"cer": rate, "wer": blocks.wer(true, guess), "exact": float((guess or "").strip() == (true or "").strip()), "char_accuracy": max(0.0, 1 - rate), "ned": layout.ned(guess or "", true or "")}
+    return _kernel(df, key, sides, list(rates), score)
 
-    return _kernel(df, key, [prediction, truth], ["cer", "wer", "exact", "char_accuracy", "ned"], rates)
+
+def table_scores(df: DataFrame, key: str, prediction: str = "prediction", truth: str = "ground_truth") -> DataFrame:
+    """(key, teds, cell scores, row and column detection) of the first table of two texts, whatever form it is written in."""
+    return _kernel(df, key, [prediction, truth], list(tables.table_scores("", "")), lambda a, b: tables.table_scores(a or "", b or ""))
 
 
 def without_furniture(df: DataFrame, text: str, furniture: str) -> DataFrame:
-    """df with the column text freed of the lines of the struct furniture (header, footer, page_number)."""
-    @F.pandas_udf("string")
-    def clean(page: pd.Series, parts: pd.DataFrame) -> pd.Series:
-        rows = parts.to_dict("records")
-        return pd.Series([None if p is None else outputs.without_furniture(p, f) for p, f in zip(page, rows, strict=True)])
+    """df with the column text freed of the lines of the struct furniture (header, footer, page_number); null furniture leaves it."""
 
-    return df.withColumn(text, F.when(F.col(furniture).isNotNull(), clean(text, furniture)).otherwise(F.col(text)))
+    @F.pandas_udf("string")
+    def clean(page: pd.Series, *parts: pd.Series) -> pd.Series:
+        known: dict[tuple, outputs.Furniture] = {}  # pages of a document share their furniture
+        out = []
+        for p, given in zip(page, zip(*parts, strict=True), strict=True):
+            if p is not None and any(given):
+                if given not in known:
+                    known[given] = outputs.Furniture(given)
+                p = "".join(line for line in p.splitlines(keepends=True) if line not in known[given])
+            out.append(p)
+        return pd.Series(out, dtype=object)
+
+    fields = [F.col(furniture)[f].cast("string") if f in df.schema[furniture].dataType.names else F.lit(None).cast("string") for f in outputs.FURNITURE]
+    return df.withColumn(text, F.when(F.col(furniture).isNotNull(), clean(F.col(text), *fields)).otherwise(F.col(text)))
 
 
 def entity_scores(df: DataFrame, key: str, prediction: str, truth: str, most: float = 0.3) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import SPACE, SCRIPTS
+from folioscope.sources.shared import stored
 
 #: The points at which quantiles are kept.
 POINTS = [i / 100 for i in range(101)]
@@ -19,14 +20,57 @@ def long_form(df: DataFrame, metrics: list[str], keys: list[str] = ()) -> DataFr
     return kept.unpivot(list(keys), metrics, "metric", "value").where(F.col("value").isNotNull())
 
 
-def summarise(df: DataFrame, metrics: list[str], keys: list[str] = (), quantiles: bool = True) -> DataFrame:
+def running_totals(counts: DataFrame, keys: list[str], value: str, totals: list[str]) -> DataFrame:
+    """counts, a row per keys and value, with before_<c> for each count c: its sum over the smaller values of the same keys.
+
+    Rows are laid out by range and summed in two steps, so that no task holds a whole group: inside each part, and over the sums of the parts.
+    """
+    spark = counts.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = stored(counts.repartitionByRange(parts, *keys, value).withColumn("_part", F.spark_partition_id()), "laid")
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = laid.groupBy(*keys, "_part").agg(*(F.sum(c).alias(c) for c in totals))
+    sums = sums.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_part").alias("_p"), *(F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in totals))
+    within = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    own = laid.withColumns({f"before_{c}": F.coalesce(F.sum(c).over(within), F.lit(0)) for c in totals})
+    same = F.col("_part") == F.col("_p")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return own.join(sums, same).select(*counts.columns, *((F.col(f"before_{c}") + F.col(f"_{c}")).alias(f"before_{c}") for c in totals))
+
+
+def quantiles(values: DataFrame, keys: list[str], value: str, points: list[float] = POINTS) -> DataFrame:
+    """(keys, q): exact linear quantiles at the points, from the counts of the different values; no group is held by one task."""
+    counts = values.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    total = counts.groupBy(*(F.col(k).alias(f"_t{i}") for i, k in enumerate(keys))).agg(F.sum("_n").alias("_total"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_t{i}"))
+    rows = running_totals(counts, keys, value, ["_n"]).join(F.broadcast(total) if not keys else total, same)
+    # The places of a point lie between two ranks; each value answers for the points whose ranks it holds.
+    place = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("_total") - 1)).alias("at")) for i, p in enumerate(points)))).alias("p")
+    rows = rows.select(*keys, value, F.col("before__n").alias("_b"), "_n", place).select("*", "p.*")
+    low, high = F.floor("at"), F.ceil("at")
+    holds = lambda rank: (rank >= F.col("_b")) & (rank < F.col("_b") + F.col("_n"))
+    rows = rows.where(holds(low) | holds(high))
+    found = rows.groupBy(*keys, "i").agg(F.max(F.when(holds(low), F.col(value))).alias("lo"), F.max(F.when(holds(high), F.col(value))).alias("hi"), F.max(F.col("at") - low).alias("part"))
+    q = F.transform(F.sort_array(F.collect_list(F.struct("i", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("part")).alias("v")))), lambda x: x["v"])
+    return found.groupBy(*keys).agg(q.alias("q"))
+
+
+def summarise(df: DataFrame, metrics: list[str], keys: list[str] = (), quantiles_too: bool = True) -> DataFrame:
     """(keys, metric, count, mean, std, median, p05, p95[, quantiles]) with the population's deviation and exact linear quantiles."""
-    points = F.array(*(F.lit(p) for p in POINTS))
-    rows = long_form(df, metrics, keys).groupBy(*keys, "metric").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.percentile("value", points).alias("q")
-    )
-    out = rows.select(*keys, "metric", "count", "mean", "std", F.col("q")[50].alias("median"), F.col("q")[5].alias("p05"), F.col("q")[95].alias("p95"), F.transform("q", lambda v: F.round(v, 6)).alias("quantiles"))
-    return out if quantiles else out.drop("quantiles")
+    own = [*keys, "metric"]
+    rows = stored(long_form(df, metrics, keys), "metrics")
+    base = rows.groupBy(*own).agg(F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    points = POINTS if quantiles_too else [0.05, 0.5, 0.95]
+    spots = [points.index(p) for p in (0.5, 0.05, 0.95)]
+    q = quantiles(rows, own, "value", points).select(*(F.col(k).alias(f"_q{i}") for i, k in enumerate(own)), "q")
+    same = F.lit(True)
+    for i, k in enumerate(own):
+        same &= F.col(k).eqNullSafe(F.col(f"_q{i}"))
+    out = base.join(q, same).select(*own, "count", "mean", "std", *(F.col("q")[s].alias(n) for s, n in zip(spots, ("median", "p05", "p95"), strict=True)), F.transform("q", lambda v: F.round(v, 6)).alias("quantiles"))
+    return out if quantiles_too else out.drop("quantiles")
 
 
 def gap(reference: DataFrame, candidate: DataFrame) -> DataFrame:
@@ -76,36 +120,54 @@ def value_shares(df: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def average_rank(value: Column | str, keys: list[str] = (), descending: bool = False) -> Column:
-    """1-based rank; ties share the mean of their places."""
+    """1-based rank; ties share the mean of their places.  A window over each group: for groups the size of a leaderboard."""
     value = F.col(value) if isinstance(value, str) else value
     order = Window.partitionBy(*keys).orderBy(value.desc() if descending else value.asc())
     return F.rank().over(order) + (F.count("*").over(Window.partitionBy(*keys, value)) - 1) / 2.0
 
 
+def with_average_rank(df: DataFrame, value: str, name: str, keys: list[str] = (), descending: bool = False) -> DataFrame:
+    """df with the average rank of value (null for null), for groups of any size: ranks are taken from the counts of the different values."""
+    keys = list(keys)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    ranks = running_totals(counts.withColumn("_v", -F.col(value)) if descending else counts.withColumn("_v", F.col(value)), keys, "_v", ["_n"])
+    ranks = ranks.select(*(F.col(k).alias(f"_r{i}") for i, k in enumerate(keys)), F.col(value).alias("_x"), (F.col("before__n") + (F.col("_n") + 1) / 2.0).alias(name))
+    same = F.col(value) == F.col("_x")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_r{i}"))
+    return df.join(ranks, same, "left").drop("_x", *(f"_r{i}" for i in range(len(keys))))
+
+
 def auc(df: DataFrame, score: str, positive: str, keys: list[str] = ()) -> DataFrame:
     """(keys, auc): the Mann-Whitney statistic; 0.5 if a class is empty.
 
-    Ranks come from the counts of the different scores, so no group is ordered row by row.
+    Ranks come from the counts of the different scores, laid out by range, so no group is held by one task.
     """
+    keys = list(keys)
     rows = df.where(F.col(score).isNotNull() & F.col(positive).isNotNull())
     own = rows.groupBy(*keys, score).agg(F.count_if(positive).alias("pos"), F.count_if(~F.col(positive)).alias("neg"))
-    below = Window.partitionBy(*keys).orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
-    won = own.withColumn("u", F.col("pos") * (F.coalesce(F.sum("neg").over(below), F.lit(0)) + F.col("neg") / 2.0))
+    won = running_totals(own, keys, score, ["neg"]).withColumn("u", F.col("pos") * (F.col("before_neg") + F.col("neg") / 2.0))
     pairs = (F.sum("pos") * F.sum("neg")).cast("double")
     return won.groupBy(*keys).agg(F.coalesce(F.try_divide(F.sum("u"), pairs), F.lit(0.5)).alias("auc"))
 
 
+#: Most different pairs of scores of which the rank statistics are taken; more raise an error.
+MAX_MODELS = 50_000
+
+
 def rank_statistics(df: DataFrame, x: str, y: str) -> DataFrame:
     """One row (n, pearson, spearman, kendall_tau_b, gamma) over the pairs of two columns; 0 where undefined.
 
     Concordant pairs are counted over the different values with their multiplicities: meant for score tables
-    (models, metrics), whose size is that of a leaderboard.
+    (models, metrics), whose size is that of a leaderboard; more than MAX_MODELS different pairs raise an error.
     """
     rows = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     ranked = rows.select("x", "y", average_rank("x").alias("rx"), average_rank("y").alias("ry"))
     zero = F.lit(0.0)
     basic = ranked.agg(F.count("*").alias("n"), F.coalesce(F.nanvl(F.corr("x", "y"), zero), zero).alias("pearson"), F.coalesce(F.nanvl(F.corr("rx", "ry"), zero), zero).alias("spearman"))
     cells = rows.groupBy("x", "y").agg(F.count("*").alias("m"))
+    if cells.limit(MAX_MODELS + 1).count() > MAX_MODELS:
+        raise ValueError(f"rank statistics expect a score table of at most {MAX_MODELS} rows")
     a, b = cells.alias("a"), cells.alias("b")
     pair = a.join(b, F.col("a.x") < F.col("b.x")).select((F.col("a.m") * F.col("b.m")).alias("w"), F.signum(F.col("b.y") - F.col("a.y")).alias("s"))
     signs = pair.agg(F.coalesce(F.sum(F.when(F.col("s") > 0, F.col("w"))), F.lit(0)).alias("c"), F.coalesce(F.sum(F.when(F.col("s") < 0, F.col("w"))), F.lit(0)).alias("d"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import distance, text
 from folioscope.operators import corpus, evaluation, neighbours, scores, summary
+from folioscope.sources.shared import spread
 from folioscope.sources.tables import table
 from folioscope.streaming import events as windows
 
@@ -54,11 +55,12 @@ _STATS_SQL = (
     "CASE WHEN len(l) > 0 THEN list_sum(list_transform(l, lambda x: length(x)))::DOUBLE / len(l) ELSE 0 END AS mean_line_length, "
     + ", ".join(f"{_COUNTS[s.removesuffix('_share')]}::DOUBLE / greatest(length(text), 1) AS {s}" for s in text.STATS[3:])
 )
-_PER_DOC = f"SELECT doc_id, lang, {_STATS_SQL} FROM (SELECT doc_id, lang, text, {_LINES} AS l FROM documents WHERE text IS NOT NULL)"
+_CODE = "nullif(regexp_extract(lower(trim(lang)), '^[a-z]+'), '')"
+_PER_DOC = f"SELECT doc_id, lang, {_STATS_SQL} FROM (SELECT doc_id, {_CODE} AS lang, text, {_LINES} AS l FROM documents WHERE text IS NOT NULL)"
 
 
 def _per_doc(spark: SparkSession, directory: str) -> DataFrame:
-    docs = table(spark, directory, "documents").where("text is not null")
+    docs = spread(table(spark, directory, "documents").where("text is not null").select("doc_id", text.language_code(F.col("lang")).alias("lang"), "text"))
     return docs.select("doc_id", "lang", *text.text_stats(F.col("text")))
 
 
@@ -71,7 +73,7 @@ def text_stats(spark: SparkSession, directory: str) -> DataFrame:
     round(quantile_cont(value, 0.05), 6) AS p05, round(quantile_cont(value, 0.95), 6) AS p95
     FROM (UNPIVOT (SELECT * EXCLUDE (doc_id) FROM ({_PER_DOC})) ON {', '.join(text.STATS)} INTO NAME metric VALUE value) GROUP BY lang, metric""")
 def text_summary_by_lang(spark: SparkSession, directory: str) -> DataFrame:
-    out = summary.summarise(_per_doc(spark, directory), list(text.STATS), ["lang"], quantiles=False)
+    out = summary.summarise(_per_doc(spark, directory), list(text.STATS), ["lang"], quantiles_too=False)
     return out.select("lang", "metric", "count", *(_r(F.col(c)).alias(c) for c in ("mean", "std", "median", "p05", "p95")))
 
 
@@ -80,7 +82,7 @@ def prose_summary_by_family(spark: SparkSession, directory: str) -> DataFrame:
     """The same over prose, with Markdown taken out, by document family."""
     docs = table(spark, directory, "documents").where("text is not null")
     rows = docs.select("document_family", *text.text_stats(text.strip_markdown(F.col("text"))))
-    out = summary.summarise(rows, list(text.STATS), ["document_family"], quantiles=False)
+    out = summary.summarise(rows, list(text.STATS), ["document_family"], quantiles_too=False)
     return out.select("document_family", "metric", "count", *(_r(F.col(c)).alias(c) for c in ("mean", "std", "median", "p05", "p95")))
 
 
@@ -95,8 +97,8 @@ _Q = ", ".join(str(p) for p in summary.POINTS)
     SELECT metric, round(w1, 6) AS w1, round(w1_norm, 6) AS w1_norm, CASE WHEN up THEN 'higher' ELSE 'lower' END AS candidate_is,
     CASE WHEN w1_norm < 0.1 THEN 'close' WHEN w1_norm < 0.3 THEN 'noticeable' ELSE 'different' END AS verdict FROM n""")
 def language_gap(spark: SparkSession, directory: str) -> DataFrame:
-    rows = _per_doc(spark, directory)
-    sides = [summary.summarise(rows.where(F.col("lang") == code), list(text.STATS)) for code in ("en", "ko")]
+    both = summary.summarise(_per_doc(spark, directory).where(F.col("lang").isin("en", "ko")), list(text.STATS), ["lang"])
+    sides = [both.where(F.col("lang") == code) for code in ("en", "ko")]
     return summary.gap(*sides).select("metric", _r(F.col("w1")).alias("w1"), _r(F.col("w1_norm")).alias("w1_norm"), "candidate_is", "verdict")
 
 
@@ -151,8 +153,9 @@ def sentence_items(spark: SparkSession, directory: str) -> DataFrame:
 @query()
 def wiki_parts(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").where("text is not null")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).withColumn("position", F.col("doc_id") * 100_000 + F.col("n"))
-    return corpus.wiki_parts(lines, "line", "position")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("n", "line")).withColumn("position", F.struct("doc_id", "n"))
+    out = corpus.wiki_parts(lines, "line", "position")
+    return out.select("kind", "item", F.col("first.doc_id").alias("first_doc"), F.col("first.n").alias("first_line"))
 
 
 @query()
@@ -176,7 +179,8 @@ _P, _T = (f"regexp_replace(coalesce({c}, ''), '[^\\x00-\\x7F]', '', 'g')" for c
 @query(f"SELECT result_id, round(CASE WHEN p = t THEN 0 WHEN length(t) = 0 THEN 1 ELSE levenshtein(p, t)::DOUBLE / length(t) END, 6) AS cer FROM (SELECT result_id, {_P} AS p, {_T} AS t FROM report)")
 def ascii_cer(spark: SparkSession, directory: str) -> DataFrame:
     """Character error rate with a normalisation: characters beyond ASCII are left out."""
-    return table(spark, directory, "report").select("result_id", _r(distance.cer(F.col("ground_truth"), F.col("prediction"), _PLAIN)).alias("cer"))
+    out = scores.error_rates(table(spark, directory, "report"), "result_id", normalise=lambda c: _PLAIN(F.coalesce(c, F.lit(""))), rates=("cer",))
+    return out.withColumn("cer", _r(F.col("cer")))
 
 
 @query()
@@ -277,9 +281,11 @@ def matched_models(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("match_key", F.col("synthetic_model").isNotNull().alias("in_report"), F.col("real_model").isNotNull().alias("in_summary"))
 
 
-@query("""SELECT DISTINCT r.run_id FROM report_run r ANTI JOIN report p ON r.run_id = p.run_id""")
-def runs_without_results(spark: SparkSession, directory: str) -> DataFrame:
-    return evaluation.remaining(table(spark, directory, "report_run"), table(spark, directory, "report"), ["run_id"])
+@query(f"SELECT DISTINCT run_id, sample_index FROM report EXCEPT SELECT run_id, sample_index FROM report WHERE {_OK} AND NOT {_BLANK}")
+def samples_to_run_again(spark: SparkSession, directory: str) -> DataFrame:
+    """Samples without a valid result in any delivery: what a resumed run has to do."""
+    report = table(spark, directory, "report")
+    return evaluation.remaining(report, evaluation.valid(report), ["run_id", "sample_index"])
 
 
 @query(f"""WITH a AS (SELECT result_id, prediction FROM report WHERE NOT coalesce(error IN ('', 'None'), false)), e AS (SELECT result_id, error FROM report WHERE NOT {_OK})
@@ -346,19 +352,17 @@ def html_tables(spark: SparkSession, directory: str) -> DataFrame:
 def row_detection(spark: SparkSession, directory: str) -> DataFrame:
     """Precision, recall and F1 of counted rows: all lines of an order against those that weren't returned."""
     rows = table(spark, directory, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("p"), F.count_if(F.col("l_returnflag") != "R").alias("t"))
-    tp = F.least("p", "t").cast("double")
-    precision, recall = F.coalesce(F.try_divide(tp, F.col("p")), F.lit(0.0)), F.coalesce(F.try_divide(tp, F.col("t")), F.lit(0.0))
-    return rows.select("l_orderkey", _r(precision).alias("precision"), _r(recall).alias("recall"), _r(distance.f1(precision, recall)).alias("f1"))
+    return rows.select("l_orderkey", *(_r(c).alias(n) for n, c in distance.detected(F.col("p"), F.col("t")).items()))
 
 
 @query("""WITH g AS (SELECT * FROM lineitem), a AS (SELECT *, l_quantity - lag(l_quantity) OVER w AS d, datediff('day', lag(l_shipdate) OVER w, l_shipdate) AS e FROM g WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice, l_shipdate))
     SELECT l_orderkey, round(count(*) FILTER (d * e > 0) / nullif(count(*) FILTER (d IS NOT NULL), 0)::DOUBLE, 6) AS order_accuracy FROM a GROUP BY l_orderkey HAVING count(*) > 1""")
 def order_accuracy(spark: SparkSession, directory: str) -> DataFrame:
     """Share of consecutive steps in which two orders move the same way: quantity and ship date of an order's lines."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
-    steps = table(spark, directory, "lineitem").select("l_orderkey", (F.col("l_quantity") - F.lag("l_quantity").over(w)).alias("d"), F.datediff("l_shipdate", F.lag("l_shipdate").over(w)).alias("e"))
-    out = steps.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.count_if(F.col("d") * F.col("e") > 0).alias("same"), F.count("d").alias("steps")).where("n > 1")
-    return out.select("l_orderkey", _r(F.try_divide(F.col("same").cast("double"), F.col("steps"))).alias("order_accuracy"))
+    line = F.struct("l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate", "l_quantity")
+    lines = table(spark, directory, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("l"))
+    same = distance.same_direction(F.transform("l", lambda x: x["l_quantity"]), F.transform("l", lambda x: F.unix_date(x["l_shipdate"].cast("date"))))
+    return lines.select("l_orderkey", _r(same).alias("order_accuracy")).where("order_accuracy is not null")
 
 
 @query("""WITH e AS (SELECT run_id, report_path, unnest(map_keys(metrics)) AS field, unnest(map_values(metrics)) AS v, row_number() OVER (PARTITION BY dataset_id, model_id ORDER BY run_at, run_id) AS n, dataset_id, model_id FROM report_run),
@@ -421,8 +425,8 @@ def length_auc(spark: SparkSession, directory: str) -> DataFrame:
 
 @query("""SELECT run_id, rank() OVER (ORDER BY avg_latency_ms DESC) + (count(*) OVER (PARTITION BY avg_latency_ms) - 1) / 2.0::DOUBLE AS latency_rank FROM report_run WHERE avg_latency_ms IS NOT NULL""")
 def latency_ranks(spark: SparkSession, directory: str) -> DataFrame:
-    rows = table(spark, directory, "report_run").where("avg_latency_ms is not null")
-    return rows.select("run_id", summary.average_rank("avg_latency_ms", descending=True).alias("latency_rank"))
+    rows = table(spark, directory, "report_run").where("avg_latency_ms is not null").select("run_id", "avg_latency_ms")
+    return summary.with_average_rank(rows, "avg_latency_ms", "latency_rank", descending=True).select("run_id", "latency_rank")
 
 
 @query()
@@ -438,12 +442,13 @@ def synthetic_discriminator(spark: SparkSession, directory: str) -> DataFrame:
 
 @query("SELECT DISTINCT model_id FROM report INTERSECT SELECT DISTINCT model_id FROM report_run")
 def models_in_both(spark: SparkSession, directory: str) -> DataFrame:
-    return table(spark, directory, "report").select("model_id").intersect(table(spark, directory, "report_run").select("model_id"))
+    return corpus.common(table(spark, directory, "report"), table(spark, directory, "report_run"), ["model_id"])
 
 
-@query("SELECT s_nationkey AS nationkey FROM supplier EXCEPT ALL SELECT c_nationkey FROM customer")
-def suppliers_beyond_customers(spark: SparkSession, directory: str) -> DataFrame:
-    return table(spark, directory, "supplier").select(F.col("s_nationkey").alias("nationkey")).exceptAll(table(spark, directory, "customer").select("c_nationkey"))
+@query("SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'")
+def customers_with_closed_orders_alone(spark: SparkSession, directory: str) -> DataFrame:
+    orders = table(spark, directory, "orders").withColumnRenamed("o_custkey", "custkey")
+    return corpus.without(orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus = 'O'"), ["custkey"])
 
 
 @query("""SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'right' ELSE 'left' END AS side FROM (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderstatus = 'F') a

@@ -30,6 +30,22 @@ def _drop(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Inputs above this size have splits enough of their own.
+SMALL_BYTES = 64 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df as it is, but for a small input in fewer files than the cluster has cores: its rows are dealt out to all cores.
+
+    For stages of which a row costs far more than its transport.  Inputs of a cluster's size stay as they are split.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > SMALL_BYTES or df.isStreaming:
+        return df
+    return df if len(df.inputFiles()) * 2 > cores else df.repartition(cores)
+
+
 def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """df, written once as Parquet to the shared folder and read back: it cuts the lineage and survives lost executors.
 
