@@ -24,6 +24,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from folioscope.sources.shared import spread
+
 #: Directory of the public tokenizer files; every entry point takes it as a parameter.
 TOKENIZER_DIR = "/opt/tokenizers"
 BYTE_BPE = "byte_bpe_50k.tiktoken"
@@ -182,7 +184,7 @@ def encode_corpus(df: DataFrame, key: str = "doc_id", text: str = "text", tokeni
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["key", "ids"])
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"key {kind}, ids array<int>")
+    out = spread(df.select(df[key].alias("key"), df[text].alias("text"))).mapInArrow(run, f"key {kind}, ids array<int>")
     return out.withColumnRenamed("key", key)
 
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.sources.shared import stored
+from folioscope.sources.shared import spread, stored
 
 #: Bounds of the vocabulary that is broadcast: most frequent tokens, and the longest one kept.
 VOCABULARY = 20_000
@@ -213,7 +213,7 @@ def canonical(df: DataFrame, key: str, texts: list[str], trusted: str | None = N
 
     kind = df.schema[key].dataType.simpleString()
     out = df.select(df[key].alias("key"), *(df[t].alias(n) for t, n in zip(texts, names, strict=True)))
-    out = out.mapInArrow(run, f"key {kind}, " + ", ".join(f"{n} string" for n in names))
+    out = spread(out).mapInArrow(run, f"key {kind}, " + ", ".join(f"{n} string" for n in names))
     return out.toDF(key, *texts)
 
 
@@ -237,5 +237,5 @@ def same_look(df: DataFrame, key: str, left: str, right: str, size: int = VOCABU
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["key"]).filter(pa.array(same, pa.bool_()))
 
     kind = df.schema[key].dataType.simpleString()
-    out = differ.select(differ[key].alias("key"), differ[left].alias("a"), differ[right].alias("b")).mapInArrow(run, f"key {kind}")
+    out = spread(differ.select(differ[key].alias("key"), differ[left].alias("a"), differ[right].alias("b"))).mapInArrow(run, f"key {kind}")
     return out.withColumnRenamed("key", key)

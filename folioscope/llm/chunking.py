@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.bpe import TOKENIZER_DIR, Encoder, vocabulary, worker_encoder
+from folioscope.sources.shared import spread
 
 MAX_TOKENS = 2000
 OVERLAP = 100
@@ -172,7 +173,7 @@ def chunk_corpus(
 
     kind = df.schema[key].dataType.simpleString()
     schema = f"key {kind}, " + ", ".join(f"{c} int" for c in names[1:7]) + ", piece_text string" * with_text
-    return df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    return spread(df.select(df[key].alias("key"), df[text].alias("text"))).mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def oversized(df: DataFrame, key: str = "doc_id", text: str = "text", max_tokens: int = MAX_TOKENS, **kw) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.sources.shared import stored
+from folioscope.sources.shared import spread, stored
 
 MIN_WORDS = 12
 MIN_CHARS = 40
@@ -153,7 +153,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
                 start = end
 
     rows = docs.where(F.length(docs[text]) > 0).select(_uid(docs[key], docs[text]).alias("uid"), docs[text].alias("text"))
-    return stored(rows.mapInArrow(run, "unit string, term int, uid long, pos int"), "postings")
+    return stored(spread(rows).mapInArrow(run, "unit string, term int, uid long, pos int"), "postings")
 
 
 def _windows(items: DataFrame, min_words: int, min_chars: int) -> DataFrame:

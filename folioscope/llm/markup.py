@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.truncation import fold
+from folioscope.sources.shared import spread
 
 KINDS = ("html", "latex", "markdown", "wiki")
 #: Lines in the sliding window, and the characters of text in it that make a surge; with more than 1, short lines that stand alone are lost.
@@ -272,7 +273,7 @@ def markup(df: DataFrame, key: str, texts: list[str]) -> DataFrame:
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(df[key].alias("key"), *(df[t].alias(f"t{i}") for i, t in enumerate(texts)))
-    return rows.mapInArrow(run, f"key {kind}, field_name string, clean_text string, kinds array<string>").withColumnRenamed("key", key)
+    return spread(rows).mapInArrow(run, f"key {kind}, field_name string, clean_text string, kinds array<string>").withColumnRenamed("key", key)
 
 
 def found_kinds(df: DataFrame, key: str, texts: list[str]) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from folioscope.llm import truncation
 from folioscope.llm.repetition import signs
 from folioscope.llm.truncation import ALIKE, ending, fold, quoted
-from folioscope.sources.shared import stored
+from folioscope.sources.shared import spread, stored
 
 DEFECTS = ("empty", "error_text", "refusal", "copied_prompt", "wrong_language", "truncated")
 
@@ -212,7 +212,7 @@ def defects(
         df[key].alias("key"), df[source].alias("source"), F.char_length(df[text]).alias("chars"), F.octet_length(df[text]).alias("bytes"),
         F.xxhash64(df[page]).alias("page_key"), F.xxhash64(F.rtrim(df[text])).alias("text_key"), df[text].alias("text"), df[page].alias("page"), df[prompt].alias("prompt"),
     )
-    judged = stored(rows.mapInArrow(run, f"key {kind}, source string, chars int, bytes int, page_key long, text_key long, stops string, rule string"), "judged")
+    judged = stored(spread(rows).mapInArrow(run, f"key {kind}, source string, chars int, bytes int, page_key long, text_key long, stops string, rule string"), "judged")
     open_pages = judged.where("rule is null and stops = 'unaligned'").select("page_key").distinct()
     if open_pages.count() <= BROADCAST_PAGES:
         open_pages = F.broadcast(open_pages)

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.sources.shared import spread
+
 GRAM = 8
 BUCKETS = 1 << 16
 LEVELS = 2
@@ -227,7 +229,7 @@ def feature_counts(df: DataFrame, raw: str, trusted: str) -> DataFrame:
         seen = np.flatnonzero(totals[0] | totals[1])
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), *(pa.array(t[seen]) for t in totals)], ["feature", "raw", "trusted"])
 
-    counted = df.select(df[raw].alias("raw"), df[trusted].alias("trusted")).mapInArrow(run, "feature int, raw long, trusted long")
+    counted = spread(df.select(df[raw].alias("raw"), df[trusted].alias("trusted"))).mapInArrow(run, "feature int, raw long, trusted long")
     return counted.groupBy("feature").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted"))
 
 
@@ -301,7 +303,7 @@ def repetition(df: DataFrame, key: str = "result_id", text: str = "prediction",
             )
 
     kind = df.schema[key].dataType.simpleString()
-    out = df.select(df[key].alias("key"), df[text].alias("text")).mapInArrow(run, f"key {kind}, score double, verdict string, share double, repetitive boolean")
+    out = spread(df.select(df[key].alias("key"), df[text].alias("text"))).mapInArrow(run, f"key {kind}, score double, verdict string, share double, repetitive boolean")
     return out.withColumnRenamed("key", key)
 
 

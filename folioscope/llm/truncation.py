@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.canonical import Normaliser
+from folioscope.sources.shared import spread
 
 #: A length is a candidate limit if it is that frequent, and that many times as frequent as the lengths around it.
 LEAST_AT_LIMIT = 5
@@ -240,7 +241,7 @@ def endings(df: DataFrame, key: str, source: str, text: str, page: str | None) -
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(df[key].alias("key"), df[source].alias("source"), F.char_length(df[text]).alias("chars"), F.octet_length(df[text]).alias("bytes"), df[text].alias("text"), (df[page] if page else F.lit(None).cast("string")).alias("page"))
-    return rows.mapInArrow(run, f"key {kind}, source string, chars int, bytes int, stops string")
+    return spread(rows).mapInArrow(run, f"key {kind}, source string, chars int, bytes int, stops string")
 
 
 def with_limits(rows: DataFrame, at: DataFrame) -> DataFrame:
