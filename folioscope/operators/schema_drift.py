@@ -1,13 +1,15 @@
 """JSON records whose layout drifts from file to file (problem 4).
 
 Every file is read as rows of (path, raw JSON type, value), JVM-side, through
-variants.  Types are counted by file and path; fields of consecutive files of a
-stream are compared; and all entries are projected onto one typed table, with the
-casts that failed listed.
+variants, to whatever depth its values nest.  Types and shapes of values are counted by
+file and path, and each file becomes one row: a map of its fields.  The maps of consecutive
+files of a stream are compared; and all entries are projected onto one typed table,
+with the casts that failed listed.
 
 A rename is a pair of a field that ends and one that begins between the same two
 files with the same information: their names are the same words, or the values of
-the two keys, over the whole table, have the same distribution of shapes.
+the two keys, over the whole table, have the same distribution of shapes.  Of competing
+pairs the better one is taken first, until no pair of free fields is left.
 
 Defined results: files delivered again under another id count once (the least id);
 payloads that are no JSON, null or empty have no fields and are listed as broken;
@@ -19,7 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.sources.shared import stored
@@ -27,8 +29,6 @@ from folioscope.sources.shared import stored
 #: Least similarity of two keys' values for a rename, and how much equal words of the names add to it.
 SAME_VALUES = 0.6
 NAME_WEIGHT = 0.5
-#: Rounds of matching renames in one plan; what they leave is stored after each further round.
-PLAIN_ROUNDS = 2
 #: Most distinct field names for which the names' links are resolved on the driver.
 MAX_FIELDS = 10_000
 
@@ -73,11 +73,30 @@ def _stored_fields(df: DataFrame, stream: str, number: str, payload: str, file_i
     return stored(fields.select("stream", "no", "entry", "field", "kind", text.alias("text")), "fields")
 
 
+def _nesting(text: Column) -> Column:
+    """How many containers lie within each other in a JSON text; strings don't count."""
+    brackets = F.regexp_replace(F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', ""), r"[^\[\]{}]", "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(a: Column, c: Column) -> Column:
+        now = a["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(a["most"], now).alias("most"))
+
+    return F.aggregate(F.split(brackets, ""), start, step)["most"]
+
+
+def _deepest(df: DataFrame, text: Column) -> int:
+    return df.agg(F.max(_nesting(text))).first()[0] or 0
+
+
 def path_values(
-    df: DataFrame, stream: str = "stream_name", number: str = "file_no", payload: str = "payload", file_id: str = "file_id", depth: int = 3
+    df: DataFrame, stream: str = "stream_name", number: str = "file_no", payload: str = "payload", file_id: str = "file_id", depth: int | None = None
 ) -> DataFrame:
-    """(stream, no, entry, path, kind, text): members of objects join the path with '.', those of arrays with '[]'."""
-    level = _fields(_files(df, stream, number, payload, file_id)).withColumnRenamed("field", "path")
+    """(stream, no, entry, path, kind, text): members of objects join the path with '.', those of arrays with '[]'; depth bounds the levels, by default to all there are."""
+    fields = _fields(_files(df, stream, number, payload, file_id))
+    if depth is None:
+        depth = 1 + _deepest(fields.where("kind in ('array', 'object')"), F.to_json("value"))
+    level = fields.withColumnRenamed("field", "path")
     out = level.select("stream", "no", "entry", "path", "kind", F.col("value").cast("string").alias("text"))
     for _ in range(depth - 1):
         below = _explode(level.where("kind in ('array', 'object')").withColumnRenamed("value", "up"), "up")
@@ -100,7 +119,7 @@ def _shape(text: Column) -> Column:
     scale = scale.when(F.abs(number) > 1, F.concat(F.lit("10^"), F.floor(F.log10(F.abs(number))).cast("string"), F.when(whole, "i").otherwise("f")))
     scale = scale.otherwise(F.concat(F.lit("<"), F.ceil(number * 4).cast("string")))
     mask = F.regexp_replace(F.regexp_replace(text, r"\d+", "9"), r"\p{L}+", "a")
-    word = F.when(text.rlike(r"\S\s+\S+\s"), "text").when(text.rlike(r"\d") | (F.length(text) > 40), F.concat(F.lit("~"), F.substring(mask, 1, 60))).otherwise(text)
+    word = F.when(text.rlike(r"\S\s+\S+\s"), "text").when(text.rlike(r"\d") | (F.length(text) > 40), F.concat(F.lit("~"), F.when(F.length(mask) <= 60, mask).otherwise(F.md5(mask)))).otherwise(text)
     return F.when(number.isNotNull(), scale).otherwise(word)
 
 
@@ -111,26 +130,16 @@ def _words(name: Column) -> Column:
 
 
 def _leaves(fields: DataFrame) -> DataFrame:
-    """(stream, no, field, text) of the values; members of arrays and objects count as values of the field."""
-    plain = fields.where("kind not in ('array', 'object', 'null')").select("stream", "no", "field", "text")
-    inner = fields.where("kind in ('array', 'object')").select("stream", "no", "field", F.try_parse_json("text").alias("up"))
-    inner = _explode(inner, "up").where(~json_type(F.col("value")).isin("array", "object", "null"))
-    return plain.union(inner.select("stream", "no", "field", F.col("value").cast("string").alias("text")))
-
-
-def _shares(leaves: DataFrame, *keys: str) -> DataFrame:
-    counts = leaves.groupBy(*keys, "shape").agg(F.count("*").alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*keys))).drop("n")
-
-
-def _overlap(pairs: DataFrame, shares: DataFrame, keys: list[str], before: int, name: str, common: Column) -> DataFrame:
-    """pairs' keys with what ``gone`` (shares a) and ``new`` (shares b) have in common; before: how many files earlier ``gone`` is read."""
-    old = shares.withColumnsRenamed({"field": "gone", "share": "a"})
-    if "no" in keys:
-        old = old.withColumn("no", F.col("no") + before)
-    both = pairs.select(*keys, "gone", "new").distinct()
-    alike = both.join(old, [*keys, "gone"]).join(shares.withColumnsRenamed({"field": "new", "share": "b"}), [*keys, "new", "shape"])
-    return alike.groupBy(*keys, "gone", "new").agg(common.alias(name))
+    """(stream, no, field, text) of the values inside arrays and objects, at any depth."""
+    inner = fields.where("kind in ('array', 'object')")
+    depth = _deepest(inner, F.col("text"))
+    level, out = inner.select("stream", "no", "field", F.try_parse_json("text").alias("up")), None
+    for _ in range(depth):
+        below = _explode(level, "up").select("stream", "no", "field", "value").withColumn("kind", json_type(F.col("value")))
+        ends = below.where(~F.col("kind").isin("array", "object", "null")).select("stream", "no", "field", F.col("value").cast("string").alias("text"))
+        out = ends if out is None else out.union(ends)
+        level = below.where(F.col("kind").isin("array", "object")).select("stream", "no", "field", F.col("value").alias("up"))
+    return inner.limit(0).select("stream", "no", "field", "text") if out is None else out
 
 
 def schema_changes(
@@ -140,62 +149,84 @@ def schema_changes(
     return _changes(df, _stored_fields(df, stream, number, payload, file_id), stream, number)
 
 
+def _statistics(df: DataFrame, fields: DataFrame, stream: str, number: str) -> DataFrame:
+    """(stream, no, field, kind, shape, word, n), counted by file; each file has a row without a field too, so that files without fields are seen."""
+    scalar = ~F.col("kind").isin("array", "object", "null")
+    own = fields.select("stream", "no", "field", F.when(F.col("kind") != "null", F.col("kind")).alias("kind"), F.when(scalar, F.col("text")).alias("text"))
+    inner = _leaves(fields).select("stream", "no", "field", F.lit(None).cast("string").alias("kind"), "text")
+    files = df.select(df[stream].alias("stream"), df[number].cast("int").alias("no"), *(F.lit(None).cast("string").alias(c) for c in ("field", "kind", "text")))
+    rows = own.union(inner).union(files).where(F.col("stream").isNotNull() & F.col("no").isNotNull()).withColumn("shape", _shape(F.col("text")))
+    # Numbers and masks agree too easily inside two files; words don't.
+    word = F.col("text").try_cast("double").isNull() & (F.col("shape") == F.col("text"))
+    return rows.withColumn("word", F.coalesce(word, F.lit(False))).groupBy("stream", "no", "field", "kind", "shape", "word").agg(F.count("*").alias("n"))
+
+
+def _pairs_of_files(statistics: DataFrame) -> DataFrame:
+    """(stream, no, old, new): the fields of consecutive files as maps, field -> (types, words -> count)."""
+    words = F.map_from_entries(F.collect_list(F.when(F.col("word"), F.struct("shape", "n"))))
+    by_shape = statistics.repartition("stream", "no").groupBy("stream", "no", "field", "shape", "word").agg(F.collect_set("kind").alias("kinds"), F.sum("n").alias("n"))
+    by_field = by_shape.groupBy("stream", "no", "field").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("kinds")))).alias("types"), words.alias("words"))
+    files = by_field.groupBy("stream", "no").agg(F.map_from_entries(F.collect_list(F.when(F.col("field").isNotNull(), F.struct("field", F.struct("types", "words"))))).alias("fields"))
+    none = F.lit(None).cast(files.schema["fields"].dataType)
+    roles = F.array(F.struct("no", F.col("fields").alias("new"), none.alias("old")), F.struct((F.col("no") + 1).alias("no"), none.alias("new"), F.col("fields").alias("old")))
+    both = files.select("stream", F.inline(roles)).groupBy("stream", "no").agg(F.first("new", True).alias("new"), F.first("old", True).alias("old"))
+    return both.where(F.col("new").isNotNull() & F.col("old").isNotNull())
+
+
+def _over_all(pairs: DataFrame, statistics: DataFrame) -> DataFrame:
+    """(gone, new_name, over_all): what the values of two keys have in common over the whole table."""
+    rows = statistics.where(F.col("field").isNotNull() & F.col("shape").isNotNull())
+    own = pairs.select(F.explode(F.array("gone", "new_name")).alias("field")).distinct()
+    counts = rows.join(own, "field", "left_semi").groupBy("field", "shape").agg(F.sum("n").alias("n"))
+    totals = counts.groupBy("field").agg(F.sum("n").alias("total"))
+    shares = counts.join(totals, "field").select("field", "shape", (F.col("n") / F.col("total")).alias("share"))
+    alike = pairs.join(shares.withColumnsRenamed({"field": "gone", "share": "a"}), "gone").join(shares.withColumnsRenamed({"field": "new_name", "share": "b"}), ["new_name", "shape"])
+    return alike.groupBy("gone", "new_name").agg(F.sum(F.least("a", "b")).alias("over_all"))
+
+
 def _changes(df: DataFrame, fields: DataFrame, stream: str, number: str) -> DataFrame:
-    typed = fields.groupBy("stream", "no", "field").agg(F.sort_array(F.collect_set(F.when(F.col("kind") != "null", F.col("kind")))).alias("types"))
-    around = Window.partitionBy("stream", "field").orderBy("no")
-    seen = typed.select(
-        "*",
-        (F.lag("no").over(around) == F.col("no") - 1).alias("before"),
-        F.lag("types").over(around).alias("old"),
-        (F.lead("no").over(around) == F.col("no") + 1).alias("after"),
-    )
-    order = Window.partitionBy("stream").orderBy("no")
-    files = df.select(df[stream].alias("stream"), df[number].cast("int").alias("no")).distinct()
-    neighbours = files.select("stream", "no", (F.lag("no").over(order) == F.col("no") - 1).alias("has_before"), (F.lead("no").over(order) == F.col("no") + 1).alias("has_after"))
-    seen = stored(seen.join(neighbours, ["stream", "no"]), "seen")
-    here = F.coalesce("before", F.lit(False))
-    added = seen.where(F.col("has_before") & ~here).select("stream", "no", F.col("field").alias("new"), F.col("types").alias("new_types"))
-    removed = seen.where(F.col("has_after") & ~F.coalesce("after", F.lit(False))).select("stream", (F.col("no") + 1).alias("no"), F.col("field").alias("gone"), F.col("types").alias("old_types"))
-    retyped = seen.where(here & (F.size("old") > 0) & (F.size("types") > 0) & (F.col("old") != F.col("types")))
-
-    pairs = removed.join(added, ["stream", "no"])
-    leaves = _leaves(fields).withColumn("shape", _shape(F.col("text")))
-    wide = _overlap(pairs, _shares(leaves, "field"), [], 0, "over_all", F.sum(F.least("a", "b")))
-    # One key's words that stand under the other in the two files themselves speak for a pair too; numbers and masks agree too easily there.
-    words = leaves.where(F.col("text").try_cast("double").isNull() & (F.col("shape") == F.col("text")))
-    near = _overlap(pairs, _shares(words, "stream", "no", "field"), ["stream", "no"], 1, "in_files", F.greatest(F.sum("a"), F.sum("b")))
-    one, two = _words(F.col("gone")), _words(F.col("new"))
-    plain = [F.lower(F.regexp_replace(F.col(c), r"[^\p{L}\d]+", "")) for c in ("gone", "new")]
+    statistics = stored(_statistics(df, fields, stream, number), "statistics")
+    keys = [F.map_keys(c) for c in ("old", "new")]
+    files = _pairs_of_files(statistics).select(
+        "*", F.array_except(*keys).alias("ended"), F.array_except(keys[1], keys[0]).alias("begun"),
+        F.filter(F.array_intersect(*keys), lambda f: (F.size(F.col("old")[f]["types"]) > 0) & (F.size(F.col("new")[f]["types"]) > 0) & (F.col("old")[f]["types"] != F.col("new")[f]["types"])).alias("retyped"),
+    )
+    files = stored(files.where("size(ended) + size(begun) + size(retyped) > 0"), "files")
+
+    pairs = files.where("size(ended) > 0 and size(begun) > 0").select("*", F.explode("ended").alias("gone")).select("*", F.explode("begun").alias("new_name"))
+    one, two = _words(F.col("gone")), _words(F.col("new_name"))
+    plain = [F.lower(F.regexp_replace(F.col(c), r"[^\p{L}\d]+", "")) for c in ("gone", "new_name")]
     same = F.when(plain[0] == plain[1], 1.0).otherwise(F.size(F.array_intersect(one, two)) / F.size(F.array_union(one, two)))
-    scored = pairs.join(wide, ["gone", "new"], "left").join(near, ["stream", "no", "gone", "new"], "left")
-    scored = scored.withColumn("v", F.greatest(F.coalesce("over_all", F.lit(0.0)), F.coalesce("in_files", F.lit(0.0)))).withColumn("w", same)
+
+    def part(of: Column, other: Column) -> Column:
+        """Share of one key's words that stand under the other key too."""
+        total = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("bigint"), lambda s, n: s + n)
+        return F.coalesce(F.try_divide(total(F.map_filter(of, lambda w, n: F.map_contains_key(other, w))).cast("double"), total(of)), F.lit(0.0))
+
+    x, y = F.col("old")[F.col("gone")]["words"], F.col("new")[F.col("new_name")]["words"]
+    pairs = stored(pairs.select("stream", "no", "gone", "new_name", same.alias("w"), F.greatest(part(x, y), part(y, x)).alias("in_files")), "pairs")
+    scored = pairs.join(_over_all(pairs.select("gone", "new_name").distinct(), statistics), ["gone", "new_name"], "left").withColumn("v", F.greatest(F.coalesce("over_all", F.lit(0.0)), "in_files"))
     scored = scored.where((F.col("w") == 1) | (F.col("v") >= SAME_VALUES)).withColumn("score", F.col("v") + NAME_WEIGHT * F.col("w"))
-    scored = stored(scored.select("stream", "no", "gone", "new", "old_types", "new_types", "score"), "renames")
-    # Each field takes part in one rename: pairs that are best for both sides, then the best of what they leave, until nothing is left.
-    taken, rest = [], scored
-    while True:
-        best = [F.row_number().over(Window.partitionBy("stream", "no", side).orderBy(F.desc("score"), "gone", "new")) for side in ("gone", "new")]
-        take = rest.select("*", best[0].alias("r1"), best[1].alias("r2")).where("r1 = 1 and r2 = 1").drop("r1", "r2")
-        if len(taken) >= PLAIN_ROUNDS:  # seldom: what is left has a best pair, so a round always takes one of each file
-            take = stored(take, "taken")
-        taken.append(take)
-        for side in ("gone", "new"):
-            rest = rest.join(take.select("stream", "no", side), ["stream", "no", side], "left_anti")
-        rest = rest.select(scored.columns)
-        if len(taken) >= PLAIN_ROUNDS:
-            rest = stored(rest, "rest")
-            if rest.isEmpty():
-                break
-    chosen = stored(reduce(DataFrame.union, taken).select("stream", "no", "gone", "new", "old_types", "new_types"), "chosen")
-    none = F.lit(None).cast("string")
-    empty = F.array().cast("array<string>")
-    out = chosen.select("stream", "no", F.col("gone").alias("field_name"), F.lit("renamed").alias("change_kind"), F.col("new").alias("new_name"), "old_types", "new_types")
-    left = removed.join(chosen.select("stream", "no", "gone"), ["stream", "no", "gone"], "left_anti")
-    out = out.union(left.select("stream", "no", "gone", F.lit("removed"), none, "old_types", empty))
-    left = added.join(chosen.select("stream", "no", "new"), ["stream", "no", "new"], "left_anti")
-    out = out.union(left.select("stream", "no", "new", F.lit("added"), none, empty, "new_types"))
-    out = out.union(retyped.select("stream", "no", "field", F.lit("retyped"), none, "old", "types"))
-    return out.withColumnsRenamed({"stream": stream, "no": number})
+    # The best pair first, then the best of the fields that are still free, until none is left.
+    best = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "gone", "new_name")))
+    free = lambda taken, p: ~F.exists(taken, lambda t: (t["gone"] == p["gone"]) | (t["new_name"] == p["new_name"]))
+    start = F.array().cast("array<struct<gone:string,new_name:string>>")
+    chosen = F.aggregate(best, start, lambda taken, p: F.when(free(taken, p), F.concat(taken, F.array(F.struct(p["gone"].alias("gone"), p["new_name"].alias("new_name"))))).otherwise(taken))
+    files = files.join(scored.groupBy("stream", "no").agg(chosen.alias("pairs")), ["stream", "no"], "left").withColumn("pairs", F.coalesce("pairs", start))
+
+    none, empty = F.lit(None).cast("string"), F.array().cast("array<string>")
+    types = lambda side, f: F.col(side)[f]["types"]
+
+    def change(name: Column, kind: str, new: Column = none, old_types: Column = empty, new_types: Column = empty) -> Column:
+        return F.struct(name.alias("field_name"), F.lit(kind).alias("change_kind"), new.alias("new_name"), old_types.alias("old_types"), new_types.alias("new_types"))
+
+    out = F.concat(
+        F.transform("pairs", lambda p: change(p["gone"], "renamed", p["new_name"], types("old", p["gone"]), types("new", p["new_name"]))),
+        F.transform(F.array_except("ended", F.transform("pairs", lambda p: p["gone"])), lambda f: change(f, "removed", old_types=types("old", f))),
+        F.transform(F.array_except("begun", F.transform("pairs", lambda p: p["new_name"])), lambda f: change(f, "added", new_types=types("new", f))),
+        F.transform("retyped", lambda f: change(f, "retyped", old_types=types("old", f), new_types=types("new", f))),
+    )
+    return files.select(F.col("stream").alias(stream), F.col("no").alias(number), F.inline(out))
 
 
 #: Column of the consistent table -> its type; other fields are kept as text in the map ``extra``.

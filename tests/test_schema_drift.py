@@ -53,6 +53,18 @@ def test_entries_and_broken_files(files):
     assert ("language.code", "string") in paths and ("score", "boolean") in paths
 
 
+def test_values_of_any_depth(spark):
+    deep = {"a": {"b": [{"c": {"d": [{"e": {"f": 7}}]}}]}, "s": "[{not nested}]"}
+    rows = [(1, "s", 1, json.dumps(deep), "", ""), (2, "s", 2, json.dumps({"z": deep["a"], "s": "x"}), "", "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    paths = {(r.path, r.kind) for r in schema_drift.type_statistics(df).where("no = 1").collect()}
+    assert ("a.b[].c.d[].e.f", "number") in paths and ("a.b[].c.d[].e", "object") in paths and ("s", "string") in paths
+    assert {r.path for r in schema_drift.path_values(df, depth=2).where("no = 1").collect()} == {"a", "a.b", "s"}
+    # The deep values are what tells that z is the former a.
+    got = {(r.field_name, r.change_kind, r.new_name) for r in schema_drift.schema_changes(df).collect()}
+    assert got == {("a", "renamed", "z")}
+
+
 def test_empty_table(files):
     none = files.limit(0)
     assert schema_drift.schema_changes(none).count() == schema_drift.consistent_entries(none).count() == schema_drift.broken_files(none).count() == 0
