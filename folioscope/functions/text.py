@@ -252,3 +252,92 @@ def wiki_prose(text: Column, lang: str) -> Column:
     for pattern, rest in ((r"\[\[(?:[^\]|]*\|)?([^\]]*)\]\]", "$1"), (r"https?://\S+", " "), (r"'{2,}|=+", " "), (rf"[^{WIKI_LETTERS.get(lang, r'\p{L}\p{N}')}\s.,!?。！？()-]", " ")):
         text = F.regexp_replace(text, F.lit(pattern), F.lit(rest))
     return squash(text)
+
+
+#: Patterns by which a chunk of a page is told, all of its lines or its first one.
+_CHECK, _NUMBER, _IMAGE = r"^-\s+\[[ xX]\]\s+\S", r"^\d+\.\s+\S", r"^!\[([^\]]*)\]\(([^)]+)\)$"
+
+
+def chunk_kind(chunk: Column) -> Column:
+    """What a chunk between blank lines is: code, formula, table, image, rule, checklist, bullet_list, numbered_list, quote or paragraph; null for a mixture and for nothing."""
+    lines = F.filter(F.transform(F.split(chunk, "\n"), strip), lambda x: x != "")
+    every = lambda test: F.forall(lines, test)
+    size, whole = F.size(lines), F.array_join(lines, "\n")
+    fences = F.size(F.filter(lines, lambda x: x.startswith("```")))
+    first, last = F.try_element_at(lines, F.lit(1)), F.try_element_at(lines, F.lit(-1))
+    dashes = F.exists(lines, lambda x: x.rlike(r"^\|?\s*:?-{3,}:?\s*(\|\s*:?-{3,}:?\s*)+\|?$"))
+    piped = (size >= 2) & every(lambda x: x.contains("|")) & dashes
+    opens = lambda x: x.rlike(r"^(#|```|\||\$\$|!\[|> |[-*+] )") | x.rlike(_NUMBER) | x.isin("---", "***")
+    return (
+        F.when(size == 0, F.lit(None)).when(fences > 0, F.when((fences == 2) & first.startswith("```") & last.startswith("```") & (size > 1), "code"))
+        .when(whole.startswith("$$") & whole.endswith("$$"), "formula").when(piped | F.lower(whole).rlike(r"(?s)^<table\b.*</table>$"), "table")
+        .when((size == 1) & whole.rlike(_IMAGE), "image").when((size == 1) & whole.isin("---", "***"), "rule").when(every(lambda x: x.rlike(_CHECK)), "checklist")
+        .when(every(lambda x: x.startswith("- ")), "bullet_list").when(every(lambda x: x.rlike(_NUMBER)), "numbered_list").when(every(lambda x: x.startswith("> ")), "quote")
+        .when(~F.exists(lines, opens), "paragraph")
+    )
+
+
+def chunks(text: Column) -> Column:
+    """Parts of a page between blank lines, the empty ones left out."""
+    return F.filter(F.split(text, r"\n[ \t]*\n+"), lambda c: c.rlike(f"[^{SPACE}]"))
+
+
+def image_line(line: Column) -> Column:
+    """(alt, path) of a line that is an image; null for other lines."""
+    own = strip(line)
+    return F.when(own.rlike(_IMAGE), F.struct(F.regexp_extract(own, _IMAGE, 1).alias("alt"), F.regexp_extract(own, _IMAGE, 2).alias("path")))
+
+
+def tagged_output(text: Column, tag: str = "char") -> Column:
+    """The tagged pieces of a model output joined by blanks; of an output without them the last answer, without tags."""
+    own = strip(F.replace(text, F.lit("\r\n"), F.lit("\n")))
+    pieces = F.filter(F.transform(tagged(own, tag), strip), lambda x: x != "")
+    turn = F.when(F.lower(own).contains("assistant\n"), F.regexp_replace(own, r"^[^\n]*\n", "")).otherwise(own)
+    answer = strip(F.substring_index(turn, "Assistant:", -1))
+    bare = strip(F.regexp_replace(answer, "</?[^>]+>", ""))
+    return F.when(F.size(pieces) > 0, F.array_join(pieces, " ")).when(bare != "", bare).otherwise(answer)
+
+
+def content_lines(output: Column, logs: tuple[str, ...] = ("Evaluating:",)) -> Column:
+    """The content of a log after its last line of 21 equals signs: lines with a letter or digit that no log prefix opens."""
+    lines = F.transform(F.split(F.replace(output, F.lit("\r\n"), F.lit("\n")), "\n"), strip)
+    log = "|".join(rf"\Q{x}\E" for x in logs)
+    content = lambda x: x.rlike("[A-Za-z0-9가-힣]") & ~x.rlike(f"^({log}|={{50}})") & (x != "NO PATCHES")
+    mark = F.size(lines) - F.array_position(F.reverse(lines), "=" * 21) + 1
+    after = F.when(F.array_contains(lines, "=" * 21), F.slice(lines, mark + 1, F.size(lines))).otherwise(lines)
+    kept, every = F.filter(after, content), F.filter(lines, content)
+    return F.array_join(F.when(F.size(kept) > 0, kept).otherwise(every), "\n")
+
+
+def template_ref(name: Column) -> Column:
+    """A template's name as it is looked up: lower case, with underscores for hyphens and blanks."""
+    return F.translate(F.lower(F.trim(name)), "- ", "__")
+
+
+def tidy_formula(formula: Column) -> Column:
+    """A formula without dollar signs at its ends, with the long names of its relations and single blanks."""
+    return squash(math_aliases(F.btrim(strip(formula), F.lit("$"))))
+
+
+def ratio(value: Column, default: float) -> Column:
+    """A number from 0 to 1; the default for what is no number."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.nanvl(value.try_cast("double"), F.lit(None).cast("double")), F.lit(float(default)))))
+
+
+#: Types of blocks of a generated page.
+BLOCK_TYPES = ("paragraph", "bullet_list", "numbered_list", "checklist", "table", "formula", "quote", "code", "command", "image", "rule")
+
+
+def block_types(names: Column, fallback: bool = True) -> Column:
+    """Known block types of an array in their order, each once, text as paragraph; all types if none is known."""
+    tidy = F.transform(F.coalesce(names, F.array().cast("array<string>")), lambda n: F.replace(F.lower(strip(n)), F.lit("-"), F.lit("_")))
+    known = F.array_distinct(F.filter(F.transform(tidy, lambda n: F.when(n == "text", "paragraph").otherwise(n)), lambda n: n.isin(*BLOCK_TYPES)))
+    return F.when(F.size(known) > 0, known).otherwise(F.array(*map(F.lit, BLOCK_TYPES)) if fallback else known)
+
+
+def header_candidates(text: Column, count: int) -> Column:
+    """The first ``count`` different pairs of words that open the sentences of a text; case doesn't tell them apart."""
+    pairs = F.transform(sentences(text), lambda s: fragment(s, 2, 40))
+    numbered = F.transform(F.filter(pairs, lambda p: p != ""), lambda p, i: F.struct(F.lower(p).alias("k"), i.alias("i"), p.alias("p")))
+    first = F.filter(numbered, lambda x: ~F.exists(numbered, lambda y: (y["k"] == x["k"]) & (y["i"] < x["i"])))
+    return F.slice(F.transform(first, lambda x: x["p"]), 1, count)

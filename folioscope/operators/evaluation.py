@@ -103,6 +103,81 @@ def match_models(synthetic: DataFrame, real: DataFrame, aliases: DataFrame | Non
     return sides[0].join(sides[1], "k", "full").withColumnRenamed("k", "match_key")
 
 
+#: Metrics by which models are compared, the first that a run has; the fields that name a run; the error of a sample that stayed empty.
+MAIN_METRICS = ("avg_markdown_overall_score", "avg_markdown_text_score", "avg_markdown_table_teds", "avg_markdown_formula_score", "avg_markdown_order_score")
+CONTEXT = ("dataset_id", "split", "model_id", "backend")
+STILL_EMPTY = "Empty prediction after retries"
+
+
+def main_metric(metrics: Column) -> Column:
+    """Name of the metric of a map by which a run is judged: a preferred one, else the first avg_ in order of names, else the first."""
+    names = F.array_sort(F.map_keys(metrics))
+    preferred = F.filter(F.array(*map(F.lit, MAIN_METRICS)), lambda m: F.array_contains(names, m))
+    averages = F.filter(names, lambda m: m.startswith("avg_"))
+    return F.coalesce(*(F.try_element_at(c, F.lit(1)) for c in (preferred, averages, names)))
+
+
+def normal_metric(name: Column, value: Column) -> Column:
+    """A metric as a number from 0 to 1 of which more is better; null for null and NaN."""
+    value = F.nanvl(value, F.lit(None).cast("double"))
+    better = F.when(name.isin("avg_cer", "avg_wer"), 1 - value).otherwise(value)
+    return F.when(value.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), better)))
+
+
+def metric_keys(runs: DataFrame, keys: list[str], metrics: str = "metrics") -> DataFrame:
+    """(keys, metric_keys): the sorted names of all metrics of the runs of each group."""
+    return runs.select(*keys, F.explode(F.map_keys(metrics)).alias("m")).groupBy(*keys).agg(F.sort_array(F.collect_set("m")).alias("metric_keys"))
+
+
+def first_samples(df: DataFrame, index: str, most: int | None = None) -> DataFrame:
+    """Samples in the order of their index, at most ``most`` of them (the run's own limit)."""
+    rows = df.orderBy(index)
+    return rows if most is None else rows.limit(most)
+
+
+def first_errors(df: DataFrame, keys: list[str], index: str, shown: int = 10, error: str = "error") -> DataFrame:
+    """The first failed samples of each run, as its report shows them."""
+    failed = df.where(~succeeded(F.col(error)))
+    return failed.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(index))).where(F.col("_r") <= shown).drop("_r")
+
+
+def after_retries(df: DataFrame, prediction: str = "prediction", error: str = "error") -> DataFrame:
+    """df with an error for samples whose prediction stayed blank; predictions as text, null as ''."""
+    text = F.coalesce(F.col(prediction).cast("string"), F.lit(""))
+    return df.withColumns({prediction: text, error: F.when(succeeded(F.col(error)) & is_empty(text), F.lit(STILL_EMPTY)).otherwise(F.col(error))})
+
+
+def checkpoint(spark, path: str, context: dict[str, str] | None = None, index: str = "sample_index") -> DataFrame:
+    """Results of a checkpoint folder (Parquet, with the CONTEXT fields as columns), the later delivery of a sample first taken.
+
+    A context that differs from the rows' raises: a run must not be scored on another run's results.
+    """
+    rows = spark.read.parquet(path)
+    named = [c for c in CONTEXT if c in rows.columns]
+    if context is not None and named:
+        wrong = rows.select(*named).distinct().where(~F.coalesce(F.expr(" AND ".join(f"`{c}` <=> '{str(context.get(c, '')).replace(chr(39), chr(39) * 2)}'" for c in named)), F.lit(False))).limit(1).collect()
+        if wrong:
+            raise ValueError(f"the checkpoint at {path} belongs to another run: {wrong[0].asDict()}, not {context}")
+    order = [F.col("received_at").desc_nulls_last()] if "received_at" in rows.columns else [F.lit(0)]
+    return first_delivery(rows, [*named, index], order)
+
+
+def leaderboard_scores(board: DataFrame, metric: str | None = None, language: str | None = None) -> DataFrame:
+    """(model, score) of leaderboard rows (language, model_id, score[, metric_key]), the last of a model in the order of its languages."""
+    rows = board if language is None else board.where(F.lower("language") == language.lower())
+    if metric is not None and "metric_key" in board.columns:
+        rows = rows.where(F.col("metric_key") == metric)
+    last = F.max_by("score", "language")
+    return rows.where("score is not null").groupBy(F.col("model_id").alias("model")).agg(last.alias("score"))
+
+
+def summary_entries(latest_runs: DataFrame) -> DataFrame:
+    """A flat row of each run: model, language, data set, its main metric, and that metric from 0 to 1."""
+    name = main_metric(F.col("metrics"))
+    rows = latest_runs.withColumn("metric_key", name).withColumn("metric_value", F.col("metrics")[F.col("metric_key")])
+    return rows.select("model_id", "language", "dataset_id", "metric_key", "metric_value", normal_metric(F.col("metric_key"), F.col("metric_value")).alias("normalized"), "total_samples", "empty_rate")
+
+
 def bootstrap_interval(pairs: DataFrame, x: str, y: str, statistic, draws: int = 2000, confidence: float = 0.95, seed: int = 42) -> DataFrame:
     """(low, high) of statistic(x, y) over resamples of the pairs, drawn in parallel; null with fewer than 2 pairs.
 

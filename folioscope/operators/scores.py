@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.functions import distance
 from folioscope.kernels import blocks, layout, outputs, tables
 from folioscope.operators.evaluation import valid
 from folioscope.sources.shared import spread
@@ -135,21 +136,68 @@ def without_furniture(df: DataFrame, text: str, furniture: str) -> DataFrame:
     return df.withColumn(text, F.when(F.col(furniture).isNotNull(), clean(F.col(text), *fields)).otherwise(F.col(text)))
 
 
-def entity_scores(df: DataFrame, key: str, prediction: str, truth: str, most: float = 0.3) -> DataFrame:
-    """(key, precision, recall, f1, avg_ned) of two maps, natively: a full outer join of their entries by field."""
-    from folioscope.functions.distance import f1, ned
+#: The categories of fields of receipts, forms and cards.
+CATEGORIES = {
+    "header": ("company", "address", "date", "time", "receipt_number", "invoice_number"),
+    "customer": ("customer_name", "customer_address", "name", "phone", "email"),
+    "total": ("subtotal", "tax", "total", "discount"),
+    "payment": ("payment_method", "card_number"),
+    "personal": ("name", "phone", "email", "address"),
+    "organization": ("company", "department", "position"),
+}
+
 
+def entity_fields(df: DataFrame, key: str, prediction: str, truth: str) -> DataFrame:
+    """(k, field, in_p, in_t, ned, accuracy): the fields of both maps with the distance of their values; a value that one side lacks is ''."""
     sides = [df.select(F.col(key).alias("k"), F.explode(F.map_entries(c)).alias("e")).select("k", F.col("e.key").alias("field"), F.col("e.value").cast("string").alias(n)) for c, n in ((prediction, "p"), (truth, "t"))]
-    j = sides[0].withColumn("in_p", F.lit(1)).join(sides[1].withColumn("in_t", F.lit(1)), ["k", "field"], "full")
-    d = ned(F.coalesce("p", F.lit("")), F.coalesce("t", F.lit("")))
-    hit = (d <= most) & F.col("in_t").isNotNull()
-    sums = j.groupBy("k").agg(
-        F.count("in_p").alias("np"), F.count("in_t").alias("nt"), F.count_if(hit & F.col("in_p").isNotNull()).alias("hp"), F.count_if(hit).alias("ht"),
-        F.sum(F.when(F.col("in_t").isNotNull(), d)).alias("d"),
-    )
+    j = sides[0].withColumn("in_p", F.lit(True)).join(sides[1].withColumn("in_t", F.lit(True)), ["k", "field"], "full")
+    d = distance.ned(F.coalesce("p", F.lit("")), F.coalesce("t", F.lit("")))
+    return j.select("k", "field", F.coalesce("in_p", F.lit(False)).alias("in_p"), F.coalesce("in_t", F.lit(False)).alias("in_t"), d.alias("ned"), (1 - d).alias("accuracy"))
+
+
+def _entity_sums(groups, most: float) -> DataFrame:
+    hit = (F.col("ned") <= most) & F.col("in_t")
+    return groups.agg(F.count_if("in_p").alias("np"), F.count_if("in_t").alias("nt"), F.count_if(hit & F.col("in_p")).alias("hp"), F.count_if(hit).alias("ht"), F.sum(F.when(F.col("in_t"), F.col("ned"))).alias("d"))
+
+
+def entity_scores(df: DataFrame, key: str, prediction: str, truth: str, most: float = 0.3) -> DataFrame:
+    """(key, precision, recall, f1, avg_ned, avg_accuracy) of two maps: a full outer join of their entries by field."""
+    sums = _entity_sums(entity_fields(df, key, prediction, truth).groupBy("k"), most)
     all_rows = df.select(F.col(key).alias("k")).join(sums, "k", "left").fillna(0, ["np", "nt", "hp", "ht"]).fillna(0.0, ["d"])
     empty = F.col("nt") == 0
     p = F.when(empty, (F.col("np") == 0).cast("double")).otherwise(F.coalesce(F.try_divide(F.col("hp").cast("double"), F.col("np")), F.lit(0.0)))
     r = F.when(empty, 1.0).otherwise(F.col("ht") / F.col("nt"))
     out = all_rows.select(F.col("k").alias(key), p.alias("precision"), r.alias("recall"), F.when(empty, 0.0).otherwise(F.col("d") / F.col("nt")).alias("avg_ned"), empty.alias("e"))
-    return out.select(key, "precision", "recall", F.when(F.col("e"), F.col("precision")).otherwise(f1(F.col("precision"), F.col("recall"))).alias("f1"), "avg_ned")
+    f1 = F.when(F.col("e"), F.col("precision")).otherwise(distance.f1(F.col("precision"), F.col("recall")))
+    return out.select(key, "precision", "recall", f1.alias("f1"), "avg_ned", F.when(F.col("e"), F.col("precision")).otherwise(1 - F.col("avg_ned")).alias("avg_accuracy"))
+
+
+def category_scores(df: DataFrame, key: str, prediction: str, truth: str, categories: dict[str, tuple[str, ...]] = CATEGORIES, most: float = 0.3) -> DataFrame:
+    """(key, category, precision, recall, f1, accuracy, field_count) over the true fields of each category; a field may be in several."""
+    listed = df.sparkSession.createDataFrame([(f, c) for c, fields in categories.items() for f in fields], "field string, category string")
+    fields = entity_fields(df, key, prediction, truth).where("in_t").join(F.broadcast(listed), "field")  # the listed fields are a parameter
+    sums = _entity_sums(fields.groupBy("k", "category"), most)
+    p = r = F.col("ht") / F.col("nt")  # a field that isn't predicted counts as predicted empty
+    return sums.select(F.col("k").alias(key), "category", p.alias("precision"), r.alias("recall"), distance.f1(p, r).alias("f1"), (1 - F.col("d") / F.col("nt")).alias("accuracy"), F.col("nt").alias("field_count"))
+
+
+def entity_summary(scored: DataFrame, keys: list[str] = ()) -> DataFrame:
+    """Means, and deviations of F1 and accuracy, of entity scores over samples; avg_item_f1 and avg_overall_f1 with item_f1 (null where a sample has no items)."""
+    stats = [F.count("*").alias("samples"), F.avg("f1").alias("avg_entity_f1"), F.stddev_pop("f1").alias("std_entity_f1"), F.avg("precision").alias("avg_entity_precision"), F.avg("recall").alias("avg_entity_recall"),
+             F.avg("avg_accuracy").alias("avg_entity_accuracy"), F.stddev_pop("avg_accuracy").alias("std_entity_accuracy")]
+    whole = F.col("f1")
+    if "item_f1" in scored.columns:
+        whole = F.coalesce((F.col("f1") + F.col("item_f1")) / 2, F.col("f1"))
+        stats += [F.avg("item_f1").alias("avg_item_f1"), F.stddev_pop("item_f1").alias("std_item_f1")]
+    return scored.groupBy(*keys).agg(*stats, F.avg(whole).alias("avg_overall_f1"), F.stddev_pop(whole).alias("std_overall_f1"))
+
+
+def field_accuracy(df: DataFrame, key: str, prediction: str, truth: str) -> DataFrame:
+    """(field, avg_accuracy, sample_count) of the true fields over all samples."""
+    return entity_fields(df, key, prediction, truth).where("in_t").groupBy("field").agg(F.avg("accuracy").alias("avg_accuracy"), F.count("*").alias("sample_count"))
+
+
+def metric_table(scored: DataFrame, metrics: list[str], keys: list[str] = ()) -> DataFrame:
+    """(keys, metric, mean, std, min, max) of score columns; null and NaN are left out."""
+    values = scored.select(*keys, *(F.nullif(F.col(m).cast("double"), F.lit(float("nan"))).alias(m) for m in metrics)).unpivot(list(keys), metrics, "metric", "v").where("v is not null")
+    return values.groupBy(*keys, "metric").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.operators import schema_drift
-from folioscope.plans import reference
+from folioscope.plans import further, reference  # noqa: F401: the modules register their queries
 from folioscope.sources.tables import table
 
 

@@ -145,11 +145,6 @@ def structure_signatures(spark: SparkSession, directory: str) -> DataFrame:
     return docs.select("doc_id", text.structure_signature(F.col("text")).alias("signature"))
 
 
-@query()
-def sentence_items(spark: SparkSession, directory: str) -> DataFrame:
-    return corpus.sentence_items(table(spark, directory, "documents"), "text", ["doc_id"])
-
-
 @query()
 def wiki_parts(spark: SparkSession, directory: str) -> DataFrame:
     docs = table(spark, directory, "documents").where("text is not null")
@@ -373,15 +368,6 @@ def metric_fields(spark: SparkSession, directory: str) -> DataFrame:
     return rows.groupBy("dataset_id", "field").agg(F.count("*").alias("runs"), _r(F.avg("v")).alias("mean"), _r(F.min("v")).alias("least"), _r(F.max("v")).alias("most"))
 
 
-@query()
-def entity_scores(spark: SparkSession, directory: str) -> DataFrame:
-    """Degradation parameters of a plan against those of the plan before it in its batch, as entities."""
-    plans = evaluation.first_delivery(table(spark, directory, "render_plan"), ["plan_id"], [F.col("plan_row")])
-    before = F.lag("degradation_params").over(Window.partitionBy("batch_id").orderBy("plan_id"))
-    rows = plans.select("plan_id", F.col("degradation_params").alias("p"), F.coalesce(before, F.create_map().cast("map<string,string>")).alias("t"))
-    return scores.entity_scores(rows, "plan_id", "p", "t")
-
-
 @query()
 def order_items(spark: SparkSession, directory: str) -> DataFrame:
     """Lines of an order as receipt items, those that weren't returned as the truth."""

@@ -43,7 +43,7 @@ def text_files(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFr
 
 
 def formulas(spark: SparkSession, path: str) -> DataFrame:
-    """(formula) of a json, jsonl, csv, tsv or txt file, the first of each kept."""
+    """(formula) of a json, jsonl, csv, tsv or txt file, each once."""
     kind = path.rsplit(".", 1)[-1].lower()
     if kind == "txt":
         rows = spark.read.text(path).select(F.col("value").alias("formula"))
@@ -66,7 +66,7 @@ def reports(spark: SparkSession, root: str) -> DataFrame:
     """
     schema = (
         "config struct<dataset_id string, split string, language string, format string, model struct<model_id string, backend string>>, "
-        "metrics map<string,double>, summary struct<total_samples long, successful long, failed long, avg_latency_ms double>"
+        "metrics map<string,double>, summary struct<total_samples long, successful long, failed long, avg_latency_ms double, empty_rate double, parse_fail_rate double>"
     )
     whole = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
     rows = whole.option("pathGlobFilter", "report.json").text(root)

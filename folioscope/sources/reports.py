@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import html
 import json
 import os
+import platform
 import tempfile
+from datetime import datetime, timezone
 from pathlib import Path
 
+import pyspark
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Rows a report shows at most per table; reports are tops of sorted results.
+#: Rows of a leaderboard or comparison, a row per model and language, that are written by the driver; more raise an error.
+MAX_ROWS = 1_000_000
+#: Rows that the report of a distribution or a data set shows, the most telling first; it says how many there are.
 SHOWN = 1000
 
 
@@ -27,9 +33,17 @@ def top(df: DataFrame, order: list, shown: int = SHOWN) -> list[dict]:
     return [r.asDict(recursive=True) for r in df.orderBy(*order).limit(shown).collect()]
 
 
+def every(df: DataFrame, order: list) -> list[dict]:
+    """All rows by order; a table that isn't of a report's size raises."""
+    rows = top(df, order, MAX_ROWS + 1)
+    if len(rows) > MAX_ROWS:
+        raise ValueError(f"a report of more than {MAX_ROWS} rows")
+    return rows
+
+
 def leaderboard(ranked: DataFrame, metric: str, lower_is_better: bool = False) -> tuple[str, str]:
     """(JSON, Markdown) of a ranked leaderboard (language, model_id, rank, score, ...), a table for each language."""
-    rows = top(ranked.select("language", "rank", "model_id", "score", *(c for c in ("success_rate", "avg_latency_ms") if c in ranked.columns)), ["language", "rank"])
+    rows = every(ranked.select("language", "rank", "model_id", "score", *(c for c in ("success_rate", "avg_latency_ms") if c in ranked.columns)), ["language", "rank"])
     groups: dict[str, list[dict]] = {}
     for r in rows:
         groups.setdefault(r["language"], []).append(r)
@@ -55,6 +69,51 @@ def rank_correlation(statistics: dict, interval: tuple[float, float] | None, con
     return "# Rank correlation\n\n" + "\n".join(f"- {x}" for x in lines) + (f"\n\nUnmatched: {', '.join(sorted(lone))}\n" if lone else "\n")
 
 
+def comparison(runs: DataFrame) -> tuple[str, str]:
+    """(JSON, Markdown) of runs beside each other: model, backend, data set, samples, success rate, latency and every metric."""
+    rows = every(runs.select("model_id", "backend", "dataset_id", "language", "total_samples", "success_rate", "avg_latency_ms", "metrics"), ["model_id", "language"])
+    names = sorted({m for r in rows for m in r["metrics"] or {}})
+    flat = [{k: v for k, v in r.items() if k != "metrics"} | {m: (r["metrics"] or {}).get(m) for m in names} for r in rows]
+    columns = list(flat[0]) if flat else ["model_id"]
+    return json.dumps(flat, ensure_ascii=False, indent=1, default=str), "# Comparison\n\n" + markdown(flat, columns)
+
+
+#: The lines of a run's summary.
+SUMMARY = {"total_samples": "Total Samples", "successful": "Successful", "failed": "Failed", "empty_rate": "Empty Rate", "avg_latency_ms": "Average Latency (ms)"}
+
+
+def run_report(config: dict, metrics: dict[str, float], summary: dict, errors: list[dict] = ()) -> dict[str, str]:
+    """A run's report as json, md and html: configuration, metrics, summary, and the first errors."""
+    parts = [
+        ("Configuration", [{"parameter": k, "value": v} for k, v in config.items()]), ("Metrics", [{"metric": k, "value": v} for k, v in metrics.items()]),
+        ("Execution Summary", [{"figure": title, "value": summary.get(k)} for k, title in SUMMARY.items()]), ("Errors", list(errors)),
+    ]
+    parts = [(title, rows) for title, rows in parts if rows]
+    text = "# Evaluation Report\n\n" + "\n".join(f"## {title}\n\n{markdown(rows, list(rows[0]))}" for title, rows in parts)
+    show = lambda v: "" if v is None else f"{v:.4f}" if isinstance(v, float) else html.escape(str(v))
+    cells = lambda tag, values: "<tr>" + "".join(f"<{tag}>{show(v)}</{tag}>" for v in values) + "</tr>"
+    body = "".join(f"<h2>{title}</h2><table>{cells('th', rows[0])}{''.join(cells('td', r.values()) for r in rows)}</table>" for title, rows in parts)
+    page = f'<!DOCTYPE html><html><head><meta charset="utf-8"><title>Evaluation Report</title></head><body><h1>Evaluation Report</h1>{body}</body></html>'
+    payload = {"config": config, "metrics": metrics, "summary": summary, "errors": list(errors)}
+    return {"json": json.dumps(payload, ensure_ascii=False, indent=2, default=str), "md": text, "html": page}
+
+
+def protocol(command: str, config: dict, summary: dict) -> str:
+    """What was run, when and in which environment, as JSON."""
+    versions = {"python": platform.python_version(), "platform": platform.platform(), "pyspark": pyspark.__version__}
+    at = datetime.now(timezone.utc).isoformat(timespec="seconds").replace("+00:00", "Z")
+    return json.dumps({"timestamp": at, "command": command, "config": config, "summary": summary, "environment": versions}, ensure_ascii=False, indent=2, default=str)
+
+
+def discriminator(folds: list[dict], weights: list[dict], reference: str, candidate: str) -> str:
+    """How well two sources are told apart: the folds, their mean, and the features that tell most."""
+    known = [f["auc"] for f in folds if f["auc"] is not None]
+    mean = sum(known) / len(known) if known else 0.5
+    spread = (sum((a - mean) ** 2 for a in known) / len(known)) ** 0.5 if known else 0.0
+    head = f"# Discriminator: {candidate} against {reference}\n\nMean AUC {mean:.4f}, deviation {spread:.4f}; 0.5 means that they can't be told apart.\n\n"
+    return head + markdown(folds, ["fold", "auc"]) + "\n" + markdown(weights, ["feature", "coefficient"])
+
+
 def size_category(rows: int) -> str:
     """The size class of a data set's card."""
     for most, name in ((1_000, "n<1K"), (10_000, "1K<n<10K"), (100_000, "10K<n<100K"), (1_000_000, "100K<n<1M"), (10_000_000, "1M<n<10M"), (100_000_000, "10M<n<100M"), (1_000_000_000, "100M<n<1B")):

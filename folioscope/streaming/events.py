@@ -36,16 +36,21 @@ def once(events: DataFrame, keys: list[str], late: str = "1 hour", time: str = "
     return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-def write_new(batch: DataFrame, path: str, keys: list[str]) -> None:
-    """Append the rows of a micro-batch whose keys the table at path doesn't hold yet: a rerun changes nothing."""
-    spark = batch.sparkSession
-    fresh = batch.dropDuplicates(keys)
-    try:
-        fresh = fresh.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
-    except Exception as e:  # the first batch: there is no table yet
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-    fresh.write.mode("append").parquet(path)
+def write_batch(batch: DataFrame, batch_id: int, path: str, keys: list[str]) -> None:
+    """Write a micro-batch, each key once, to its own part of the table at path (``batch=<id>``), in place of what the part holds.
+
+    For foreachBatch: a batch that runs again after a failure replaces itself, and no other part is read or written.  Repeats
+    of a key across batches are left out before, by ``once`` within the watermark, or when the table is read, by ``first_batches``.
+    """
+    rows = batch.dropDuplicates(keys).withColumn("batch", F.lit(batch_id).cast("long"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+
+def first_batches(table: DataFrame, keys: list[str]) -> DataFrame:
+    """A table of batches with each key once, as its first batch has it."""
+    columns = [c for c in table.columns if c not in (*keys, "batch")]
+    first = table.groupBy(*keys).agg(F.min_by(F.struct(*columns), "batch").alias("f"))
+    return first.select(*keys, *(F.col("f")[c].alias(c) for c in columns))
 
 
 def running_novelty(signatures: DataFrame, key: str, text: str, window: int = 80) -> DataFrame:

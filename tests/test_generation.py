@@ -113,9 +113,12 @@ def test_stream_equals_batch(spark, tmp_path):
     query.awaitTermination()
     assert sorted(spark.table("daily").collect()) == sorted(events.tumbling(batch).collect())
     target = str(tmp_path / "once")
-    for _ in range(2):
-        events.write_new(batch, target, ["event_id"])
-    assert spark.read.parquet(target).count() == 40
+    for batch_id in (0, 1, 1):  # the second batch runs again and replaces itself
+        events.write_batch(batch.where(F.col("event_id") >= 10 * batch_id).union(batch.limit(3)), batch_id, target, ["event_id"])
+    table = spark.read.parquet(target)
+    assert {(r.batch, r["count"]) for r in table.groupBy("batch").count().collect()} == {(0, 40), (1, 33)}
+    assert events.first_batches(table, ["event_id"]).count() == 40
+    assert events.first_batches(table, ["event_id"]).columns == batch.columns
 
 
 def test_running_novelty(spark, tmp_path):
