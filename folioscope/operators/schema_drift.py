@@ -204,7 +204,7 @@ def _changes(df: DataFrame, fields: DataFrame, stream: str, number: str) -> Data
         return F.coalesce(F.try_divide(total(F.map_filter(of, lambda w, n: F.map_contains_key(other, w))).cast("double"), total(of)), F.lit(0.0))
 
     x, y = F.col("old")[F.col("gone")]["words"], F.col("new")[F.col("new_name")]["words"]
-    pairs = stored(pairs.select("stream", "no", "gone", "new_name", same.alias("w"), F.greatest(part(x, y), part(y, x)).alias("in_files")), "pairs")
+    pairs = pairs.select("stream", "no", "gone", "new_name", same.alias("w"), F.greatest(part(x, y), part(y, x)).alias("in_files"))
     scored = pairs.join(_over_all(pairs.select("gone", "new_name").distinct(), statistics), ["gone", "new_name"], "left").withColumn("v", F.greatest(F.coalesce("over_all", F.lit(0.0)), "in_files"))
     scored = scored.where((F.col("w") == 1) | (F.col("v") >= SAME_VALUES)).withColumn("score", F.col("v") + NAME_WEIGHT * F.col("w"))
     # The best pair first, then the best of the fields that are still free, until none is left.

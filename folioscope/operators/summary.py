@@ -47,9 +47,14 @@ def quantiles(values: DataFrame, keys: list[str], value: str, points: list[float
     for i, k in enumerate(keys):
         same &= F.col(k).eqNullSafe(F.col(f"_t{i}"))
     rows = running_totals(counts, keys, value, ["_n"]).join(F.broadcast(total) if not keys else total, same)
-    # The places of a point lie between two ranks; each value answers for the points whose ranks it holds.
-    place = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("_total") - 1)).alias("at")) for i, p in enumerate(points)))).alias("p")
-    rows = rows.select(*keys, value, F.col("before__n").alias("_b"), "_n", place).select("*", "p.*")
+    # A point lies between two ranks; each value answers for the points whose ranks it holds, which are few of evenly spaced ones.
+    last = len(points) - 1
+    span, upto = F.greatest(F.col("_total") - 1, F.lit(1)), F.col("before__n") + F.col("_n")
+    even = last > 0 and all(abs(p - i / last) < 1e-12 for i, p in enumerate(points))
+    first = F.greatest(F.lit(0), F.floor((F.col("before__n") - 1) / span * last).cast("int") - 1) if even else F.lit(0)
+    final = F.least(F.lit(last), F.ceil(upto / span * last).cast("int") + 1) if even else F.lit(last)
+    rows = rows.select(*keys, value, F.col("before__n").alias("_b"), "_n", "_total", F.explode(F.sequence(first, final)).alias("i"))
+    rows = rows.withColumn("at", F.array(*map(F.lit, points))[F.col("i")] * (F.col("_total") - 1))
     low, high = F.floor("at"), F.ceil("at")
     holds = lambda rank: (rank >= F.col("_b")) & (rank < F.col("_b") + F.col("_n"))
     rows = rows.where(holds(low) | holds(high))

@@ -191,7 +191,8 @@ _W = lambda c: f"list_distinct(list_filter(regexp_split_to_array(coalesce({c}, '
 @query(f"""SELECT result_id, round(CASE WHEN len(t) = 0 THEN (len(p) = 0)::INT ELSE len(list_intersect(t, p))::DOUBLE / len(t) END, 6) AS word_accuracy
     FROM (SELECT result_id, {_W('ground_truth')} AS t, {_W('prediction')} AS p FROM report)""")
 def word_accuracy(spark: SparkSession, directory: str) -> DataFrame:
-    return table(spark, directory, "report").select("result_id", _r(distance.word_accuracy(F.col("ground_truth"), F.col("prediction"))).alias("word_accuracy"))
+    report = spread(table(spark, directory, "report").select("result_id", "ground_truth", "prediction"))
+    return report.select("result_id", _r(distance.word_accuracy(F.col("ground_truth"), F.col("prediction"))).alias("word_accuracy"))
 
 
 @query(f"""SELECT model_id, count(*) AS samples, sum((regexp_replace(coalesce(prediction, ''), '^[{_S}]+|[{_S}]+$', '', 'g') = regexp_replace(coalesce(ground_truth, ''), '^[{_S}]+|[{_S}]+$', '', 'g'))::INT)::BIGINT AS exact
