@@ -89,7 +89,7 @@ def compare_to(runs: DataFrame, out: str) -> str:
 
 def rank_correlation(synthetic: DataFrame, real: DataFrame, aliases: DataFrame | None = None, confidence: float = 0.95, draws: int = 2000) -> str:
     """The report on how well the scores (model, score) of one table order the models as those of the other do."""
-    from folioscope.kernels.layout import correlation, ranks
+    from folioscope.kernels.layout import correlation, ranks, tau_b
 
     matched = evaluation.match_models(synthetic, real, aliases)
     both = matched.where("synthetic_model is not null and real_model is not null")
@@ -98,6 +98,8 @@ def rank_correlation(synthetic: DataFrame, real: DataFrame, aliases: DataFrame |
     if statistics["n"] > 2:
         row = evaluation.bootstrap_interval(both, "synthetic_score", "real_score", lambda a, b: correlation(ranks(a.tolist()), ranks(b.tolist())), draws, confidence).first()
         interval = (row.low, row.high) if row.low is not None else None
+        statistics["spearman_p"] = summary.permutation_p(both, "synthetic_score", "real_score", lambda a, b: correlation(ranks(a), ranks(b)), draws)
+        statistics["kendall_p"] = summary.permutation_p(both, "synthetic_score", "real_score", tau_b, draws)
     return reports.rank_correlation(statistics, interval, confidence, reports.every(matched, ["match_key"]))
 
 
@@ -115,8 +117,10 @@ def gap_report(reference: DataFrame, candidate: DataFrame, names: tuple[str, str
 def discriminate(reference: DataFrame, candidate: DataFrame, names: tuple[str, str] = ("reference", "candidate"), column: str = "text") -> str:
     """How well a linear classifier tells the texts of two tables apart."""
     sides = [df.where(F.col(column).isNotNull()).select(F.lit(side).alias("side"), *text.text_stats(F.col(column))) for df, side in ((candidate, True), (reference, False))]
-    folds, weights = summary.discriminate(sides[0].union(sides[1]), "side", list(text.STATS))
-    return reports.discriminator([r.asDict() for r in folds.orderBy("fold").collect()], [r.asDict() for r in weights.collect()], *names)
+    both = sides[0].union(sides[1]).withColumn("row", F.monotonically_increasing_id())
+    made = summary.Discriminator(both, "side", list(text.STATS))
+    parts = (made.folds().orderBy("fold"), made.weights(), made.top_candidates("row"))
+    return reports.discriminator(*([r.asDict() for r in p.collect()] for p in parts), *names)
 
 
 def import_wikitext(lines: DataFrame, out: str, line: str = "value") -> None:

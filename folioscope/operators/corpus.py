@@ -81,3 +81,9 @@ def runs(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFr
     same = Window.partitionBy(*keys, value).orderBy(*order)
     island = df.withColumn("_i", F.row_number().over(whole) - F.row_number().over(same)).withColumn("_n", F.row_number().over(whole))
     return island.groupBy(*keys, value, "_i").agg(F.min("_n").alias("start"), F.count("*").alias("rows")).drop("_i")
+
+
+def valid_characters(df: DataFrame, text: str) -> DataFrame:
+    """(char, count) of the characters that are seen: no blanks, no control, format, private or unassigned ones."""
+    shown = F.regexp_replace(text, r"[\p{C}\p{Z}\s]", "")
+    return df.select(F.explode(F.split(shown, "")).alias("char")).where("char <> ''").groupBy("char").agg(F.count("*").alias("count"))

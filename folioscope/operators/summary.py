@@ -203,36 +203,96 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 50
 FIT_ROWS = 20_000
 
 
-def discriminate(df: DataFrame, side: str, features: list[str], folds: int = 5, l2: float = 1.0, seed: int = 0, fit_rows: int = FIT_ROWS) -> tuple[DataFrame, DataFrame]:
-    """How well a linear classifier tells two sides (boolean column) apart.
+def shared_features(left: DataFrame, right: DataFrame, leave: tuple[str, ...] = ("path", "index", "width", "height")) -> list[str]:
+    """Numeric columns that both tables have, without identifiers, by name."""
+    kinds = ("byte", "short", "integer", "long", "float", "double", "decimal", "boolean")
+    numeric = [{f.name for f in df.schema if f.dataType.typeName() in kinds} for df in (left, right)]
+    return sorted((numeric[0] & numeric[1]) - set(leave))
 
-    Returns (fold, auc) of the held-out folds and (feature, coefficient) by size.  Each fold's model is fitted on a
-    hash-ordered sample of at most fit_rows rows of each side, equal in number; every row of the fold is scored.
+
+class Discriminator:
+    """A linear classifier that tells two sides (a boolean column) apart, with its held-out folds.
+
+    Both sides give equally many rows, at most fit_rows, in the order of a seeded hash; the rows of a hash go to one of
+    the folds, in turn on each side, so that the folds have equal shares of the sides.
     """
-    from pyspark.sql.types import DoubleType
-
-    rows = df.where(F.col(side).isNotNull()).select(F.col(side).alias("side"), *(F.col(f).cast("double").alias(f) for f in features)).na.drop()
-    rows = rows.withColumn("h", F.xxhash64(F.lit(seed), *features)).withColumn("fold", F.pmod("h", F.lit(folds)).cast("int"))
-    least = rows.groupBy("side").count().agg(F.min("count")).first()[0] or 0
-    take = min(least, fit_rows)
-    sample = rows.where("side").orderBy("h").limit(take).union(rows.where("not side").orderBy("h").limit(take)).toPandas()
-    spark = df.sparkSession
-    models = []
-    for k in [*range(folds), None]:
-        part = sample[sample["fold"] != k] if k is not None else sample
-        if part.empty or part["side"].nunique() < 2:
-            continue
-        x, y = part[features].to_numpy(), part["side"].to_numpy().astype(float)
-        mean, dev = x.mean(0), np.where(x.std(0) < 1e-8, 1.0, x.std(0))
-        models.append((k, mean, dev, fit_logistic((x - mean) / dev, y, l2)))
-    scored = F.lit(None).cast(DoubleType())
-    for k, mean, dev, w in models:
-        if k is not None:
-            z = F.lit(float(w[0]))
-            for f, m, d, c in zip(features, mean, dev, w[1:], strict=True):
-                z = z + (F.col(f) - float(m)) / float(d) * float(c)
-            scored = F.when(F.col("fold") == k, z).otherwise(scored)
-    quality = auc(rows.withColumn("z", scored), "z", "side", ["fold"])
-    last = next((m for m in models if m[0] is None), None)
-    weights = pd.DataFrame({"feature": features, "coefficient": last[3][1:] if last else [0.0] * len(features)})
-    return quality, spark.createDataFrame(weights).orderBy(F.desc(F.abs("coefficient")), "feature")
+
+    def __init__(self, df: DataFrame, side: str, features: list[str], folds: int = 5, l2: float = 1.0, seed: int = 0, fit_rows: int = FIT_ROWS):
+        self.features, self.spark = features, df.sparkSession
+        rows = df.where(F.col(side).isNotNull()).withColumns({"side": F.col(side), **{f"_f{i}": F.col(f).cast("double") for i, f in enumerate(features)}}).na.drop(subset=[f"_f{i}" for i in range(len(features))])
+        self.rows = rows.withColumn("h", F.xxhash64(F.lit(seed), *(f"_f{i}" for i in range(len(features)))))
+        least = {r.side: r["count"] for r in rows.groupBy("side").count().collect()}
+        take = min(least.get(True, 0), least.get(False, 0), fit_rows)
+        own = self.rows.select("side", "h", *(f"_f{i}" for i in range(len(features))))
+        sample = own.where("side").orderBy("h").limit(take).union(own.where("not side").orderBy("h").limit(take)).toPandas()  # 2 * fit_rows at most
+        folds = max(2, min(folds, take))
+        sample["fold"] = sample.groupby("side")["h"].transform(lambda h: pd.factorize(h)[0] % folds) if len(sample) else []
+        self.sample, self.models, self.quality = sample, {}, []
+        x, y = sample[[f"_f{i}" for i in range(len(features))]].to_numpy(float), sample["side"].to_numpy().astype(float)
+        for k in [*range(folds), None]:
+            train = (sample["fold"] != k).to_numpy() if k is not None else np.ones(len(sample), bool)
+            if len(np.unique(y[train])) < 2:
+                continue
+            mean, dev = x[train].mean(0), np.where(x[train].std(0) < 1e-8, 1.0, x[train].std(0))
+            self.models[k] = (mean, dev, fit_logistic((x[train] - mean) / dev, y[train], l2))
+            if k is not None:
+                z = self._linear(x[~train], k)
+                self.quality.append((k, _area(y[~train] == 1, z), float(np.mean((z > 0) == (y[~train] == 1))) if len(z) else None))
+
+    def _linear(self, x: np.ndarray, k: int | None) -> np.ndarray:
+        mean, dev, w = self.models[k]
+        return w[0] + (x - mean) / dev @ w[1:]
+
+    def folds(self) -> DataFrame:
+        """(fold, auc, accuracy) of the held-out folds."""
+        return self.spark.createDataFrame(self.quality, "fold int, auc double, accuracy double")
+
+    def weights(self) -> DataFrame:
+        """(feature, coefficient) of the model of all folds, the largest first."""
+        last = self.models.get(None)
+        return self.spark.createDataFrame([(f, float(c)) for f, c in zip(self.features, last[2][1:] if last else [0.0] * len(self.features), strict=True)], "feature string, coefficient double").orderBy(F.desc(F.abs("coefficient")), "feature")
+
+    def scored(self) -> DataFrame:
+        """All rows with their probability of the side and whose it is: rows that were fitted on have that of the fold that held them out."""
+        known = self.sample[["side", "h", "fold"]].drop_duplicates(["side", "h"])
+        held = self.spark.createDataFrame(known, "side boolean, h long, fold long") if len(known) else self.spark.createDataFrame([], "side boolean, h long, fold long")
+        rows = self.rows.join(F.broadcast(held), ["side", "h"], "left")  # 2 * FIT_ROWS rows at most
+        z = F.lit(None).cast("double")
+        for k, (mean, dev, w) in self.models.items():
+            own = F.lit(float(w[0]))
+            for i, (m, d, c) in enumerate(zip(mean, dev, w[1:], strict=True)):
+                own = own + (F.col(f"_f{i}") - float(m)) / float(d) * float(c)
+            z = F.when(F.col("fold").isNull() if k is None else F.col("fold") == k, own).otherwise(z)
+        out = rows.withColumn("probability", 1 / (1 + F.exp(-z))).withColumn("source", F.when(F.col("fold").isNull(), "holdout").otherwise("held_out_fold"))
+        return out.drop("h", "fold", *(f"_f{i}" for i in range(len(self.features))))
+
+    def top_candidates(self, key: str, shown: int = 20) -> DataFrame:
+        """(key, probability, source): the rows of the side that are told apart most surely."""
+        return self.scored().where("side").select(key, F.round("probability", 6).alias("probability"), "source").orderBy(F.desc("probability"), key).limit(shown)
+
+
+def _area(positive: np.ndarray, score: np.ndarray) -> float:
+    """Mann-Whitney statistic of a bounded sample; 0.5 if a class is empty."""
+    order = np.sort(score[~positive])
+    if not positive.any() or not len(order):
+        return 0.5
+    own = score[positive]
+    return float((np.searchsorted(order, own, "left") + np.searchsorted(order, own, "right")).sum() / 2 / len(order) / len(own))
+
+
+def discriminate(df: DataFrame, side: str, features: list[str], **kw) -> tuple[DataFrame, DataFrame]:
+    """((fold, auc, accuracy), (feature, coefficient)) of a Discriminator."""
+    made = Discriminator(df, side, features, **kw)
+    return made.folds(), made.weights()
+
+
+def permutation_p(pairs: DataFrame, x: str, y: str, statistic, draws: int = 2000, seed: int = 42) -> float | None:
+    """Two-sided probability of a statistic at least as large when y is dealt out anew; None for less than 3 pairs.  For score tables."""
+    rows = pairs.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).na.drop().limit(MAX_MODELS + 1).toPandas()
+    if len(rows) > MAX_MODELS:
+        raise ValueError(f"a permutation test expects a score table of at most {MAX_MODELS} rows")
+    if len(rows) < 3:
+        return None
+    rng, own = np.random.default_rng(seed), abs(statistic(rows["x"].tolist(), rows["y"].tolist()))
+    hits = sum(abs(statistic(rows["x"].tolist(), rng.permutation(rows["y"]).tolist())) >= own - 1e-12 for _ in range(draws))
+    return (hits + 1) / (draws + 1)

@@ -240,3 +240,17 @@ def furniture(rng: random.Random, words: list[str], number: int, total: int, lan
     styles = {"ko": f"{number}쪽", "ja": f"{number}頁"}
     mark = rng.choice([str(number), f"- {number} -", f"{number} / {total}", styles.get(lang, f"Page {number}")])
     return {"header": rng.choice(["", rng.choice(words), f"{rng.choice(words)} | {rng.choice(words)}"]), "footer": rng.choice(["", rng.choice(words)]), "page_number": rng.choice(["", mark, mark])}
+
+
+def with_typos(text: str, alike: dict[str, list[str]], rng: random.Random, share: float = 0.15) -> str:
+    """text with a look-alike letter in a share of its words, at least one; numbers and words of one letter stay.
+
+    alike: letter -> letters that look like it, the likest first; one of the first five is taken.  Words are parted by single blanks.
+    """
+    words = text.split()
+    wanted = min(max(int(len(words) * share), 1 if share > 0 else 0), len(words))
+    able = [i for i, w in enumerate(words) if len(w) > 1 and any(alike.get(c) and not c.isnumeric() for c in w)]
+    for i in rng.sample(able, min(wanted, len(able))):
+        at = rng.choice([k for k, c in enumerate(words[i]) if alike.get(c) and not c.isnumeric()])
+        words[i] = words[i][:at] + rng.choice(alike[words[i][at]][:5]) + words[i][at + 1 :]
+    return " ".join(words) if words else text

@@ -289,3 +289,31 @@ def block_type_lists(spark: SparkSession, directory: str) -> DataFrame:
     """Lists of block types as users write them, in one form."""
     given = F.when(F.col("p_size") % 3 == 0, F.array(*map(F.lit, ("Text", " quote", "paragraph", "chart")))).when(F.col("p_size") % 3 == 1, F.array(*map(F.lit, ("TABLE", "bullet-list", "table")))).otherwise(F.array(F.lit("unknown")))
     return table(spark, directory, "part").select("p_partkey", text.block_types(given).alias("block_types"))
+
+
+@query(r"""SELECT char, count(*) AS count FROM (SELECT unnest(string_split(regexp_replace(text, '[\p{Cc}\p{Cf}\p{Co}\p{Z}\s]', '', 'g'), '')) AS char FROM documents) WHERE char <> '' GROUP BY char""")
+def valid_characters(spark: SparkSession, directory: str) -> DataFrame:
+    from folioscope.operators import corpus
+
+    return corpus.valid_characters(table(spark, directory, "documents"), "text")
+
+
+@query("""WITH c AS (SELECT n_nationkey AS place, n_name AS item FROM nation) SELECT o_orderkey AS i, item FROM (SELECT o_orderkey FROM orders WHERE o_orderkey < (SELECT count(*) FROM nation)) JOIN c ON place = o_orderkey""")
+def rotated_names(spark: SparkSession, directory: str) -> DataFrame:
+    """The first round of a rotation: orders take the nations' names in turn."""
+    from folioscope.operators import render_plans
+
+    nations = table(spark, directory, "nation").select(F.col("n_nationkey").cast("long").alias("place"), F.col("n_name").alias("item"))
+    turns = table(spark, directory, "orders").select(F.col("o_orderkey").cast("long").alias("i"))
+    return render_plans.rotated(turns, nations, "item", "i").where(F.col("i") < nations.count()).select("i", "item")
+
+
+@query()
+def styled_plans(spark: SparkSession, directory: str) -> DataFrame:
+    """A style and a font for every order, by its seed."""
+    from folioscope.operators import render_plans
+    from folioscope.plans.reference import sample_seeds
+
+    seed = F.col("sample_seed")
+    rows = sample_seeds(spark, directory).select("o_orderkey", render_plans.style(seed, "diverse").alias("s"), render_plans.font(seed, ["NotoSans.ttf", "NotoSerif.ttf", "Mono.ttf"], {"noto": 3, "mono": 1}).alias("font"))
+    return rows.select("o_orderkey", "s.content_width", F.round("s.line_spacing", 4).alias("line_spacing"), "s.body_font_size", "font")

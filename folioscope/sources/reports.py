@@ -63,6 +63,7 @@ def gap(rows: DataFrame, reference: str, candidate: str) -> str:
 def rank_correlation(statistics: dict, interval: tuple[float, float] | None, confidence: float, matched: list[dict]) -> str:
     """A rank correlation report; it names the confidence that was used."""
     lines = [f"Models matched: {statistics['n']}", f"Spearman: {statistics['spearman']:.4f}", f"Kendall tau-b: {statistics['kendall_tau_b']:.4f}"]
+    lines += [f"{name} p-value (permutations): {statistics[k]:.4f}" for name, k in (("Spearman", "spearman_p"), ("Kendall", "kendall_p")) if statistics.get(k) is not None]
     if interval:
         lines.append(f"{confidence:.0%} interval of Spearman: {interval[0]:.4f} to {interval[1]:.4f}")
     lone = [r["synthetic_model"] or r["real_model"] for r in matched if not (r["synthetic_model"] and r["real_model"])]
@@ -105,13 +106,13 @@ def protocol(command: str, config: dict, summary: dict) -> str:
     return json.dumps({"timestamp": at, "command": command, "config": config, "summary": summary, "environment": versions}, ensure_ascii=False, indent=2, default=str)
 
 
-def discriminator(folds: list[dict], weights: list[dict], reference: str, candidate: str) -> str:
-    """How well two sources are told apart: the folds, their mean, and the features that tell most."""
+def discriminator(folds: list[dict], weights: list[dict], candidates: list[dict], reference: str, candidate: str) -> str:
+    """How well two sources are told apart: the folds, their mean, the features that tell most, and the rows told most surely."""
     known = [f["auc"] for f in folds if f["auc"] is not None]
     mean = sum(known) / len(known) if known else 0.5
     spread = (sum((a - mean) ** 2 for a in known) / len(known)) ** 0.5 if known else 0.0
     head = f"# Discriminator: {candidate} against {reference}\n\nMean AUC {mean:.4f}, deviation {spread:.4f}; 0.5 means that they can't be told apart.\n\n"
-    return head + markdown(folds, ["fold", "auc"]) + "\n" + markdown(weights, ["feature", "coefficient"])
+    return head + markdown(folds, ["fold", "auc", "accuracy"]) + "\n" + markdown(weights, ["feature", "coefficient"]) + "\n" + markdown(candidates, list(candidates[0]) if candidates else ["row"])
 
 
 def size_category(rows: int) -> str:
