@@ -2,8 +2,8 @@
 
 A rolling hash over the last pre-tokens marks landmarks that depend on the text
 around them alone.  From the last cut, the first landmark past the minimum size
-is moved to the nearest natural boundary (heading or paragraph, else sentence or
-line, else word) between the minimum and the maximum size, so an edit moves the
+is moved to the nearest natural boundary (heading near it, else heading or paragraph, else
+sentence or line, else word) between the minimum and the maximum size, so an edit moves the
 cuts next to it and the later ones fall back into step.  Each piece after the
 first starts at most ``overlap`` tokens before the end of the piece before, at the
 strongest boundary there.
@@ -34,6 +34,8 @@ OVERLAP = 100
 MIN_SHARE = 0.6
 WINDOW = 8
 EVERY = 64
+#: Share of the maximum within which a heading is preferred to a paragraph that is nearer.
+HEADING_SHARE = 0.25
 #: A pre-token of more tokens than this is divided into runs of RUN characters, between which it may be cut.
 LONG = 32
 RUN = 8
@@ -115,8 +117,9 @@ def chunk(encoder: Encoder, text: str | None, max_tokens: int = MAX_TOKENS, over
             k = int(np.searchsorted(marks, low))
             mark = int(marks[k]) if k < len(marks) and marks[k] <= high else high
             end = mark
-            for least in (PARAGRAPH, SENTENCE, WORD):
+            for least, reach in ((HEADING, fresh * HEADING_SHARE), (PARAGRAPH, fresh), (SENTENCE, fresh), (WORD, fresh)):
                 near = np.nonzero(level[low : high + 1] >= least)[0] + low
+                near = near[np.abs(total[near] - total[mark]) <= reach]
                 if len(near):
                     end = int(near[np.argmin(np.abs(total[near] - total[mark]))])
                     break

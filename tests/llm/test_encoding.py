@@ -98,3 +98,13 @@ def test_oversized(spark, encoder):
     assert chunking.chunk_corpus(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         chunking.chunk_corpus(df, max_tokens=100, overlap=60)
+
+
+def test_headings_near_a_landmark_are_preferred(encoder):
+    parts = []
+    for i, p in enumerate(PARAGRAPHS * 2):
+        parts += ([f"# Heading {i}"] if i % 2 else []) + [p]
+    text = "\n\n".join(parts)
+    pieces = checked(encoder, text, 500, 40)
+    at_heading = sum(text[b:].lstrip().startswith("# Heading") for _, b, _, _ in pieces[:-1])
+    assert at_heading >= 0.8 * (len(pieces) - 1)
