@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -242,30 +243,53 @@ def _names(changes: DataFrame, columns: dict[str, str]) -> dict[str, str]:
     links = [(r.field_name, r.new_name) for r in changes.where("change_kind = 'renamed'").select("field_name", "new_name").distinct().limit(MAX_FIELDS + 1).collect()]
     if len(links) > MAX_FIELDS:
         raise ValueError(f"more than {MAX_FIELDS} renames of distinct names: the keys look like data")
-    name = {c: c for c in columns}
-    grown = True
-    while grown:
-        grown = False
-        for a, b in links:
-            for x, y in ((a, b), (b, a)):
-                if x in name and y not in name:
-                    name[y] = name[x]
-                    grown = True
+    return _followed(links, {c: c for c in columns})
+
+
+def _followed(links: list[tuple[str, str]], name: dict[str, str]) -> dict[str, str]:
+    """name with the names that links lead to from those it holds."""
+    name, near = dict(name), {}
+    for a, b in links:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, []).append(a)
+    open_names = list(name)
+    while open_names:
+        x = open_names.pop(0)
+        for y in near.get(x, ()):
+            if y not in name:
+                name[y] = name[x]
+                open_names.append(y)
     return name
 
 
+def _own_names(changes: DataFrame, columns: dict[str, str], stream: str) -> DataFrame:
+    """(s, field, own): the column of a field by the renames of its own stream alone, for streams whose renames lead to a column."""
+    links = F.collect_set(F.struct(F.col("field_name").alias("a"), F.col("new_name").alias("b")))
+    rows = changes.where("change_kind = 'renamed'").groupBy(F.col(stream).alias("s")).agg(links.alias("links"))
+
+    @F.pandas_udf("array<struct<field:string,own:string>>")
+    def follow(given: pd.Series) -> pd.Series:
+        start = {c: c for c in columns}
+        return given.map(lambda pairs: [{"field": f, "own": c} for f, c in sorted(_followed([(p["a"], p["b"]) for p in pairs], start).items()) if f not in start])
+
+    return rows.select("s", F.inline(follow("links")))
+
+
 def consistent_entries(
     df: DataFrame, stream: str = "stream_name", number: str = "file_no", payload: str = "payload", file_id: str = "file_id", columns: dict[str, str] = ENTRY_COLUMNS
 ) -> DataFrame:
     """One row per entry: stream, number, entry_no, the typed columns, extra and failed_casts (columns whose value has no such type)."""
     fields = _stored_fields(df, stream, number, payload, file_id)
-    name = _names(_changes(df, fields, stream, number), columns)
+    changes = stored(_changes(df, fields, stream, number), "changes")
+    name = _names(changes, columns)
     # A wrapped value stands for what it holds: the only or first member of an array, the code or key of an object.
     inside = F.try_parse_json("text")
     inner = F.coalesce(*(F.try_variant_get(inside, p, "string") for p in ("$.code", "$.key", "$.value", "$[0]")))
     text = F.when(F.col("kind").isin("array", "object"), F.coalesce(inner, F.col("text"))).when(F.col("kind") != "null", F.col("text"))
+    # A stream's own renames come first: two streams may use one key differently.
     mapped = reduce(lambda c, x: c.when(F.col("field") == x[0], x[1]), sorted(name.items()), F.when(F.lit(False), "")).otherwise(F.col("field"))
-    rows = fields.select("stream", "no", "entry", mapped.alias("column"), text.alias("text"))
+    own = _own_names(changes, columns, stream).withColumnsRenamed({"s": "stream"})
+    rows = fields.join(own, ["stream", "field"], "left").select("stream", "no", "entry", F.coalesce("own", mapped).alias("column"), text.alias("text"))
     known = F.col("column").isin(*columns)
     wide = rows.groupBy("stream", "no", "entry").agg(
         *(F.max(F.when(F.col("column") == c, F.col("text"))).alias(f"raw_{i}") for i, c in enumerate(columns)),

@@ -53,6 +53,17 @@ def test_entries_and_broken_files(files):
     assert ("language.code", "string") in paths and ("score", "boolean") in paths
 
 
+def test_a_key_that_two_streams_use_differently(spark):
+    # In stream a the key "val" is the former kind, in stream b the former tone.
+    files = [
+        ("a", 1, {"kind": "red", "tone": "soft", "k": "x"}), ("a", 2, {"val": "red", "tone": "soft", "k": "x"}),
+        ("b", 1, {"kind": "red", "tone": "soft", "k": "x"}), ("b", 2, {"kind": "red", "val": "soft", "k": "x"}),
+    ]
+    rows = [(i, s, n, json.dumps([p] * 9), "", "") for i, (s, n, p) in enumerate(files)]
+    out = schema_drift.consistent_entries(spark.createDataFrame(rows, SCHEMA), columns={"kind": "string", "tone": "string"})
+    assert {(r.kind, r.tone) for r in out.collect()} == {("red", "soft")} and out.count() == 36
+
+
 def test_values_of_any_depth(spark):
     deep = {"a": {"b": [{"c": {"d": [{"e": {"f": 7}}]}}]}, "s": "[{not nested}]"}
     rows = [(1, "s", 1, json.dumps(deep), "", ""), (2, "s", 2, json.dumps({"z": deep["a"], "s": "x"}), "", "")]
