@@ -317,3 +317,42 @@ def styled_plans(spark: SparkSession, directory: str) -> DataFrame:
     seed = F.col("sample_seed")
     rows = sample_seeds(spark, directory).select("o_orderkey", render_plans.style(seed, "diverse").alias("s"), render_plans.font(seed, ["NotoSans.ttf", "NotoSerif.ttf", "Mono.ttf"], {"noto": 3, "mono": 1}).alias("font"))
     return rows.select("o_orderkey", "s.content_width", F.round("s.line_spacing", 4).alias("line_spacing"), "s.body_font_size", "font")
+
+
+@query(r"""SELECT p_partkey, 'https://host.org/' || replace(p_name, ' ', '-') AS repository, 'Title: ' || p_name AS ungrounded, '\geq ' || p_name || ' \leq' AS formula, p_name || ' ' || p_brand AS tagged,
+    CASE p_size % 3 WHEN 0 THEN p_partkey::VARCHAR WHEN 1 THEN '- ' || p_partkey || ' -' ELSE p_partkey || ' / ' || p_size END AS page_label, translate(lower(trim(p_type)), '- ', '__') AS canonical_type, p_name AS neutral,
+    p_size % 2 = 0 AS table_line, p_name AS item, CASE WHEN p_size % 2 = 0 THEN p_name ELSE p_name || ' ' || p_brand END AS output FROM (SELECT *, trim(p_name) AS n FROM part)""")
+def marked_names(spark: SparkSession, directory: str) -> DataFrame:
+    """Part names inside the marks of remotes, models, pages and lists, and out of them again."""
+    name, number = F.col("p_name"), F.col("p_partkey")
+    join = lambda *parts: F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts))
+    labels = [text.page_label(number, F.col("p_size"), s) for s in ("plain", "dashed", "of_total")]
+    return table(spark, directory, "part").select(
+        "p_partkey", text.repository_url(join("git@host.org:", F.replace(name, F.lit(" "), F.lit("-")), ".git")).alias("repository"),
+        text.without_grounding(join("Title: <|ref|>", name, "<|/ref|><|det|>[[1,2]]<|/det|>")).alias("ungrounded"), text.tidy_formula(join("$\\ge  ", name, " \\le$")).alias("formula"),
+        F.array_join(text.tagged(join("x<char>", name, "</char>y<char>", F.col("p_brand"), "</char>"), "char"), " ").alias("tagged"),
+        F.when(F.col("p_size") % 3 == 0, labels[0]).when(F.col("p_size") % 3 == 1, labels[1]).otherwise(labels[2]).alias("page_label"), text.canonical_type(F.col("p_type")).alias("canonical_type"),
+        text.neutral(join("> - 1. # ", name)).alias("neutral"), text.is_table_line(F.when(F.col("p_size") % 2 == 0, join("| ", name, " |")).otherwise(join("a | ", name))).alias("table_line"),
+        text.item_text(join(" **12.** ", name, " ")).alias("item"),
+        text.tagged_output(F.when(F.col("p_size") % 2 == 0, join("assistant\n<p>", name, "</p>")).otherwise(join("<char>", name, "</char> <char>", F.col("p_brand"), "</char>"))).alias("output"),
+    )
+
+
+@query("""SELECT p_partkey, greatest(0.0, least(1.0, coalesce(try_cast(p_type AS DOUBLE), 0.25))) AS ratio, greatest(0.0, least(1.0, (p_size - 10) / 20.0)) AS share FROM part""")
+def coerced_ratios(spark: SparkSession, directory: str) -> DataFrame:
+    """Ratios from 0 to 1, with a default where a text is no number."""
+    return table(spark, directory, "part").select("p_partkey", text.ratio(F.col("p_type"), 0.25).alias("ratio"), text.ratio((F.col("p_size") - 10) / 20.0, 0).alias("share"))
+
+
+@query(f"""WITH v AS (SELECT * FROM report WHERE {_OK} AND NOT {_BLANK}) SELECT run_id, count(*) AS valid, (SELECT count(*) FROM report r WHERE r.run_id = v.run_id) - count(*) AS left_out FROM v GROUP BY run_id""")
+def valid_shares(spark: SparkSession, directory: str) -> DataFrame:
+    """Results of each run that are scored, and those that are not."""
+    report = table(spark, directory, "report")
+    scored = evaluation.valid(report).groupBy("run_id").agg(F.count("*").alias("valid"))
+    return scored.join(report.groupBy("run_id").agg(F.count("*").alias("n")), "run_id").select("run_id", "valid", (F.col("n") - F.col("valid")).alias("left_out"))
+
+
+@query("""SELECT coalesce(nullif(regexp_extract(lower(trim(lang)), '^[a-z]+'), ''), 'unknown') AS language, count(*) AS documents, count(DISTINCT source) AS sources FROM documents GROUP BY 1""")
+def document_languages(spark: SparkSession, directory: str) -> DataFrame:
+    code = F.coalesce(text.language_code(F.col("lang")), F.lit("unknown"))
+    return table(spark, directory, "documents").groupBy(code.alias("language")).agg(F.count("*").alias("documents"), F.countDistinct("source").alias("sources"))
