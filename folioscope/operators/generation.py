@@ -12,6 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope.kernels import writing
+from folioscope.operators import tables_generation
+
 #: Width of an A4 page, and the steps from a base seed to that of a sample and of an attempt.
 A4_MM, A4_INCH = 210.0, 210.0 / 25.4
 SAMPLE_STEP, ATTEMPT_STEP = 1009, 9176
@@ -184,8 +187,9 @@ def novelty(signature: str, before: list[str]) -> float:
     return 1 - max((SequenceMatcher(None, signature, x).ratio() for x in before), default=0.0)
 
 
-#: Block kinds with their weights when a page is filled.
-BLOCKS = {"paragraph": 5, "bullet": 2, "numbered": 1, "checklist": 1, "table": 2, "formula": 1, "quote": 1, "code": 1, "rule": 1}
+#: Block kinds with their weights when a page is filled, and the share of tables that are tried with merged cells.
+BLOCKS = {"paragraph": 5, "bullet": 2, "numbered": 1, "checklist": 1, "table": 2, "formula": 1, "quote": 1, "code": 1, "command": 0.5, "image": 0.5, "rule": 1}
+MERGED = 0.3
 
 
 def compose_page(rng: random.Random, corpus: list[str], blocks: Mapping[str, float] = BLOCKS, required: tuple[str, ...] = ()) -> tuple[str, list[str]]:
@@ -200,8 +204,10 @@ def compose_page(rng: random.Random, corpus: list[str], blocks: Mapping[str, flo
         "bullet": lambda: "\n".join(f"- {text(1)}" for _ in range(rng.randint(2, 4))),
         "numbered": lambda: "\n".join(f"{i}. {text(1)}" for i in range(1, rng.randint(3, 5))),
         "checklist": lambda: "\n".join(f"- [{rng.choice(' x')}] {text(1)}" for _ in range(rng.randint(2, 4))),
-        "table": lambda: _order_table(rng),
-        "formula": lambda: f"$$\n{_formula(rng)}\n$$",
+        "table": lambda: _table(rng, corpus),
+        "formula": lambda: f"$$\n{writing.merged_scripts(writing.formula(rng))}\n$$",
+        "command": lambda: f"```bash\nconvert page_{rng.randint(1, 999)}.png --dpi {rng.choice((150, 200, 300))}\n```",
+        "image": lambda: f"![{text(1)[:40]}](img/{rng.randint(1, 999)}.png)",
         "quote": lambda: f"> {text(1)}",
         "code": lambda: f"```\nload('{rng.randint(1, 999)}')\n```",
         "rule": lambda: "---",
@@ -214,17 +220,15 @@ def compose_page(rng: random.Random, corpus: list[str], blocks: Mapping[str, flo
     return "\n\n".join(out), kinds
 
 
-def _formula(rng: random.Random) -> str:
-    a, b = rng.sample("abcdkmnpqrsxyz", 2)
-    n = rng.randint(2, 99)
-    return rng.choice([rf"\frac{{{a} + {n}}}{{{b}}}", rf"\sqrt{{{a}^2 + {b}^2}} \leq {n}", rf"\sum_{{i=1}}^{{{n}}} {a}_i \cdot {b}_i", rf"{a} = \alpha {b} - {n}"])
-
-
-def _order_table(rng: random.Random) -> str:
-    """An order: amount = quantity x price in every row, and a total row."""
-    rows = [(f"item {i}", rng.randint(1, 20), rng.randint(1, 500) * 10) for i in range(1, rng.randint(3, 5))]
-    lines = [f"| {n} | {q} | {p} | {q * p} |" for n, q, p in rows]
-    return "\n".join(["| item | quantity | price | amount |", "|---|---|---|---|", *lines, f"| total |  |  | {sum(q * p for _, q, p in rows)} |"])
+def _table(rng: random.Random, words: list[str]) -> str:
+    """A table of one of the kinds, with its invariants; plain, or with merged cells where its rows allow it."""
+    kind = rng.choice(list(tables_generation.SCHEMAS))
+    rows, columns = tables_generation.rows_of(kind, rng.randint(2, 5), rng, words), tables_generation.columns_of(kind, 5)
+    if rng.random() < MERGED and (merged := tables_generation.merged_table(kind, rows, columns)):
+        return tables_generation.html_table(merged)
+    if rng.random() < MERGED and (grouped := tables_generation.grouped_table(kind, rows, columns, rng)):
+        return tables_generation.html_table(*grouped)
+    return tables_generation.markdown_table(kind, rows, columns)
 
 
 def generate_pages(spark: SparkSession, total: int, corpus: list[str], seed: int = 42, shard_size: int = 100) -> DataFrame:

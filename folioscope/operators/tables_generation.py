@@ -8,6 +8,7 @@ import re
 from collections.abc import Callable
 
 from folioscope.kernels.tables import span_grid
+from folioscope.kernels.writing import grouped_head, half_years
 
 #: Column keys of each table kind, those that may be dropped last; heads in English, Korean and Japanese.
 SCHEMAS = {
@@ -23,6 +24,7 @@ HEADS = {
     "item": ("Item", "항목", "項目"), "budget": ("Budget", "예산", "予算"), "spent": ("Spent", "집행", "執行"), "left": ("Left", "잔액", "残額"), "date": ("Date", "날짜", "日付"), "time": ("Time", "시간", "時刻"),
     "content": ("Content", "내용", "内容"), "place": ("Place", "장소", "場所"), "name": ("Name", "성명", "氏名"), "department": ("Department", "부서", "部署"), "position": ("Position", "직위", "役職"),
     "phone": ("Phone", "연락처", "電話"), "quantity": ("Quantity", "수량", "数量"), "price": ("Price", "단가", "単価"), "amount": ("Amount", "금액", "金額"), "region": ("Region", "지역", "地域"),
+    "period": ("Period", "기간", "期間"), "amounts": ("Amounts", "금액 내역", "金額内訳"), "h1": ("First half", "상반기", "上半期"), "h2": ("Second half", "하반기", "下半期"),
 }
 LANGUAGES = ("en", "ko", "ja")
 #: Share of financial rows with a negative prior value.
@@ -134,15 +136,38 @@ def merged_table(kind: str, rows: list[dict], columns: list[str], lang: str = "e
     return table
 
 
-def html_table(rows: list[list[tuple[str, int, int]]]) -> str:
-    """HTML of a table with spans, the first row as heads."""
+#: Columns that stand below a common head, by table kind; a year of statistics has two halves.
+GROUPS = {"financial": [("period", ("current", "prior"))], "budget": [("amounts", ("budget", "spent", "left"))]}
+
+
+def grouped_table(kind: str, rows: list[dict], columns: list[str], rng: random.Random, lang: str = "en") -> tuple[list[list[tuple[str, int, int]]], int] | None:
+    """(rows of (text, colspan, rowspan), number of head rows) with grouped heads; years of statistics are parted into halves that add up; None if nothing is grouped."""
+    groups = GROUPS.get(kind, [])
+    if kind == "statistics":
+        years = columns[1 : 1 + max(1, (len(columns) - 1) // 2)]
+        rows = [dict(r) for r in rows]
+        for r in rows:
+            for y in years:
+                r[f"{y}_h1"], r[f"{y}_h2"] = half_years(int(r[y]), rng)
+        groups = [(y, (f"{y}_h1", f"{y}_h2")) for y in years]
+        columns = [columns[0], *(k for _, keys in groups for k in keys)]
+    heads = grouped_head(columns, groups, lambda key: head(key.rsplit("_", 1)[-1] if key.endswith(("_h1", "_h2")) else key, lang))
+    if len(heads) < 2:
+        return None
+    body = [[(f"{r[c]:,}" if kind == "statistics" and c != columns[0] else shown(c, r[c], lang), 1, 1) for c in columns] for r in rows]
+    span_grid([*heads, *body], len(columns))
+    return [*heads, *body], len(heads)
+
+
+def html_table(rows: list[list[tuple[str, int, int]]], heads: int = 1) -> str:
+    """HTML of a table with spans, its first rows as heads."""
 
     def cell(tag: str, text: str, wide: int, high: int) -> str:
         spans = f' colspan="{wide}"' * (wide > 1) + f' rowspan="{high}"' * (high > 1)
         return f"<{tag}{spans}>{html.escape(text)}</{tag}>"
 
-    lines = ["<tr>" + "".join(cell("td" if i else "th", *c) for c in row) + "</tr>" for i, row in enumerate(rows)]
-    return f"<table><thead>{lines[0]}</thead><tbody>{''.join(lines[1:])}</tbody></table>"
+    lines = ["<tr>" + "".join(cell("td" if i >= heads else "th", *c) for c in row) + "</tr>" for i, row in enumerate(rows)]
+    return f"<table><thead>{''.join(lines[:heads])}</thead><tbody>{''.join(lines[heads:])}</tbody></table>"
 
 
 _KOREAN = "가나다라마바사아자차카타파하"

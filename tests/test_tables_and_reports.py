@@ -26,6 +26,14 @@ def test_row_invariants(seed):
         if merged:
             span_grid(merged, len(columns))
             assert to_cells(tg.html_table(merged))["num_rows"] == len(merged)
+        grouped = tg.grouped_table(kind, rows, tg.columns_of(kind, 5), rng)
+        assert (grouped is not None) == (kind in ("financial", "budget", "statistics"))
+        if grouped:
+            made, heads = grouped
+            assert heads == 2 and tg.html_table(made, heads).count("</th>") == sum(map(len, made[:2]))
+            if kind == "statistics":
+                number = lambda t: int(t.replace(",", ""))
+                assert [number(a[1][0]) + number(a[2][0]) for a in made[2:]] == [r["y1"] for r in rows]
 
 
 def test_formats():
