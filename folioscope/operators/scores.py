@@ -201,3 +201,9 @@ def metric_table(scored: DataFrame, metrics: list[str], keys: list[str] = ()) ->
     """(keys, metric, mean, std, min, max) of score columns; null and NaN are left out."""
     values = scored.select(*keys, *(F.nullif(F.col(m).cast("double"), F.lit(float("nan"))).alias(m) for m in metrics)).unpivot(list(keys), metrics, "metric", "v").where("v is not null")
     return values.groupBy(*keys, "metric").agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+
+
+def reading_orders(df: DataFrame, key: str, prediction: str, truth: str) -> DataFrame:
+    """(key, kendall_tau, spearman_rho, order_accuracy) of two arrays of reading orders."""
+    number = lambda values: [{"reading_order": v} for v in values or []]
+    return _kernel(df, key, [prediction, truth], list(layout.reading_order([], [])), lambda a, b: layout.reading_order(number(a), number(b)))

@@ -356,3 +356,53 @@ def valid_shares(spark: SparkSession, directory: str) -> DataFrame:
 def document_languages(spark: SparkSession, directory: str) -> DataFrame:
     code = F.coalesce(text.language_code(F.col("lang")), F.lit("unknown"))
     return table(spark, directory, "documents").groupBy(code.alias("language")).agg(F.count("*").alias("documents"), F.countDistinct("source").alias("sources"))
+
+
+# ---- elements and items --------------------------------------------------------------------------------------------
+
+_LINES = """SELECT l_orderkey, l_linestatus AS kind, l_returnflag = 'R' AS moved, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice, l_shipdate) AS n, l_quantity FROM lineitem"""
+
+
+def _numbered_lines(spark: SparkSession, directory: str) -> DataFrame:
+    place = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_extendedprice", "l_shipdate")
+    return table(spark, directory, "lineitem").withColumn("n", F.row_number().over(place))
+
+
+@query(f"""WITH l AS ({_LINES}), k AS (SELECT l_orderkey, kind, count(*) AS n, count(*) FILTER (NOT moved) AS hit FROM l GROUP BY l_orderkey, kind),
+    t AS (SELECT l_orderkey, sum(n)::DOUBLE AS n, sum(hit)::DOUBLE AS hit, avg(hit / n::DOUBLE) AS map FROM k GROUP BY l_orderkey)
+    SELECT l_orderkey, round(hit / (2 * n - hit), 6) AS text_score, 1.0::DOUBLE AS table_teds, round(hit / (2 * n - hit), 6) AS overall_score, round(map, 6) AS layout_map, round(hit / n, 6) AS layout_precision, round(hit / n, 6) AS layout_recall,
+    round(hit / n, 6) AS layout_f1, 1.0::DOUBLE AS kendall_tau, 1.0::DOUBLE AS spearman_rho, 1.0::DOUBLE AS order_accuracy FROM t WHERE n > 1""")
+def page_elements(spark: SparkSession, directory: str) -> DataFrame:
+    """Lines of an order as elements of a page; those that were returned stand elsewhere in the predicted page."""
+    n = F.col("n").cast("double")
+    box = lambda shift: F.array(shift, 10 * n, shift + 100, 10 * n + 9)
+    moved = F.when(F.col("l_returnflag") == "R", 1000.0).otherwise(0.0)
+    element = lambda b: F.struct(F.col("l_linestatus").alias("type"), F.format_string("line %d of the order", "n").alias("text"), b.alias("bounding_box"), F.col("n").alias("reading_order"))
+    by_n = lambda c: F.transform(F.sort_array(F.collect_list(F.struct("n", c.alias("e")))), lambda x: x["e"])
+    pages = _numbered_lines(spark, directory).groupBy("l_orderkey").agg(by_n(element(box(moved))).alias("p"), by_n(element(box(F.lit(0.0)))).alias("t")).where(F.size("t") > 1)
+    names = ("text_score", "table_teds", "overall_score", "layout_map", "layout_precision", "layout_recall", "layout_f1", "kendall_tau", "spearman_rho", "order_accuracy")
+    return scores.document_scores(pages, "l_orderkey", "p", "t").select("l_orderkey", *(_r(F.col(c)).alias(c) for c in names))
+
+
+@query(f"""WITH l AS (SELECT l_orderkey, n, l_quantity::DOUBLE AS q FROM ({_LINES})), r AS (SELECT *, rank() OVER (PARTITION BY l_orderkey ORDER BY q) + (count(*) OVER (PARTITION BY l_orderkey, q) - 1) / 2.0 AS rq FROM l),
+    p AS (SELECT a.l_orderkey, sum(sign(b.q - a.q)) AS s, sum(abs(sign(b.q - a.q))) AS x, count(*) AS y FROM l a JOIN l b ON a.l_orderkey = b.l_orderkey AND a.n < b.n GROUP BY a.l_orderkey),
+    c AS (SELECT l_orderkey, corr(rq, n) AS rho FROM r GROUP BY l_orderkey), g AS (SELECT l_orderkey, count(*) FILTER (q > b) / count(*)::DOUBLE AS same FROM (SELECT l_orderkey, q, lag(q) OVER (PARTITION BY l_orderkey ORDER BY n) AS b FROM l) WHERE b IS NOT NULL GROUP BY l_orderkey)
+    SELECT l_orderkey, round(coalesce(s / nullif(sqrt(x::DOUBLE * y), 0), 0), 6) AS kendall_tau, round(CASE WHEN isnan(coalesce(rho, 0)) THEN 0 ELSE coalesce(rho, 0) END, 6) AS spearman_rho, round(same, 6) AS order_accuracy FROM p JOIN c USING (l_orderkey) JOIN g USING (l_orderkey)""")
+def reading_orders(spark: SparkSession, directory: str) -> DataFrame:
+    """Quantities of the lines of an order as a predicted reading order, against the lines' numbers."""
+    ordered = F.sort_array(F.collect_list(F.struct("n", F.col("l_quantity").cast("double").alias("q"))))
+    rows = _numbered_lines(spark, directory).groupBy("l_orderkey").agg(ordered.alias("l")).where(F.size("l") > 1)
+    rows = rows.select("l_orderkey", F.transform("l", lambda x: x["q"]).alias("p"), F.transform("l", lambda x: x["n"].cast("double")).alias("t"))
+    out = scores.reading_orders(rows, "l_orderkey", "p", "t")
+    return out.select("l_orderkey", *(_r(F.col(c)).alias(c) for c in out.columns[1:]))
+
+
+@query(f"""WITH l AS (SELECT l_orderkey, count(*) AS p, count(*) FILTER (NOT moved) AS t, count(*) FILTER (NOT moved AND kind = 'F') AS changed FROM ({_LINES}) GROUP BY l_orderkey)
+    SELECT l_orderkey, round(t / p::DOUBLE, 6) AS precision, CASE WHEN t = 0 THEN 1.0 ELSE 1.0 END::DOUBLE AS recall, round(2 * (t / p::DOUBLE) / (t / p::DOUBLE + 1), 6) AS f1, round(CASE WHEN t = 0 THEN 0 ELSE 1 - 0.5 * changed / t END, 6) AS item_accuracy FROM l""")
+def order_items(spark: SparkSession, directory: str) -> DataFrame:
+    """Lines of an order as receipt items, those that weren't returned as the truth; the quantity of finished lines is misread."""
+    wrong = F.when(F.col("l_linestatus") == "F", F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    item = lambda quantity: F.struct(F.md5(F.concat_ws("/", "l_orderkey", "n")).alias("name"), quantity.cast("string").alias("quantity"), F.col("l_extendedprice").cast("string").alias("total_price"))
+    lines = _numbered_lines(spark, directory).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item(wrong))).alias("p"), F.sort_array(F.collect_list(F.when(F.col("l_returnflag") != "R", item(F.col("l_quantity"))))).alias("t"))
+    out = scores.item_scores(lines, "l_orderkey", "p", "t")
+    return out.select("l_orderkey", *(_r(F.col(c)).alias(c) for c in out.columns[1:]))

@@ -369,14 +369,6 @@ def metric_fields(spark: SparkSession, directory: str) -> DataFrame:
     return rows.groupBy("dataset_id", "field").agg(F.count("*").alias("runs"), _r(F.avg("v")).alias("mean"), _r(F.min("v")).alias("least"), _r(F.max("v")).alias("most"))
 
 
-@query()
-def order_items(spark: SparkSession, directory: str) -> DataFrame:
-    """Lines of an order as receipt items, those that weren't returned as the truth."""
-    item = F.struct(F.concat_ws(" ", F.lit("part"), "l_partkey").alias("name"), F.col("l_quantity").cast("string").alias("quantity"), F.col("l_extendedprice").cast("string").alias("total_price"))
-    lines = table(spark, directory, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item)).alias("p"), F.sort_array(F.collect_list(F.when(F.col("l_returnflag") != "R", item))).alias("t"))
-    return scores.item_scores(lines, "l_orderkey", "p", "t")
-
-
 # ---- distributions -------------------------------------------------------------------------------------------------
 
 _FIELDS = ("distribution_profile", "capture_channel", "capture_scenario", "visual_difficulty", "target_dpi")
