@@ -49,7 +49,10 @@ def _files(df: DataFrame, stream: str, number: str, payload: str, file_id: str)
     """One row per (stream, number): the payload of the least id, as an array of entries."""
     rows = df.select(df[stream].alias("stream"), df[number].cast("int").alias("no"), df[file_id].alias("id"), df[payload].alias("payload"))
     first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "payload"))
-    rows = rows.groupBy("stream", "no").agg(first.alias("f")).select("stream", "no", "f.payload")
+    # Parsing costs far more than the rows' bytes tell: a stated number of partitions keeps them from being merged into a few tasks.
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    rows = rows.repartition(parts, "stream", "no").groupBy("stream", "no").agg(first.alias("f")).select("stream", "no", "f.payload")
     body = F.trim(F.regexp_replace("payload", r"^[\s﻿]+", ""))
     return rows.select("stream", "no", F.try_parse_json(F.when(body.startswith("{"), F.concat(F.lit("["), body, F.lit("]"))).otherwise(body)).alias("v"))
 

@@ -406,3 +406,85 @@ def order_items(spark: SparkSession, directory: str) -> DataFrame:
     lines = _numbered_lines(spark, directory).groupBy("l_orderkey").agg(F.sort_array(F.collect_list(item(wrong))).alias("p"), F.sort_array(F.collect_list(F.when(F.col("l_returnflag") != "R", item(F.col("l_quantity"))))).alias("t"))
     out = scores.item_scores(lines, "l_orderkey", "p", "t")
     return out.select("l_orderkey", *(_r(F.col(c)).alias(c) for c in out.columns[1:]))
+
+
+# ---- pages made of part names --------------------------------------------------------------------------------------
+
+_LETTERS = "regexp_replace({0}, '[^A-Za-z0-9_]', '', 'g')"
+
+
+@query(f"""WITH p AS (SELECT p_partkey, p_size % 4 AS c, {_LETTERS.format('p_name')} AS t, {_LETTERS.format('p_brand')} AS g FROM part),
+    s AS (SELECT p_partkey, c, CASE WHEN c = 2 THEN greatest(0, 1 - levenshtein(t, g) / length(t)::DOUBLE) ELSE 1.0 END AS text_score, CASE WHEN c = 1 THEN 0.0 ELSE 1.0 END AS table_teds, 1.0 AS formula_score FROM p),
+    o AS (SELECT *, CASE WHEN c = 1 OR c = 2 AND text_score = 0 THEN 2 / 3.0 WHEN c = 3 THEN 0.0 ELSE 1.0 END AS order_score FROM s)
+    SELECT p_partkey, round(text_score, 6) AS text_score, table_teds::DOUBLE AS table_teds, formula_score::DOUBLE AS formula_score, round(order_score, 6)::DOUBLE AS order_score, round((text_score + table_teds + formula_score + order_score) / 4, 6)::DOUBLE AS overall_score FROM o""")
+def part_pages(spark: SparkSession, directory: str) -> DataFrame:
+    """Pages of a name, a table and a formula, against pages without the table, with another name, or in another order."""
+    head = F.concat(F.lit("| key | size |\n|---|---|\n| "), F.col("p_partkey").cast("string"), F.lit(" | "), F.col("p_size").cast("string"), F.lit(" |"))
+    formula = F.concat(F.lit("$$\\frac{x}{"), F.col("p_partkey").cast("string"), F.lit("}$$"))
+    page = lambda *blocks: F.concat_ws("\n\n", *blocks)
+    kind = F.col("p_size") % 4
+    guess = F.when(kind == 1, page("p_name", formula)).when(kind == 2, page("p_brand", head, formula)).when(kind == 3, page(formula, head, F.col("p_name"))).otherwise(page("p_name", head, formula))
+    rows = table(spark, directory, "part").select("p_partkey", guess.alias("prediction"), page("p_name", head, formula).alias("ground_truth"))
+    return scores.page_scores(rows, "p_partkey").select("p_partkey", *(_r(F.col(c)).alias(c) for c in ("text_score", "table_teds", "formula_score", "order_score", "overall_score")))
+
+
+@query("""SELECT p_partkey, t.position, t.block_type, length(t.content)::BIGINT AS chars FROM (SELECT p_partkey, unnest([{'position': 0, 'block_type': 'text', 'content': p_name || chr(10) || chr(10)}, {'position': 1, 'block_type': 'formula', 'content': 'x = ' || p_partkey},
+    {'position': 2, 'block_type': 'text', 'content': chr(10) || p_brand || chr(10)}, {'position': 3, 'block_type': 'table', 'content': '<table><tr><td>' || p_size || '</td></tr></table>'}]) AS t FROM part)""")
+def part_blocks(spark: SparkSession, directory: str) -> DataFrame:
+    """Blocks of pages of a name, a formula, a brand and a table."""
+    page = F.concat(F.col("p_name"), F.lit("\n\n\\[ x = "), F.col("p_partkey").cast("string"), F.lit(" \\]\n"), F.col("p_brand"), F.lit("\n<table><tr><td>"), F.col("p_size").cast("string"), F.lit("</td></tr></table>\n"))
+    out = scores.page_blocks(table(spark, directory, "part").select("p_partkey", page.alias("page")), "p_partkey", "page")
+    return out.select("p_partkey", "position", "block_type", F.char_length("content").cast("long").alias("chars"))
+
+
+@query("""WITH d AS (SELECT p_partkey, p_name AS t, p_brand AS g, levenshtein(p_name, p_brand)::DOUBLE AS e FROM part)
+    SELECT p_partkey, round(e / length(t), 6) AS cer, (t = g)::INT::DOUBLE AS exact, round(greatest(0, 1 - e / length(t)), 6) AS char_accuracy, round(e / length(t), 6) AS ned FROM d""")
+def name_rates(spark: SparkSession, directory: str) -> DataFrame:
+    out = scores.error_rates(table(spark, directory, "part"), "p_partkey", "p_brand", "p_name", rates=("cer", "exact", "char_accuracy", "ned"))
+    return out.select("p_partkey", *(_r(F.col(c)).alias(c) for c in out.columns[1:]))
+
+
+@query("""WITH d AS (SELECT p_partkey, replace(p_name, ' ', '') AS t, replace(p_brand, ' ', '') AS g FROM part) SELECT p_partkey, round(levenshtein(t, g) / length(t)::DOUBLE, 6) AS wer, round(levenshtein(t, g) / length(t)::DOUBLE, 6) AS native_wer FROM d""")
+def letter_wer(spark: SparkSession, directory: str) -> DataFrame:
+    """Word error rates of texts whose words are single letters, by the kernel and by the expression."""
+    spaced = lambda c: F.array_join(F.filter(F.split(c, ""), lambda x: F.trim(x) != ""), " ")
+    parts = table(spark, directory, "part").select("p_partkey", spaced("p_name").alias("t"), spaced("p_brand").alias("g"))
+    rows = parts.select("p_partkey", "t", "g", _r(distance.wer(F.col("t"), F.col("g"))).alias("native_wer"))
+    return scores.error_rates(rows, "p_partkey", "g", "t", rates=("wer",)).withColumn("wer", _r(F.col("wer"))).join(rows.select("p_partkey", "native_wer"), "p_partkey")
+
+
+@query("""SELECT p_partkey, md5(p_name) || chr(10) || 'page ' || p_size AS page FROM part""")
+def unfurnished_pages(spark: SparkSession, directory: str) -> DataFrame:
+    """Pages freed of their header, footer and number."""
+    body = F.concat_ws("\n", F.concat(F.lit("## "), F.upper("p_name")), F.md5("p_name"), F.concat(F.lit("page "), "p_size"), F.concat(F.lit("**"), F.col("p_brand"), F.lit(" ")), F.concat(F.lit(" "), F.col("p_partkey").cast("string")))
+    furniture = F.struct(F.col("p_name").alias("header"), F.col("p_brand").alias("footer"), F.col("p_partkey").cast("string").alias("page_number"))
+    rows = table(spark, directory, "part").select("p_partkey", body.alias("page"), furniture.alias("furniture"))
+    return scores.without_furniture(rows, "page", "furniture").select("p_partkey", F.regexp_replace("page", "\n$", "").alias("page"))
+
+
+@query("""SELECT p_partkey, 12.0::DOUBLE AS width, 18.0::DOUBLE AS height, 1.5::DOUBLE AS aspect_ratio, (p_size * 5)::DOUBLE AS background_luma, (p_size * 5)::DOUBLE AS ink_luma, 0.0::DOUBLE AS contrast, 0.0::DOUBLE AS skew_deg, 0.0::DOUBLE AS noise_sigma, 0.0::DOUBLE AS ink_ratio, 0.0::DOUBLE AS colorfulness,
+    1.0::DOUBLE AS is_grayscale, (p_size * 5 < 20 OR p_size * 5 > 235)::INT::DOUBLE AS is_binary, (p_size * 5 < 200)::INT::DOUBLE AS is_colored_background, 0.0::DOUBLE AS text_line_count, 1.0::DOUBLE AS margin_top_frac, 1.0::DOUBLE AS column_count, 0.0::DOUBLE AS rule_count FROM part""")
+def page_pixels(spark: SparkSession, directory: str) -> DataFrame:
+    """Statistics of blank pages of one grey, a page for each part."""
+    from folioscope.operators.measure import measure
+
+    grey = F.unhex(F.repeat(F.lpad(F.hex((F.col("p_size") * 5).cast("long")), 2, "0"), 12 * 18 * 3))
+    pages = table(spark, directory, "part").select(F.col("p_partkey").cast("string").alias("path"), grey.alias("content"), F.lit(12).alias("width"), F.lit(18).alias("height"))
+    out = measure(pages)
+    names = ("width", "height", "aspect_ratio", "background_luma", "ink_luma", "contrast", "skew_deg", "noise_sigma", "ink_ratio", "colorfulness", "is_grayscale", "is_binary", "is_colored_background", "text_line_count", "margin_top_frac", "column_count", "rule_count")
+    return out.select(F.col("path").cast("long").alias("p_partkey"), *(_r(F.col(c)).alias(c) for c in names))
+
+
+_ITEM = rf"{_stripped("regexp_replace(" + _stripped('x') + r", '^(?:\*{0,2}\d+[.)]\*{0,2}|[-*•])\s*', '')")}"
+
+
+@query(rf"""WITH p AS (SELECT doc_id, CASE WHEN coalesce(starts_with(lower(lang), 'en'), false) THEN list_transform(regexp_split_to_array(text, '\n\s*\n'), lambda g: array_to_string(list_filter(list_transform(string_split(g, chr(10)), lambda x: {_ITEM}), lambda x: x <> ''), ' '))
+        ELSE list_transform(string_split(text, chr(10)), lambda x: {_ITEM}) END AS l FROM documents WHERE text IS NOT NULL),
+    e AS (SELECT doc_id, unnest(l) AS item, generate_subscripts(l, 1) - 1 AS position FROM p) SELECT doc_id, position::INT AS position, md5(item) AS item_hash FROM e WHERE item <> ''""")
+def generated_items(spark: SparkSession, directory: str) -> DataFrame:
+    """Paragraphs of English pages, lines of the others, without numbers and bullets."""
+    from folioscope.operators import corpus
+
+    docs = table(spark, directory, "documents").where("text is not null")
+    out = corpus.response_items(docs, "text", ["doc_id"], F.coalesce(F.lower("lang").startswith("en"), F.lit(False)))
+    return out.select("doc_id", "position", F.md5("item").alias("item_hash"))

@@ -153,13 +153,6 @@ def wiki_parts(spark: SparkSession, directory: str) -> DataFrame:
     return out.select("kind", "item", F.col("first.doc_id").alias("first_doc"), F.col("first.n").alias("first_line"))
 
 
-@query()
-def generated_items(spark: SparkSession, directory: str) -> DataFrame:
-    """Paragraphs of English pages, lines of the others, without numbers and bullets."""
-    docs = table(spark, directory, "documents").where("text is not null")
-    return corpus.response_items(docs, "text", ["doc_id"], F.coalesce(F.lower("lang").startswith("en"), F.lit(False)))
-
-
 @query("""SELECT text, min(doc_id) AS first FROM documents WHERE text IS NOT NULL GROUP BY text""")
 def first_seen_texts(spark: SparkSession, directory: str) -> DataFrame:
     return corpus.first_seen(table(spark, directory, "documents"), "text", ["doc_id"]).select("text", F.col("first.doc_id").alias("first"))
