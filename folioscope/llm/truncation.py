@@ -40,6 +40,11 @@ _MARK = re.compile(r"(?:\s|\.\.\.|…|�|\[(?:…|\.\.\.|cut|truncated)\]|[-–
 _CLOSERS = re.compile(r"(?:[ \t]|</[A-Za-z][A-Za-z0-9]*>|<br ?/?>|\*{1,3}|_{1,2}|`+|~~|\}+|\]\]|'{2,3}|[\"”’」』)\]]|\||\\\\)*[ \t]*(?=\n|$)")
 _STOP = re.compile(r"[.!?…。！？][\"'”’」』)\]*_]*$")
 _TAILS = (14, 8, 5)
+#: Characters within which the shortest tail must stand where it is expected if the last signs don't fit.
+FEW_SIGNS_REACH = 24
+#: Marks of a page's end that hold no text, and a stop that is neither an ellipsis nor a decimal point.
+_BARE_END = re.compile(r"</?[A-Za-z][^<>]*>|\\(?:end|begin)\{[^{}\n]*\}")
+_REAL_STOP = re.compile(r"(?:(?<![.\d])\.|[!?。！？])[\"'”’」』)\]*_]*$")
 _SPACE = re.compile(r"\s+")
 #: Last characters that are searched with misread ones, those of which a share must stand in the page, and that share.
 TAIL = 20
@@ -60,7 +65,7 @@ def _place(text: str, page: str) -> int | None:
             if len(kept) < size:
                 continue
             tail, near = kept[-size:], None
-            reach = 0.35 * len(page) + 60 if size > 5 else 30 + 0.05 * len(page)
+            reach = 0.35 * len(page) + 60 if size > 5 else 30 + 0.05 * len(page) if not drop else FEW_SIGNS_REACH
             at = page.find(tail)
             while at >= 0:
                 end = at + size + skip
@@ -135,14 +140,17 @@ def ending(text: str | None, page: str | None, fold=lambda s: s) -> str:
     for option in options:
         if len(option) < 5:
             continue
-        at = _place(option, page)
+        at, misread = _place(option, page), False
         if at is None and option is options[-1] and len(option) > TAIL and quoted(option[-END_CHARS:], page) >= ALIKE:
-            at = _near_place(option, page)
+            at, misread = _near_place(option, page), True
         if at is None:
             continue
         rest = page[at:]
-        if not any(c.isalnum() for c in rest):
+        left = _BARE_END.sub("", rest)
+        if not any(c.isalpha() for c in left) and sum(c.isalnum() for c in left) <= 2:  # at most a raised digit goes on
             return "complete"
+        if misread and _REAL_STOP.search(text):  # the place is known but roughly, the end of the sentence is seen
+            return "natural"
         if _CLOSERS.match(rest):
             return "natural"
         before = page[:at]

@@ -168,3 +168,11 @@ def test_short_and_long_prefixes_against_brute_force(spark):
     df = spark.createDataFrame([(t, page) for t in texts], "prediction string, ground_truth string").repartition(4)
     got = pairs.shortened(df, "prediction", "ground_truth").count()
     assert got == sum(any(o != t and o.startswith(t) for o in [*texts, page]) for t in {*texts, page} - {""})
+
+
+def test_ends_that_only_look_cut():
+    page = "The clerk kept the ledger.\n\n<p>Then the narrow folder arrived.</p>"
+    assert ending("The clerk kept the ledger.\n\nThen the narrow folder arrived.”", page.replace("<p>", "\\begin{quote}").replace("</p>", "\\end{quote}")) == "complete"
+    assert ending("The clerk kept the ledger.\n\nroot of k, at most 36", "The clerk kept the ledger.\n\n<i>root of k, at most 36</i><sup>2</sup>") == "complete"
+    code = "The clerk kept the ledger of the whole court.\n\n```\npages = load('sh-2490')\nrow = '[[' + key + ']]'\nlimit = 722\n```"
+    assert ending("The clerk kept the ledger of the whole court.\n\nload pages, limit 82", code) != "inside"
