@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.llm import truncation
-from folioscope.llm.repetition import signs
-from folioscope.llm.truncation import ALIKE, ending, fold, quoted
+from folioscope.llm.truncation import ALIKE, ending, fold, quoted, standing
 from folioscope.sources.shared import spread, stored
 
 DEFECTS = ("empty", "error_text", "refusal", "copied_prompt", "wrong_language", "truncated")
@@ -117,13 +116,6 @@ def language(text: str) -> str | None:
     return "zh" if best == "ja" and kana * 20 < han and han >= 8 else best
 
 
-def standing(text: str, page: str) -> float:
-    """Share of the different runs of 7 letters and digits of text that stand in page, markup aside; said again counts once."""
-    text, page = signs(fold(text)), signs(fold(page))
-    runs = {text[i : i + 7] for i in range(0, max(len(text) - 6, 1), 3)}
-    return sum(r in page for r in runs) / len(runs)
-
-
 def foreign(text: str, page: str) -> bool:
     """Whether text is in another language than page; kana alone don't tell Japanese from a Chinese page."""
     one, two = language(text), language(page)

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.canonical import Normaliser
+from folioscope.llm.repetition import signs
 from folioscope.sources.shared import spread
 
 #: A length is a candidate limit if it is that frequent, and that many times as frequent as the lengths around it.
@@ -84,6 +85,13 @@ def quoted(text: str, page: str) -> float:
     return sum(r in page for r in runs) / len(runs)
 
 
+def standing(text: str, page: str) -> float:
+    """Share of the different runs of 7 letters and digits of text that stand in page, markup aside; said again counts once."""
+    text, page = signs(fold(text)), signs(fold(page))
+    runs = {text[i : i + 7] for i in range(0, max(len(text) - 6, 1), 3)}
+    return sum(r in page for r in runs) / len(runs)
+
+
 def _near_place(text: str, page: str) -> int | None:
     """Where the end of text stands in page with up to a fifth of its last characters misread (bit-parallel edit distance)."""
     tail = text[-TAIL:]
@@ -159,7 +167,8 @@ def ending(text: str | None, page: str | None, fold=lambda s: s) -> str:
             return "natural"
         if _STOP.search(before) and (before.rstrip("\"'”’」』)]*_")[-1:] in "。！？" or rest[0].isspace() or rest[0] in "<*_"):
             return "natural"
-        return "inside" if quoted(option[-END_CHARS:], page) >= ALIKE else "unaligned"
+        end = option[-END_CHARS:]
+        return "inside" if quoted(end, page) >= ALIKE or standing(end, page) >= ALIKE else "unaligned"
     if own_ending(text) == "closed":
         return "closed"
     return "unaligned" if quoted(bare[-END_CHARS:] or text, page) >= STRANGE else "elsewhere"
