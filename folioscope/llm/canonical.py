@@ -10,7 +10,10 @@ token is normalised character by character with the table of look-alikes.  With
 budget 0, the default, visible differences stay: case, number of blanks and lines,
 markup, raised and encircled digits.
 
-Defined results: null stays null; empty and blank texts keep their blanks; repeated
+Some kanji and katakana are drawn alike (口 and ロ, 工 and エ): a run of such signs is written in katakana next to another
+katakana sign, else in kanji, whichever it was stored in.
+
+Defined results: null stays null and looks like no text; empty and blank texts keep their blanks; repeated
 rows give repeated results.  A spelling of the trie shows the same as what it is reached
 by, so with budget 0 two texts have equal forms if and only if they look the same.
 """
@@ -41,6 +44,11 @@ LOOKALIKES = dict(
         strict=True,
     )
 )
+#: Kanji and hiragana, and the katakana that are drawn like them.
+KANJI, KATAKANA = "口二工夕力八卜へべぺ", "ロニエタカハトヘベペ"
+LOOKALIKES |= dict(zip(KANJI, KATAKANA, strict=True))
+_TO_KANJI = str.maketrans(KATAKANA, KANJI)
+_DRAWN_ALIKE = re.compile(f"(?<![ァ-ヺー・])[{KATAKANA}]+(?![ァ-ヺー・])")
 #: Hyphens drawn like the keyboard's, and line ends.
 _SAME = {"‐": "-", "‑": "-", " ": "\n", " ": "\n", "\u0085": "\n", "\t": " "}
 #: Marks without a glyph that aren't in the category of format characters.
@@ -96,9 +104,9 @@ class Normaliser:
 
     def _add(self, word: str) -> None:
         """Enter word under what is seen of it; of words that look the same the first one gives the spelling."""
-        seen = self.by_table(word)
+        seen = self.classes(word)
         spelling = unicodedata.normalize("NFC", "".join(ch for ch in word if self.table.get(ord(ch), ch)))
-        if not seen or self._parts(seen)[1:] or self.by_table(spelling) != seen:
+        if not seen or self._parts(seen)[1:] or self.classes(spelling) != seen:
             return
         node = self.trie
         for ch in unicodedata.normalize("NFD", seen):
@@ -106,11 +114,17 @@ class Normaliser:
         node.setdefault("", spelling)
         self.respelt |= spelling != seen and seen.isascii()
 
-    def by_table(self, text: str) -> str:
+    def classes(self, text: str) -> str:
+        """text with each character as its class of look-alikes."""
         if self.special(text):
             text = text.translate(self.table)
         return text if unicodedata.is_normalized("NFC", text) else unicodedata.normalize("NFC", text)
 
+    def by_table(self, text: str) -> str:
+        """The same, with classes of kanji and katakana in the script that stands around them."""
+        text = self.classes(text)
+        return _DRAWN_ALIKE.sub(lambda m: m[0].translate(_TO_KANJI), text)
+
     def match(self, token: str) -> str | None:
         """The word the automaton reaches at the least cost within the budget; ties go to the smaller word."""
         # Nodes of the trie with the least cost at which the input so far leads there.
@@ -218,22 +232,14 @@ def canonical(df: DataFrame, key: str, texts: list[str], trusted: str | None = N
 
 
 def same_look(df: DataFrame, key: str, left: str, right: str, size: int = VOCABULARY) -> DataFrame:
-    """Keys of the rows whose two texts differ as stored and are equal in canonical form.
-
-    A text of which nothing is seen (null, empty, blanks or ignorable characters alone) shows the same as any other such text.
-    """
-    differ = df.where(~df[left].eqNullSafe(df[right]))
+    """Keys of the rows whose two texts differ as stored and are equal in canonical form; a null text equals none, and blanks are seen."""
+    differ = df.where(df[left].isNotNull() & df[right].isNotNull() & (df[left] != df[right]))
     shared = df.sparkSession.sparkContext.broadcast(vocabulary(df, right, size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         form = _normaliser(shared.value, 0).text
-
-        def shown(text: str | None) -> str:
-            text = form(text) if text else ""
-            return text if text and not text.isspace() else ""
-
         for batch in batches:
-            same = [shown(a) == shown(b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            same = [form(a) == form(b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0)], ["key"]).filter(pa.array(same, pa.bool_()))
 
     kind = df.schema[key].dataType.simpleString()
