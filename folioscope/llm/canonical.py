@@ -55,8 +55,10 @@ _SAME = {"‐": "-", "‑": "-", " ": "\n", " ": "\n", "\u0085": "\n", "\t":
 _FILLERS = "͏ᅟᅠ឴឵ㅤﾠ"
 
 
-def visible(ch: str) -> str:
-    """What a reader sees of one character, as a string in a fixed spelling."""
+def visible(ch: str, kana: bool = True) -> str:
+    """What a reader sees of one character, as a string in a fixed spelling; without kana kanji and katakana stay apart."""
+    if not kana and ch in KANJI:
+        return ch
     if ch in _SAME:
         return _SAME[ch]
     if ch in LOOKALIKES:
@@ -69,12 +71,12 @@ def visible(ch: str) -> str:
     tag = unicodedata.decomposition(ch).partition(" ")[0]
     if tag in ("<wide>", "<narrow>", "<noBreak>") or tag == "<compat>" and (kind[0] == "L" or kind == "Nl" or 0x2E80 <= ord(ch) <= 0x2FDF):
         plain = unicodedata.normalize("NFKC", ch)
-        return plain if " " in plain or plain == ch else "".join(visible(c) for c in plain)
+        return plain if " " in plain or plain == ch else "".join(visible(c, kana) for c in plain)
     return ch
 
 
-def _table() -> dict[int, str]:
-    return {cp: v for cp in range(0x80, sys.maxunicode + 1) if not 0xD800 <= cp < 0xE000 and (v := visible(chr(cp))) != chr(cp)} | {9: " "}
+def _table(kana: bool = True) -> dict[int, str]:
+    return {cp: v for cp in range(0x80, sys.maxunicode + 1) if not 0xD800 <= cp < 0xE000 and (v := visible(chr(cp), kana)) != chr(cp)} | {9: " "}
 
 
 def _class(codes: Iterable[int]) -> str:
@@ -92,8 +94,8 @@ def _class(codes: Iterable[int]) -> str:
 class Normaliser:
     """Canonical forms of tokens and texts for one vocabulary."""
 
-    def __init__(self, vocabulary: Iterable[str] = (), budget: int = 0):
-        self.table = _table()
+    def __init__(self, vocabulary: Iterable[str] = (), budget: int = 0, kana: bool = True):
+        self.table = _table(kana)
         self.special = re.compile(_class(self.table)).search
         self.budget = budget
         self.memo: dict[str, str] = {}

@@ -60,7 +60,10 @@ REFUSAL = re.compile(
 _LABEL = re.compile(r"^[^\w\s]{0,3}\s*(?:[^\W\d_]{1,12}\s?){1,2}\s*[:：]\s*")
 _OUTER = re.compile(r"^\W+|(?<!\W)\W+$")
 _SPACE = re.compile(r"\s+")
-_INVISIBLE = re.compile("[\\s­͏ᅟᅠ​-‏ -‮⁠-⁤ㅤ︀-️﻿ﾠ]+")
+_UNSEEN = "\\s­͏ᅟᅠ​-‏ -‮⁠-⁤ㅤ︀-️﻿ﾠ"
+_INVISIBLE = re.compile(f"[{_UNSEEN}]+")
+_SEEN = re.compile(f"[^{_UNSEEN}]").search
+_MANY_SEEN = re.compile(f"[{_UNSEEN}]*(?:[^{_UNSEEN}][{_UNSEEN}]*){{25}}").match
 _HANGUL, _KANA, _HAN, _LATIN = (re.compile(f"[{x}]") for x in ("가-힣ᄀ-ᇿㄱ-ㆎ", "ぁ-ゖァ-ヺｦ-ﾝ", "一-鿿", "A-Za-zÀ-ɏ"))
 _CYRILLIC = re.compile("[Ѐ-ӿ]")
 
@@ -71,10 +74,12 @@ def visible(text: str | None) -> str:
 
 def is_empty(text: str | None) -> bool:
     """Null, blank, invisible or a placeholder for nothing."""
-    shown = visible(text)
-    if not shown:
+    if not text:
         return True
-    return len(shown) <= 24 and ((word := re.sub(r"[^\w/]+", "", shown).casefold()) in PLACEHOLDERS or not word.strip("/_"))
+    if _MANY_SEEN(text):
+        return False
+    shown = visible(text)
+    return not shown or ((word := re.sub(r"[^\w/]+", "", shown).casefold()) in PLACEHOLDERS or not word.strip("/_"))
 
 
 def bare(text: str) -> str:
@@ -124,7 +129,7 @@ def foreign(text: str, page: str) -> bool:
 
 def rule(text: str | None, page: str | None, prompt: str | None, stops: str) -> str | None:
     """The first defect that the rules on one pair give, without truncation."""
-    content = bool(visible(page))
+    content = bool(page and _SEEN(page))
     if is_empty(text):
         return "empty" if content and not is_empty(page) else None
     page = page or ""
