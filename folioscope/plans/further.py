@@ -190,9 +190,9 @@ def summary_entries(spark: SparkSession, directory: str) -> DataFrame:
     return out.withColumns({c: _r(F.col(c)) for c in ("metric_value", "normalized")})
 
 
-@query("SELECT dataset_id, list_sort(list_distinct(flatten(list(map_keys(metrics))))) AS metric_keys FROM report_run WHERE metrics IS NOT NULL GROUP BY dataset_id HAVING len(flatten(list(map_keys(metrics)))) > 0")
+@query("SELECT dataset_id, array_to_string(list_sort(list_distinct(flatten(list(map_keys(metrics))))), '|') AS metric_keys FROM report_run WHERE metrics IS NOT NULL GROUP BY dataset_id HAVING len(flatten(list(map_keys(metrics)))) > 0")
 def metric_keys(spark: SparkSession, directory: str) -> DataFrame:
-    return evaluation.metric_keys(table(spark, directory, "report_run"), ["dataset_id"])
+    return evaluation.metric_keys(table(spark, directory, "report_run"), ["dataset_id"]).withColumn("metric_keys", F.array_join("metric_keys", "|"))
 
 
 @query("""SELECT backend, metric, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(min(v), 6) AS min, round(max(v), 6) AS max FROM (SELECT backend, unnest(['avg_latency_ms', 'empty_rate']) AS metric, unnest([avg_latency_ms, empty_rate]) AS v FROM report_run) WHERE v IS NOT NULL GROUP BY backend, metric""")
@@ -283,12 +283,12 @@ def order_dates(spark: SparkSession, directory: str) -> DataFrame:
     return table(spark, directory, "orders").select("o_orderkey", *(text.local_date(at, c).alias(c) for c in ("ko", "ja", "en")))
 
 
-@query("""SELECT p_partkey, list_distinct_first AS block_types FROM (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN ['paragraph', 'quote'] WHEN p_size % 3 = 1 THEN ['table', 'bullet_list'] ELSE
-    ['paragraph', 'bullet_list', 'numbered_list', 'checklist', 'table', 'formula', 'quote', 'code', 'command', 'image', 'rule'] END AS list_distinct_first FROM part)""")
+@query("""SELECT p_partkey, array_to_string(names, '|') AS block_types FROM (SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN ['paragraph', 'quote'] WHEN p_size % 3 = 1 THEN ['table', 'bullet_list'] ELSE
+    ['paragraph', 'bullet_list', 'numbered_list', 'checklist', 'table', 'formula', 'quote', 'code', 'command', 'image', 'rule'] END AS names FROM part)""")
 def block_type_lists(spark: SparkSession, directory: str) -> DataFrame:
     """Lists of block types as users write them, in one form."""
     given = F.when(F.col("p_size") % 3 == 0, F.array(*map(F.lit, ("Text", " quote", "paragraph", "chart")))).when(F.col("p_size") % 3 == 1, F.array(*map(F.lit, ("TABLE", "bullet-list", "table")))).otherwise(F.array(F.lit("unknown")))
-    return table(spark, directory, "part").select("p_partkey", text.block_types(given).alias("block_types"))
+    return table(spark, directory, "part").select("p_partkey", F.array_join(text.block_types(given), "|").alias("block_types"))
 
 
 @query(r"""SELECT char, count(*) AS count FROM (SELECT unnest(string_split(regexp_replace(text, '[\p{Cc}\p{Cf}\p{Co}\p{Z}\s]', '', 'g'), '')) AS char FROM documents) WHERE char <> '' GROUP BY char""")
