@@ -134,6 +134,7 @@ def difficulty(params: Column, dpi: Column) -> Column:
     """easy, medium or hard by the weighted sum of a capture's parameters (a map of strings)."""
     p = lambda k: F.coalesce(params[k].try_cast("double"), F.lit(0.0))
     quality = p("jpeg_quality")
+    # The weights of the parameters and the bounds of the classes.
     score = (
         F.least(F.abs(p("skew_deg")) / 2, F.lit(1.5)) + p("perspective") * 20 + p("blur_sigma") * 1.2 + p("noise_sigma") / 6
         + F.when(quality != 0, F.greatest(F.lit(0.0), (85 - quality) / 25)).otherwise(0.0) + F.greatest(F.lit(0.0), (150 - dpi) / 75.0)

@@ -121,6 +121,10 @@ def templates(rows: DataFrame, catalog: DataFrame, mix: Mapping[str, float] | No
     return rows.withColumn("template_id", chosen).withColumn("family", family_of[F.col("template_id")])
 
 
+#: How much a template's and its family's earlier draws lower a weight, how much a family's lack of its target raises it, and the bounds.
+TEMPLATE_SEEN, FAMILY_SEEN, LACK, FIRST_COVER, LEAST_COVER, LEAST_WEIGHT = 0.45, 0.2, 5.0, 1.5, 0.25, 0.01
+
+
 class TemplateChoice:
     """Templates drawn one after the other, seldom seen ones and families below their target share preferred; a shard has its own."""
 
@@ -130,11 +134,12 @@ class TemplateChoice:
         self.families: Counter[str] = Counter()
 
     def weight(self, template: str, family: str, own: float) -> float:
-        total = sum(self.families.values())
-        cover = 1.0
+        total, cover = sum(self.families.values()), 1.0
         if family in self.targets:
-            cover = max(0.25, 1 + 5 * (self.targets[family] - self.families[family] / total)) if total else 1.5
-        return max(0.01, own * cover / ((1 + 0.45 * self.seen[template]) * (1 + 0.2 * self.families[family])))
+            lack = self.targets[family] - self.families[family] / total if total else None
+            cover = FIRST_COVER if lack is None else max(LEAST_COVER, 1 + LACK * lack)
+        tired = (1 + TEMPLATE_SEEN * self.seen[template]) * (1 + FAMILY_SEEN * self.families[family])
+        return max(LEAST_WEIGHT, own * cover / tired)
 
     def draw(self, rng: random.Random) -> str:
         template, family, _ = rng.choices(self.catalog, [self.weight(*t) for t in self.catalog])[0]
