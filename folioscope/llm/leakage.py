@@ -42,7 +42,7 @@ GRAM = 6
 UNSPACED = ("ko", "ja", "zh")
 #: Characters of the texts that are indexed at a time; a longer text is indexed alone.
 CHUNK_CHARS = 2_000_000
-#: Most documents with a place whose hashes are broadcast (16 bytes each); more are joined by a shuffle.
+#: Most documents with a place whose hashes are broadcast (67 bytes each, measured near this number); more are joined by a shuffle.
 BROADCAST_DOCUMENTS = 2_000_000
 #: Bits of the hash that names a document in the postings; documents of one name are told apart when they are read.
 UID_BITS = 40
@@ -157,14 +157,14 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text", min_wo
 
 
 def _windows(items: DataFrame, min_words: int, min_chars: int) -> DataFrame:
-    """(item, passage, unit, window, term, offset): the terms that every different run of the least length of the passages posts wherever it stands."""
+    """(no, unit, window, term, offset): the terms that every different run of the least length of the passages (no, passage, unit) posts wherever it stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             source, unit_of, window, term_of, offsets = [], [], [], [], []
-            for row, (passage, code) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            for row, (passage, unit) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 parts = words(passage)
-                unit, least, length = ("c", min_chars, GRAM) if (code or "")[:2] in UNSPACED else ("w", min_words, SHINGLE)
+                least, length = (min_chars, GRAM) if unit == "c" else (min_words, SHINGLE)
                 whole = len("".join(parts)) if unit == "c" else len(parts)
                 terms, counts = _terms([parts], unit)
                 half = _half(unit, least)
@@ -181,12 +181,11 @@ def _windows(items: DataFrame, min_words: int, min_chars: int) -> DataFrame:
                         offsets += at
             at_row = pa.array(source, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at_row), batch.column(1).take(at_row), pa.array(unit_of, pa.string()), pa.array(window, pa.int32()), pa.array(term_of, pa.int32()), pa.array(offsets, pa.int32())],
-                ["item", "passage", "unit", "window", "term", "offset"],
+                [batch.column(0).take(at_row), pa.array(unit_of, pa.string()), pa.array(window, pa.int32()), pa.array(term_of, pa.int32()), pa.array(offsets, pa.int32())],
+                ["no", "unit", "window", "term", "offset"],
             )
 
-    kind = items.schema["item"].dataType.simpleString()
-    return items.mapInArrow(run, f"item {kind}, passage string, unit string, window int, term int, offset int")
+    return items.mapInArrow(run, "no long, unit string, window int, term int, offset int")
 
 
 @lru_cache(4)
@@ -232,24 +231,28 @@ def find_leaks(
     index: postings of docs by ``build_index`` with the same key, text and least runs; built here if it isn't given.
     """
     index = build_index(docs, key, text, min_words, min_chars) if index is None else index
-    wanted = items.where(F.length(items[passage]) > 0).select(items[item_key].alias("item"), items[passage].alias("passage"), F.lower(F.trim(items[lang])).alias("code"))
-    windows = stored(_windows(wanted, min_words, min_chars), "windows")
+    unit = F.when(F.substring(F.lower(F.trim(items[lang])), 1, 2).isin(*UNSPACED), "c").otherwise("w")
+    wanted = items.where(F.length(items[passage]) > 0).select(items[item_key].alias("item"), items[passage].alias("passage"), unit.alias("unit")).distinct()
+    # Passages go by number: a text that is repeated in every row is small in Parquet, by which the planner broadcasts, and large in memory.
+    wanted = stored(wanted.withColumn("no", F.monotonically_increasing_id()), "passages")
+    windows = stored(_windows(wanted.select("no", "passage", "unit"), min_words, min_chars), "windows")
     terms = windows.select("unit", "term").distinct()
     frequency = index.join(terms, ["unit", "term"], "left_semi").groupBy("unit", "term").agg(F.count("*").alias("df"))
     # The two rarest terms of each run; a run with a term that the corpus lacks is nowhere.
-    ranked = windows.join(frequency, ["unit", "term"], "left").groupBy("item", "passage", "unit", "window")
+    ranked = windows.join(frequency, ["unit", "term"], "left").groupBy("no", "unit", "window")
     ranked = ranked.agg(F.min(F.coalesce("df", F.lit(0))).alias("least"), F.slice(F.sort_array(F.collect_list(F.struct("df", "offset", "term"))), 1, 2).alias("t")).where("least > 0")
-    pairs = ranked.select("item", "passage", "unit", F.col("t")[0]["term"].alias("term"), F.col("t")[0]["offset"].alias("offset"), F.try_element_at("t", F.lit(2)).alias("second")).distinct()
+    pairs = ranked.select("no", "unit", F.col("t")[0]["term"].alias("term"), F.col("t")[0]["offset"].alias("offset"), F.try_element_at("t", F.lit(2)).alias("second")).distinct()
     pairs = stored(pairs, "rarest")
     rare = pairs.select("unit", "term").union(pairs.select("unit", F.col("second.term"))).where("term is not null").distinct()
     lists = stored(index.join(rare, ["unit", "term"], "left_semi"), "lists")
     # Offset-adjusted positions of the rarest term, kept where the second stands in place.
     places = lists.join(pairs, ["unit", "term"]).withColumn("start", F.col("pos") - F.col("offset")).drop("pos", "term", "offset")
-    other = lists.select("unit", F.col("term").alias("term2"), "uid", F.col("pos").alias("pos2"))
-    places = places.select("unit", "uid", "item", "passage", "start", F.col("second.term").alias("term2"), F.col("second.offset").alias("offset2"))
-    alone = places.where("term2 is null").drop("term2", "offset2")
+    # What grows with the corpus is joined by a shuffle, whatever its files' size.
+    other = lists.select("unit", F.col("term").alias("term2"), "uid", F.col("pos").alias("pos2")).hint("merge")
+    places = places.select("unit", "uid", "no", "start", F.col("second.term").alias("term2"), F.col("second.offset").alias("offset2"))
+    alone = places.where("term2 is null").drop("term2", "offset2", "unit")
     both = places.join(other, ["unit", "term2", "uid"]).where(F.abs(F.col("pos2") - F.col("start") - F.col("offset2")) <= slack).select(alone.columns)
-    found = alone.union(both).groupBy("uid", "unit", "item", "passage").agg(F.sort_array(F.collect_set("start")).alias("starts"))
+    found = alone.union(both).groupBy("uid", "no").agg(F.sort_array(F.collect_set("start")).alias("starts"))
     found = stored(found, "places")
     own = docs.select(_uid(docs[key], docs[text]).alias("uid"), docs[key].alias("key"), docs[text].alias("text"))
     names = found.select("uid").distinct()
@@ -263,7 +266,7 @@ def find_leaks(
 
     out = ["key", "item", "unit", "longest_run", "near_matches", "passage_terms"]
     kinds = [docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()]
-    laid = own.join(found, "uid").select("key", "item", "unit", "text", "passage", "starts")
+    laid = own.join(found.join(wanted, "no").hint("merge"), "uid").select("key", "item", "unit", "text", "passage", "starts")
     laid = laid.mapInArrow(run, f"key {kinds[0]}, item {kinds[1]}, unit string, longest_run int, near_matches int, passage_terms int").where("longest_run > 0")
     best = laid.groupBy("key", "item", "unit").agg(F.max(F.struct("longest_run", "near_matches", "passage_terms")).alias("b"))
     return best.select(F.col("key").alias(key), F.col("item").alias(item_key), "unit", "b.*")

@@ -88,3 +88,14 @@ def test_a_passage_in_a_third_of_the_documents(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", f"CASE WHEN id % 3 = 0 THEN concat('{passage}', ' ', id) ELSE concat('other text ', id) END AS text")
     items = spark.createDataFrame([(1, passage, "en"), (1, "x " * 20, "en")], "item_id long, passage string, lang_code string")
     assert leakage.leaked(docs, items).count() == 1000
+
+
+def test_places_are_joined_by_a_shuffle(spark):
+    passage = " ".join(f"word{i}" for i in range(300))
+    docs = spark.range(2000).selectExpr("id AS doc_id", f"concat('{passage}', ' ', id) AS text")
+    items = spark.createDataFrame([(1, passage, "en"), (1, passage, "fr"), (2, passage, "en")], "item_id long, passage string, lang_code string")
+    found = leakage.find_leaks(docs, items)
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    joins = [x.split() for x in plan.replace("+-", " ").replace(":", " ").splitlines() if "Join " in x and "LeftSemi" not in x]
+    assert [x[0] for x in joins if x[1].startswith("[uid")] == ["SortMergeJoin"]
+    assert found.groupBy("item_id", "longest_run").count().orderBy("item_id").collect() == [(1, 300, 2000), (2, 300, 2000)]
