@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import distance, text
 from folioscope.operators import evaluation, ground_truth, profiling, scores, summary
 from folioscope.plans.reference import _BLANK, _LATEST, _OK, _r, query
+from folioscope.sources.shared import spread
 from folioscope.sources.tables import table
 
 # The SQL states white space and patterns on its own, not through the constants of the operators.
@@ -469,8 +470,8 @@ def page_pixels(spark: SparkSession, directory: str) -> DataFrame:
     from folioscope.operators.measure import measure
 
     grey = F.unhex(F.repeat(F.lpad(F.hex((F.col("p_size") * 5).cast("long")), 2, "0"), 12 * 18 * 3))
-    pages = table(spark, directory, "part").select(F.col("p_partkey").cast("string").alias("path"), grey.alias("content"), F.lit(12).alias("width"), F.lit(18).alias("height"))
-    out = measure(pages)
+    parts = spread(table(spark, directory, "part").select("p_partkey", "p_size"))  # keys are dealt out, not pixels
+    out = measure(parts.select(F.col("p_partkey").cast("string").alias("path"), grey.alias("content"), F.lit(12).alias("width"), F.lit(18).alias("height")))
     names = ("width", "height", "aspect_ratio", "background_luma", "ink_luma", "contrast", "skew_deg", "noise_sigma", "ink_ratio", "colorfulness", "is_grayscale", "is_binary", "is_colored_background", "text_line_count", "margin_top_frac", "column_count", "rule_count")
     return out.select(F.col("path").cast("long").alias("p_partkey"), *(_r(F.col(c)).alias(c) for c in names))
 

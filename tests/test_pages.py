@@ -60,6 +60,30 @@ def test_measure(spark):
     assert measure(df.limit(0)).count() == 0
 
 
+def test_pages_measured_together(spark):
+    rng = np.random.default_rng(2)
+    plain, inked, tall = np.full((18, 12, 3), 90, np.uint8), rng.integers(0, 256, (18, 12, 3)).astype(np.uint8), rng.integers(0, 256, (30, 5, 3)).astype(np.uint8)
+    black = np.zeros((18, 12, 3), np.uint8)
+    together = pages.page_columns(np.stack([plain, inked, black, plain]), np.array([[18, 12]] * 4))
+    for i, a in enumerate((plain, inked, black, plain)):
+        assert {k: v[i] for k, v in together.items()} == pages.image_stats(a) | pages.layout_stats(a)
+    given = [("a", plain), ("b", tall), ("c", None), ("d", inked), ("e", page().repeat(2, 1)), ("f", page()), ("g", tall), ("h", plain)]
+    df = spark.createDataFrame([(k, a.tobytes() if a is not None else b"1", a.shape[1] if a is not None else 1, a.shape[0] if a is not None else 1) for k, a in given], "path string, content binary, width int, height int").coalesce(1)
+    rows = [r.asDict() for r in measure(df).collect()]
+    assert rows == [{"path": k} | pages.image_stats(a) | pages.layout_stats(a) for k, a in given if a is not None]
+    keyed = df.where("path in ('a', 'b')").selectExpr("ascii(path) AS width", "content", "width AS w", "height AS h")
+    assert [(r.width_key, r.width) for r in measure(keyed, "width", columns=("content", "w", "h")).collect()] == [(97, 12.0), (98, 5.0)]
+
+
+def test_pixels_of_one_file_on_all_cores(spark, tmp_path):
+    from folioscope.plans.further import page_pixels
+
+    spark.range(400).selectExpr("id AS p_partkey", "1 + id % 50 AS p_size").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    out = page_pixels(spark, str(tmp_path))
+    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism > 1
+    assert sorted((r.p_partkey, r.background_luma, r.ink_ratio) for r in out.collect()) == [(k, (1 + k % 50) * 5.0, 0.0) for k in range(400)]
+
+
 def one(spark, column):
     return spark.range(1).select(column.alias("v")).first().v
 
